@@ -1,0 +1,304 @@
+"""Registered queries: each reads the given tables and returns a lazy frame."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import inputs
+from checks.oracle import snake
+from medallion import catalog
+from medallion.functions import clean
+from medallion.locations import Paths, scratch_folder
+from medallion.operators.histogram import histogram
+from medallion.operators import metrics
+from medallion.plans.gold import gold, merged, project_facility, project_measures
+from medallion.plans.pipeline import publish_gold, run
+from medallion.schemas import (
+    ALTERNATE_HEADERS,
+    GOLD,
+    OWNERSHIPS,
+    RATINGS,
+    READM_TYPES,
+    REQUIRED_COLUMNS,
+)
+from medallion.sinks import write_gold, write_silver, write_snapshot
+from medallion.sources import (
+    latest_csv,
+    read_gen_info_json,
+    read_gold,
+    read_latest_snapshot,
+    read_measures_csv,
+)
+
+STATES = ["S1", "S7", "S31"]
+TYPES = ["AMI", "Heart_Failure"]
+
+
+def snake_names(df: DataFrame) -> DataFrame:
+    return df.toDF(*(snake(c) for c in df.columns))
+
+
+def derived_gold(spark: SparkSession, sf_dir: str, **join_options) -> DataFrame:
+    return gold(inputs.measures(spark, sf_dir), inputs.facilities(spark, sf_dir), **join_options)
+
+
+def naive_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transform in its plain order: right join, null the sentinel, drop, recode."""
+    from medallion.plans.gold import KEY, labelled
+
+    joined = project_measures(inputs.measures(spark, sf_dir)).join(
+        project_facility(inputs.facilities(spark, sf_dir)), KEY, "right"
+    )
+    return labelled(clean.null_sentinel(joined).dropna(subset=REQUIRED_COLUMNS))
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.withColumn("avg_metric", F.round("avg_metric", 6))
+
+
+# --- sources and sinks ---
+
+
+def json_scan_facilities(spark, sf_dir):
+    return snake_names(read_gen_info_json(spark, raw_json(spark, sf_dir)))
+
+
+def json_row_count(spark, sf_dir):
+    return read_gen_info_json(spark, raw_json(spark, sf_dir)).agg(F.count(F.lit(1)).alias("c"))
+
+
+def csv_scan_measures(spark, sf_dir):
+    return snake_names(read_measures_csv(spark, raw_csv(spark, sf_dir)))
+
+
+def csv_scan_inferred(spark, sf_dir):
+    return snake_names(read_measures_csv(spark, raw_csv(spark, sf_dir), infer=True))
+
+
+def conform_rename(spark, sf_dir):
+    folder = scratch_folder(spark, "raw-csv")
+    df = inputs.measures(spark, sf_dir)
+    alternates = {new: old for old, new in ALTERNATE_HEADERS.items()}
+    renamed = df.toDF(*(alternates.get(c, c) for c in df.columns))
+    renamed.write.mode("overwrite").option("header", True).csv(folder)
+    return snake_names(read_measures_csv(spark, folder))
+
+
+def parquet_silver_roundtrip(spark, sf_dir):
+    folder = scratch_folder(spark, "silver")
+    write_silver(inputs.facilities(spark, sf_dir), folder)
+    return snake_names(spark.read.parquet(folder))
+
+
+def raw_json(spark, sf_dir) -> str:
+    folder = scratch_folder(spark, "raw-json")
+    inputs.facilities(spark, sf_dir).write.mode("overwrite").json(folder)
+    return folder
+
+
+def raw_csv(spark, sf_dir) -> str:
+    folder = scratch_folder(spark, "raw-csv")
+    df = inputs.measures(spark, sf_dir)
+    df.write.mode("overwrite").option("header", True).csv(folder)
+    return folder
+
+
+# --- Gold, step by step ---
+
+
+def rate_diff(spark, sf_dir):
+    diff = clean.rate_diff("Pred Readm Rate", "Exp Readm Rate").alias("R Rate Diff")
+    measures = project_measures(inputs.measures(spark, sf_dir))
+    return snake_names(measures.select("provider_id", "Pred Readm Rate", "Exp Readm Rate", diff))
+
+
+def derived_merged(spark, sf_dir, **join_options):
+    return merged(inputs.measures(spark, sf_dir), inputs.facilities(spark, sf_dir), **join_options)
+
+
+def null_sentinel(spark, sf_dir):
+    return snake_names(clean.null_sentinel(derived_merged(spark, sf_dir)))
+
+
+def require_columns(spark, sf_dir):
+    df = clean.null_sentinel(derived_merged(spark, sf_dir))
+    return snake_names(clean.require(df, REQUIRED_COLUMNS))
+
+
+def recoded_counts(df: DataFrame, column: str, mapping: dict[str, str]) -> DataFrame:
+    counted = clean.recode(df, column, mapping).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return snake_names(counted)
+
+
+# --- published Gold ---
+
+
+def published(spark, sf_dir) -> str:
+    folder = scratch_folder(spark, "gold")
+    write_gold(derived_gold(spark, sf_dir), folder)
+    return folder
+
+
+def gold_partitioned_roundtrip(spark, sf_dir):
+    return snake_names(read_gold(spark, published(spark, sf_dir)))
+
+
+def gold_partition_pruned(spark, sf_dir):
+    return snake_names(metrics.filter_rows(read_gold(spark, published(spark, sf_dir)), ["S1"]))
+
+
+def new_database(spark) -> tuple[str, str]:
+    folder = scratch_folder(spark, "database")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{folder}/db'")
+    return name, folder
+
+
+def gold_repaired_count(spark, sf_dir):
+    database, folder = new_database(spark)
+    paths = Paths.under(folder)
+    catalog.create_tables(spark, paths, database)
+    write_gold(derived_gold(spark, sf_dir), paths.gold)
+    table = f"`{database}`.`{catalog.GOLD_TABLE}`"
+    catalog.repair_partitions(spark, table)
+    return catalog.count_rows(spark, table)
+
+
+def table_checks(spark, sf_dir):
+    database, folder = new_database(spark)
+    paths = Paths.under(folder)
+    catalog.create_tables(spark, paths, database)
+    run_silver(spark, sf_dir, paths, database)
+    result = None
+    for table in (catalog.GEN_INFO_TABLE, catalog.READMISSIONS_TABLE):
+        counted = catalog.count_rows(spark, f"`{database}`.`{table}`")
+        row = counted.select(F.lit(table).alias("table_name"), "c")
+        result = row if result is None else result.unionByName(row)
+    return result
+
+
+def run_silver(spark, sf_dir, paths: Paths, database: str) -> None:
+    inputs.facilities(spark, sf_dir).write.mode("overwrite").json(paths.gen_info_raw)
+    raw = inputs.measures(spark, sf_dir).write.mode("overwrite").option("header", True)
+    raw.csv(paths.readmissions_raw)
+    run(spark, paths, "silver", database=database, show=False)
+
+
+def full_run(spark, sf_dir):
+    database, folder = new_database(spark)
+    paths = Paths.under(folder)
+    inputs.facilities(spark, sf_dir).write.mode("overwrite").json(paths.gen_info_raw)
+    raw = inputs.measures(spark, sf_dir).write.mode("overwrite").option("header", True)
+    raw.csv(paths.readmissions_raw)
+    run(spark, paths, database=database, show=False)
+    return snake_names(catalog.read_table(spark, f"`{database}`.`{catalog.GOLD_TABLE}`"))
+
+
+# --- CSV snapshot ---
+
+
+def snapshots(spark, sf_dir, single_file_rows: int | None) -> str:
+    """An old snapshot of one state, then a new one of all Gold rows."""
+    folder = scratch_folder(spark, "snapshots")
+    df = read_gold(spark, published(spark, sf_dir))
+    old = metrics.filter_rows(df, ["S1"])
+    write_snapshot(old, f"{folder}/old", rows=old.count())
+    rows = df.count()
+    bound = {} if single_file_rows is None else {"single_file_rows": single_file_rows}
+    write_snapshot(df.repartition(4), f"{folder}/new", rows=rows, **bound)
+    return folder
+
+
+def latest_snapshot(spark, sf_dir):
+    return snake_names(read_latest_snapshot(spark, snapshots(spark, sf_dir, None)))
+
+
+def latest_snapshot_parts(spark, sf_dir):
+    return snake_names(read_latest_snapshot(spark, snapshots(spark, sf_dir, 0)))
+
+
+def snapshot_files(spark, sf_dir):
+    df = read_latest_snapshot(spark, snapshots(spark, sf_dir, None))
+    return df.select(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("c"), F.countDistinct("file").cast("int").alias("files")
+    )
+
+
+def queries():
+    over_gold = {
+        "gold": snake_names,
+        "gold_count": lambda df: df.agg(F.count(F.lit(1)).alias("c")),
+        "kpi_summary": lambda df: rounded(metrics.kpis(df, "R Rate Diff")),
+        "kpi_summary_filtered": lambda df: rounded(
+            metrics.kpis(metrics.filter_rows(df, STATES, TYPES), "Discharges")
+        ),
+        "kpi_labels": lambda df: metrics.kpi_labels(df, "R Rate Diff"),
+        "kpi_labels_empty": lambda df: metrics.kpi_labels(
+            metrics.filter_rows(df, [""]), "R Rate Diff"
+        ),
+        "mean_by_ownership": lambda df: rounded(
+            metrics.mean_by(df, "Hosp Ownership", "R Rate Diff")
+        ),
+        "mean_by_rating": lambda df: rounded(metrics.mean_by(df, "Hosp Rating", "R Rate Diff")),
+        "mean_by_rating_text_metric": lambda df: rounded(
+            metrics.mean_by(df, "Hosp Rating", "Readmissions")
+        ),
+        "mean_by_state": lambda df: rounded(metrics.mean_by_state(df, "R Rate Diff")),
+        "histogram_exact": lambda df: histogram(df, "R Rate Diff"),
+        "histogram_exact_text_metric": lambda df: histogram(df, "Discharges"),
+        "histogram_dense": lambda df: histogram(df, "R Rate Diff", dense=True),
+        "histogram_nice": lambda df: histogram(df, "R Rate Diff", mode="nice"),
+        "histogram_nice_text_metric": lambda df: histogram(df, "Excess Readm Ratio", mode="nice"),
+        "filter_state_type": lambda df: metrics.filter_rows(df, STATES, TYPES),
+        "filter_none": lambda df: metrics.filter_rows(df, [], []),
+        "states_list": lambda df: metrics.picklist(df, "state"),
+        "types_list": lambda df: metrics.picklist(df, "Readm Type"),
+        "preview_10": lambda df: df.orderBy(*(F.col(f"`{c}`") for c in GOLD.names)).limit(10),
+    }
+    registered = {
+        "json_scan_facilities": json_scan_facilities,
+        "json_row_count": json_row_count,
+        "csv_scan_measures": csv_scan_measures,
+        "csv_scan_inferred": csv_scan_inferred,
+        "conform_rename": conform_rename,
+        "parquet_silver_roundtrip": parquet_silver_roundtrip,
+        "project_facility": lambda spark, sf_dir: snake_names(
+            project_facility(inputs.facilities(spark, sf_dir))
+        ),
+        "project_measures": lambda spark, sf_dir: snake_names(
+            project_measures(inputs.measures(spark, sf_dir))
+        ),
+        "right_join_raw": lambda spark, sf_dir: snake_names(derived_merged(spark, sf_dir)),
+        "right_join_shuffled": lambda spark, sf_dir: snake_names(
+            derived_merged(spark, sf_dir, broadcast_limit=0)
+        ),
+        "null_sentinel": null_sentinel,
+        "require_columns": require_columns,
+        "recode_measure": lambda spark, sf_dir: recoded_counts(
+            project_measures(inputs.measures(spark, sf_dir)), "Readm Type", READM_TYPES
+        ),
+        "recode_ownership": lambda spark, sf_dir: recoded_counts(
+            project_facility(inputs.facilities(spark, sf_dir)), "Hosp Ownership", OWNERSHIPS
+        ),
+        "recode_rating": lambda spark, sf_dir: recoded_counts(
+            project_facility(inputs.facilities(spark, sf_dir)), "Hosp Rating", RATINGS
+        ),
+        "rate_diff": rate_diff,
+        "gold_shuffled": lambda spark, sf_dir: snake_names(
+            derived_gold(spark, sf_dir, broadcast_limit=0)
+        ),
+        "gold_partitioned_roundtrip": gold_partitioned_roundtrip,
+        "gold_partition_pruned": gold_partition_pruned,
+        "gold_repaired_count": gold_repaired_count,
+        "table_checks": table_checks,
+        "full_run": full_run,
+        "latest_snapshot": latest_snapshot,
+        "latest_snapshot_parts": latest_snapshot_parts,
+        "snapshot_files": snapshot_files,
+    }
+    for name, query in over_gold.items():
+        registered[name] = lambda spark, sf_dir, query=query: snake_names(
+            query(derived_gold(spark, sf_dir))
+        )
+    return registered
