@@ -9,6 +9,9 @@ The text below is ANSI SQL; Spark quotes names with backticks instead.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from medallion.schemas import GEN_INFO, READMISSIONS
 
 _TOPICS = [
     "mortality",
@@ -92,6 +95,23 @@ from orders
 """
 
 
+def _with_long_key(schema: T.StructType, key: str) -> T.StructType:
+    # The given keys are longs and outgrow the declared INT at scale.
+    return T.StructType(
+        [T.StructField(f.name, T.LongType()) if f.name == key else f for f in schema]
+    )
+
+
+FACILITY_SCHEMA = _with_long_key(GEN_INFO, "provider id")
+MEASURE_SCHEMA = _with_long_key(READMISSIONS, "Provider ID")
+
+# The columns read from each given table.
+_SOURCES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+}
+
+
 def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, "customer", FACILITIES)
 
@@ -101,7 +121,7 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _derive(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
-    source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    # The quoted text inside a value keeps its double quotes.
+    source = spark.read.schema(_SOURCES[table]).parquet(f"{sf_dir}/{table}.parquet")
+    # The quoted word inside a value keeps its double quotes.
     quoted = sql.replace('"small"', "\0").replace('"', "`").replace("\0", '"small"')
     return spark.sql(quoted.replace(f"from {table}", f"from {{{table}}}"), **{table: source})

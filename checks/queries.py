@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +12,17 @@ from checks.oracle import snake
 from medallion import catalog
 from medallion.functions import clean
 from medallion.locations import Paths, scratch_folder
-from medallion.operators.histogram import histogram
 from medallion.operators import metrics
-from medallion.plans.gold import gold, merged, project_facility, project_measures
-from medallion.plans.pipeline import publish_gold, run
+from medallion.operators.histogram import histogram
+from medallion.plans.gold import (
+    KEY,
+    gold,
+    labelled,
+    merged,
+    project_facility,
+    project_measures,
+)
+from medallion.plans.pipeline import run
 from medallion.schemas import (
     ALTERNATE_HEADERS,
     GOLD,
@@ -24,7 +33,6 @@ from medallion.schemas import (
 )
 from medallion.sinks import write_gold, write_silver, write_snapshot
 from medallion.sources import (
-    latest_csv,
     read_gen_info_json,
     read_gold,
     read_latest_snapshot,
@@ -39,16 +47,77 @@ def snake_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(snake(c) for c in df.columns))
 
 
+def once_per_application(build):
+    """Build a folder of derived data at its first use in a Spark application, then share it."""
+    built = {}
+
+    def folder(spark: SparkSession, sf_dir: str) -> str:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in built:
+            target = scratch_folder(spark, build.__name__.replace("_", "-"))
+            build(spark, sf_dir, target)
+            built[key] = target
+        return built[key]
+
+    return folder
+
+
+@once_per_application
+def raw_json(spark, sf_dir, folder):
+    inputs.facilities(spark, sf_dir).write.mode("overwrite").json(folder)
+
+
+@once_per_application
+def raw_csv(spark, sf_dir, folder):
+    write_raw_csv(inputs.measures(spark, sf_dir), folder)
+
+
+@once_per_application
+def alternate_csv(spark, sf_dir, folder):
+    alternates = {new: old for old, new in ALTERNATE_HEADERS.items()}
+    df = inputs.measures(spark, sf_dir)
+    write_raw_csv(df.toDF(*(alternates.get(c, c) for c in df.columns)), folder)
+
+
+@once_per_application
+def silver_facilities(spark, sf_dir, folder):
+    write_silver(inputs.facilities(spark, sf_dir), folder)
+
+
+@once_per_application
+def silver_measures(spark, sf_dir, folder):
+    write_silver(inputs.measures(spark, sf_dir), folder)
+
+
+@once_per_application
+def published_gold(spark, sf_dir, folder):
+    write_gold(derived_gold(spark, sf_dir), folder)
+
+
+def write_raw_csv(df: DataFrame, folder: str) -> None:
+    df.write.mode("overwrite").option("header", True).csv(folder)
+
+
+def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(inputs.FACILITY_SCHEMA).parquet(silver_facilities(spark, sf_dir))
+
+
+def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(inputs.MEASURE_SCHEMA).parquet(silver_measures(spark, sf_dir))
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_gold(spark, published_gold(spark, sf_dir))
+
+
 def derived_gold(spark: SparkSession, sf_dir: str, **join_options) -> DataFrame:
-    return gold(inputs.measures(spark, sf_dir), inputs.facilities(spark, sf_dir), **join_options)
+    return gold(measures(spark, sf_dir), facilities(spark, sf_dir), **join_options)
 
 
 def naive_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transform in its plain order: right join, null the sentinel, drop, recode."""
-    from medallion.plans.gold import KEY, labelled
-
-    joined = project_measures(inputs.measures(spark, sf_dir)).join(
-        project_facility(inputs.facilities(spark, sf_dir)), KEY, "right"
+    joined = project_measures(measures(spark, sf_dir)).join(
+        project_facility(facilities(spark, sf_dir)), KEY, "right"
     )
     return labelled(clean.null_sentinel(joined).dropna(subset=REQUIRED_COLUMNS))
 
@@ -77,31 +146,13 @@ def csv_scan_inferred(spark, sf_dir):
 
 
 def conform_rename(spark, sf_dir):
-    folder = scratch_folder(spark, "raw-csv")
-    df = inputs.measures(spark, sf_dir)
-    alternates = {new: old for old, new in ALTERNATE_HEADERS.items()}
-    renamed = df.toDF(*(alternates.get(c, c) for c in df.columns))
-    renamed.write.mode("overwrite").option("header", True).csv(folder)
-    return snake_names(read_measures_csv(spark, folder))
+    return snake_names(read_measures_csv(spark, alternate_csv(spark, sf_dir)))
 
 
 def parquet_silver_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark, "silver")
     write_silver(inputs.facilities(spark, sf_dir), folder)
-    return snake_names(spark.read.parquet(folder))
-
-
-def raw_json(spark, sf_dir) -> str:
-    folder = scratch_folder(spark, "raw-json")
-    inputs.facilities(spark, sf_dir).write.mode("overwrite").json(folder)
-    return folder
-
-
-def raw_csv(spark, sf_dir) -> str:
-    folder = scratch_folder(spark, "raw-csv")
-    df = inputs.measures(spark, sf_dir)
-    df.write.mode("overwrite").option("header", True).csv(folder)
-    return folder
+    return snake_names(spark.read.schema(inputs.FACILITY_SCHEMA).parquet(folder))
 
 
 # --- Gold, step by step ---
@@ -109,12 +160,12 @@ def raw_csv(spark, sf_dir) -> str:
 
 def rate_diff(spark, sf_dir):
     diff = clean.rate_diff("Pred Readm Rate", "Exp Readm Rate").alias("R Rate Diff")
-    measures = project_measures(inputs.measures(spark, sf_dir))
-    return snake_names(measures.select("provider_id", "Pred Readm Rate", "Exp Readm Rate", diff))
+    df = project_measures(measures(spark, sf_dir))
+    return snake_names(df.select("provider_id", "Pred Readm Rate", "Exp Readm Rate", diff))
 
 
 def derived_merged(spark, sf_dir, **join_options):
-    return merged(inputs.measures(spark, sf_dir), inputs.facilities(spark, sf_dir), **join_options)
+    return merged(measures(spark, sf_dir), facilities(spark, sf_dir), **join_options)
 
 
 def null_sentinel(spark, sf_dir):
@@ -127,25 +178,21 @@ def require_columns(spark, sf_dir):
 
 
 def recoded_counts(df: DataFrame, column: str, mapping: dict[str, str]) -> DataFrame:
-    counted = clean.recode(df, column, mapping).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    counted = clean.recode(df, {column: mapping}).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return snake_names(counted)
 
 
 # --- published Gold ---
 
 
-def published(spark, sf_dir) -> str:
+def gold_partitioned_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark, "gold")
     write_gold(derived_gold(spark, sf_dir), folder)
-    return folder
-
-
-def gold_partitioned_roundtrip(spark, sf_dir):
-    return snake_names(read_gold(spark, published(spark, sf_dir)))
+    return snake_names(read_gold(spark, folder))
 
 
 def gold_partition_pruned(spark, sf_dir):
-    return snake_names(metrics.filter_rows(read_gold(spark, published(spark, sf_dir)), ["S1"]))
+    return snake_names(metrics.filter_rows(gold_table(spark, sf_dir), ["S1"]))
 
 
 def new_database(spark) -> tuple[str, str]:
@@ -165,33 +212,29 @@ def gold_repaired_count(spark, sf_dir):
     return catalog.count_rows(spark, table)
 
 
-def table_checks(spark, sf_dir):
-    database, folder = new_database(spark)
-    paths = Paths.under(folder)
-    catalog.create_tables(spark, paths, database)
-    run_silver(spark, sf_dir, paths, database)
-    result = None
-    for table in (catalog.GEN_INFO_TABLE, catalog.READMISSIONS_TABLE):
-        counted = catalog.count_rows(spark, f"`{database}`.`{table}`")
-        row = counted.select(F.lit(table).alias("table_name"), "c")
-        result = row if result is None else result.unionByName(row)
-    return result
+def pipeline_paths(spark, sf_dir, folder: str) -> Paths:
+    return replace(
+        Paths.under(folder),
+        gen_info_raw=raw_json(spark, sf_dir),
+        readmissions_raw=raw_csv(spark, sf_dir),
+    )
 
 
-def run_silver(spark, sf_dir, paths: Paths, database: str) -> None:
-    inputs.facilities(spark, sf_dir).write.mode("overwrite").json(paths.gen_info_raw)
-    raw = inputs.measures(spark, sf_dir).write.mode("overwrite").option("header", True)
-    raw.csv(paths.readmissions_raw)
-    run(spark, paths, "silver", database=database, show=False)
+def table_checks(spark, sf_dir):
+    database, folder = new_database(spark)
+    run(spark, pipeline_paths(spark, sf_dir, folder), "silver", database=database)
+    gen_info, readmissions = (
+        catalog.count_rows(spark, f"`{database}`.`{table}`").select(
+            F.lit(table).alias("table_name"), "c"
+        )
+        for table in (catalog.GEN_INFO_TABLE, catalog.READMISSIONS_TABLE)
+    )
+    return gen_info.unionByName(readmissions)
 
 
 def full_run(spark, sf_dir):
     database, folder = new_database(spark)
-    paths = Paths.under(folder)
-    inputs.facilities(spark, sf_dir).write.mode("overwrite").json(paths.gen_info_raw)
-    raw = inputs.measures(spark, sf_dir).write.mode("overwrite").option("header", True)
-    raw.csv(paths.readmissions_raw)
-    run(spark, paths, database=database, show=False)
+    run(spark, pipeline_paths(spark, sf_dir, folder), database=database, show=False)
     return snake_names(catalog.read_table(spark, f"`{database}`.`{catalog.GOLD_TABLE}`"))
 
 
@@ -201,7 +244,7 @@ def full_run(spark, sf_dir):
 def snapshots(spark, sf_dir, single_file_rows: int | None) -> str:
     """An old snapshot of one state, then a new one of all Gold rows."""
     folder = scratch_folder(spark, "snapshots")
-    df = read_gold(spark, published(spark, sf_dir))
+    df = gold_table(spark, sf_dir)
     old = metrics.filter_rows(df, ["S1"])
     write_snapshot(old, f"{folder}/old", rows=old.count())
     rows = df.count()
@@ -227,7 +270,6 @@ def snapshot_files(spark, sf_dir):
 
 def queries():
     over_gold = {
-        "gold": snake_names,
         "gold_count": lambda df: df.agg(F.count(F.lit(1)).alias("c")),
         "kpi_summary": lambda df: rounded(metrics.kpis(df, "R Rate Diff")),
         "kpi_summary_filtered": lambda df: rounded(
@@ -264,10 +306,10 @@ def queries():
         "conform_rename": conform_rename,
         "parquet_silver_roundtrip": parquet_silver_roundtrip,
         "project_facility": lambda spark, sf_dir: snake_names(
-            project_facility(inputs.facilities(spark, sf_dir))
+            project_facility(facilities(spark, sf_dir))
         ),
         "project_measures": lambda spark, sf_dir: snake_names(
-            project_measures(inputs.measures(spark, sf_dir))
+            project_measures(measures(spark, sf_dir))
         ),
         "right_join_raw": lambda spark, sf_dir: snake_names(derived_merged(spark, sf_dir)),
         "right_join_shuffled": lambda spark, sf_dir: snake_names(
@@ -276,15 +318,16 @@ def queries():
         "null_sentinel": null_sentinel,
         "require_columns": require_columns,
         "recode_measure": lambda spark, sf_dir: recoded_counts(
-            project_measures(inputs.measures(spark, sf_dir)), "Readm Type", READM_TYPES
+            project_measures(measures(spark, sf_dir)), "Readm Type", READM_TYPES
         ),
         "recode_ownership": lambda spark, sf_dir: recoded_counts(
-            project_facility(inputs.facilities(spark, sf_dir)), "Hosp Ownership", OWNERSHIPS
+            project_facility(facilities(spark, sf_dir)), "Hosp Ownership", OWNERSHIPS
         ),
         "recode_rating": lambda spark, sf_dir: recoded_counts(
-            project_facility(inputs.facilities(spark, sf_dir)), "Hosp Rating", RATINGS
+            project_facility(facilities(spark, sf_dir)), "Hosp Rating", RATINGS
         ),
         "rate_diff": rate_diff,
+        "gold": lambda spark, sf_dir: snake_names(derived_gold(spark, sf_dir)),
         "gold_shuffled": lambda spark, sf_dir: snake_names(
             derived_gold(spark, sf_dir, broadcast_limit=0)
         ),
@@ -299,6 +342,6 @@ def queries():
     }
     for name, query in over_gold.items():
         registered[name] = lambda spark, sf_dir, query=query: snake_names(
-            query(derived_gold(spark, sf_dir))
+            query(gold_table(spark, sf_dir))
         )
     return registered

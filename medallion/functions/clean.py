@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,21 +28,27 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     turn an outer join below into an inner one. ``dropna`` is a single predicate over all columns
     and does neither.
     """
-    for c in columns:
-        df = df.filter(_col(c).isNotNull())
-    return df
+    return df.filter(reduce(and_, (_col(c).isNotNull() for c in columns)))
 
 
 def require_present(df: DataFrame, columns: list[str], sentinel: str = SENTINEL) -> DataFrame:
     """``require`` after ``null_sentinel``, stated on the raw columns so that it reaches the scan."""
-    for c in columns:
-        df = df.filter(_col(c).isNotNull() & (_col(c) != sentinel))
-    return df
+    present = (_col(c).isNotNull() & (_col(c) != sentinel) for c in columns)
+    return df.filter(reduce(and_, present))
+
+
+def recode(df: DataFrame, mappings: dict[str, dict[str, str]]) -> DataFrame:
+    """Replace mapped values of the given columns in one pass; other values and null stay."""
+    return df.withColumns({c: recoded(c, mapping) for c, mapping in mappings.items()})
 
 
-def recode(df: DataFrame, column: str, mapping: dict[str, str]) -> DataFrame:
-    """Replace mapped values in one pass; other values and null stay."""
-    return df.replace(mapping, subset=[column])
+def recoded(column: str, mapping: dict[str, str]) -> Column:
+    """The label of a code, or the value itself where it has none."""
+    value = _col(column)
+    branches = F
+    for code, label in mapping.items():
+        branches = branches.when(value == code, F.lit(label))
+    return branches.otherwise(value)
 
 
 def key_as_long(column: str) -> Column:

@@ -34,18 +34,22 @@ def histogram(
     require_columns(df, metric)
     values = df.select(metric_value(metric).alias("v")).filter(F.abs("v") < float("inf"))
     bounds = _bounds(values, bins, mode)
-    lo, width, first, last = (bounds.scalar()[f] for f in ("lo", "width", "first", "last"))
-    v = F.col("v")
+    v, lo, width, first = F.col("v"), F.col("b.lo"), F.col("b.width"), F.col("b.first")
     place = F.floor((v - lo) / width) if mode == "exact" else F.floor(v / width) - first
+    start = lo + F.col("bin") * width if mode == "exact" else (first + F.col("bin")) * width
     counted = (
-        values.select(F.least(place, last).cast("int").alias("bin"))
+        values.select(v, bounds.scalar().alias("b"))
+        .select(F.least(place, F.col("b.last")).cast("int").alias("bin"), "b.*")
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.struct(*(F.any_value(c).alias(c) for c in ("lo", "width", "first"))).alias("b"),
+        )
     )
     if dense:
-        every = bounds.select(F.explode(F.sequence(F.lit(0), F.col("b.last").cast("int"))))
-        counted = every.toDF("bin").join(counted, "bin", "left").fillna(0, ["n"])
-    start = lo + F.col("bin") * width if mode == "exact" else (first + F.col("bin")) * width
+        numbers = F.explode(F.sequence(F.lit(0), F.col("b.last").cast("int")))
+        every = bounds.select(numbers.alias("bin"), "b")
+        counted = every.join(counted.drop("b"), "bin", "left").fillna(0, ["n"])
     return counted.select("bin", start.alias("bin_start"), "n").orderBy("bin")
 
 
