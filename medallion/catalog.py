@@ -34,6 +34,7 @@ def create_tables(spark: SparkSession, paths: Paths, database: str = DATABASE) -
         (READMISSIONS_TABLE, READMISSIONS, paths.readmissions, ""),
         (GOLD_TABLE, GOLD, paths.gold, f"PARTITIONED BY (`{PARTITION_COLUMN}`)"),
     ]:
+        location = location.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({schema.toDDL()}) "
             f"USING parquet {partitioning} LOCATION '{location}'"

@@ -64,8 +64,7 @@ def rate_diff(predicted: str, expected: str) -> Column:
 
 def metric_value(column: str) -> Column:
     """A metric as double; text that is no number, and NaN, count as null."""
-    number = _col(column).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(_col(column).try_cast("double"), F.lit(None).cast("double"))
 
 
 def kpi_label(value: Column) -> Column:
