@@ -68,9 +68,14 @@ _ALL_GOLD = f"{_GOLD} select * from gold"
 _SELECTED = "state in ('S1', 'S7', 'S31') and readm_type in ('AMI', 'Heart_Failure')"
 
 
+def _rounded(average: str) -> str:
+    # Adding zero turns the -0.0 that DuckDB's round may give into 0.0.
+    return f"round({average}, 6) + 0.0"
+
+
 def _mean(group: str, metric: str) -> str:
     return f"""{_GOLD}
-select {group}, round(avg(try_cast({metric} as double)), 6) as avg_metric
+select {group}, {_rounded(f"avg(try_cast({metric} as double))")} as avg_metric
 from gold where {group} is not null group by {group}"""
 
 
@@ -180,8 +185,10 @@ from rd""",
         "latest_snapshot": _ALL_GOLD,
         "latest_snapshot_parts": _ALL_GOLD,
         "snapshot_files": f"{_GOLD} select count(*) as c, 1 as files from gold",
-        "kpi_summary": _kpis("round(avg(r_rate_diff), 6)"),
-        "kpi_summary_filtered": _kpis("round(avg(try_cast(discharges as double)), 6)", _SELECTED),
+        "kpi_summary": _kpis(_rounded("avg(r_rate_diff)")),
+        "kpi_summary_filtered": _kpis(
+            _rounded("avg(try_cast(discharges as double))"), _SELECTED
+        ),
         "kpi_labels": _kpis("printf('%.2f', avg(r_rate_diff))"),
         "kpi_labels_empty": _kpis("coalesce(printf('%.2f', avg(r_rate_diff)), 'N/A')", "state = ''"),
         "mean_by_ownership": _mean("hosp_ownership", "r_rate_diff"),
