@@ -36,6 +36,8 @@ def _case(column: str, mapping: dict[str, str]) -> str:
     return f"case {column} {whens} else {column} end"
 
 
+_PARTIAL = [f for f in READMISSIONS if f.name not in ("State", "Footnote")]
+
 _INPUTS = f"with gi as ({FACILITIES}), rd as ({MEASURES})"
 
 _MEASURE_LIST = ", ".join(f'rd."{src}" as {snake(name)}' for name, src in MEASURE_COLUMNS.items())
@@ -73,10 +75,10 @@ def _rounded(average: str) -> str:
     return f"round({average}, 6) + 0.0"
 
 
-def _mean(group: str, metric: str) -> str:
+def _mean(group: str, metric: str, where: str = "true") -> str:
     return f"""{_GOLD}
 select {group}, {_rounded(f"avg(try_cast({metric} as double))")} as avg_metric
-from gold where {group} is not null group by {group}"""
+from gold where {group} is not null and {where} group by {group}"""
 
 
 def _kpis(average: str, where: str = "true") -> str:
@@ -87,12 +89,12 @@ from gold where {where}"""
 
 
 _VALUES = """{gold},
-vals as (select try_cast({metric} as double) as v from gold),
+vals as (select try_cast({metric} as double) as v from gold where {where}),
 ext as (select min(v) as lo, max(v) as hi, (max(v) - min(v)) / 20 as raw from vals)"""
 
 
-def _exact(metric: str) -> str:
-    return f"""{_VALUES.format(gold=_GOLD, metric=metric)},
+def _exact(metric: str, where: str = "true") -> str:
+    return f"""{_VALUES.format(gold=_GOLD, metric=metric, where=where)},
 placed as (
   select cast(case when raw > 0 then least(floor((v - lo) / raw), 19) else 0 end as integer) as bin,
     lo, raw
@@ -101,7 +103,7 @@ select bin, lo + bin * raw as bin_start, count(*) as n from placed group by bin,
 
 
 def _dense(metric: str) -> str:
-    return f"""{_VALUES.format(gold=_GOLD, metric=metric)},
+    return f"""{_VALUES.format(gold=_GOLD, metric=metric, where="true")},
 placed as (
   select cast(case when raw > 0 then least(floor((v - lo) / raw), 19) else 0 end as integer) as bin
   from vals, ext where v is not null),
@@ -116,7 +118,7 @@ def _nice(metric: str) -> str:
         f"select {step} * pow(10.0::double, floor(log10(raw))) as w, lo, hi, raw from ext"
         for step in (1, 2, 5, 10, 20)
     )
-    return f"""{_VALUES.format(gold=_GOLD, metric=metric)},
+    return f"""{_VALUES.format(gold=_GOLD, metric=metric, where="true")},
 widths as ({widths}),
 chosen as (
   select min(w) as w from widths where w >= raw and floor(hi / w) - floor(lo / w) < 20),
@@ -138,6 +140,7 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan_measures": measures_declared,
         "csv_scan_inferred": measures_declared,
         "conform_rename": measures_declared,
+        "conform_missing_columns": f"{_INPUTS} select {_typed(_PARTIAL, 'rd', as_declared=True)} from rd",
         "parquet_silver_roundtrip": (
             f"{_INPUTS} select {_typed(GEN_INFO, 'gi', as_declared=False)} from gi"
         ),
@@ -185,6 +188,9 @@ from rd""",
         "latest_snapshot": _ALL_GOLD,
         "latest_snapshot_parts": _ALL_GOLD,
         "snapshot_files": f"{_GOLD} select count(*) as c, 1 as files from gold",
+        "snapshot_provenance": (
+            f"{_GOLD} select count(*) > 0 as is_csv, count(*) > 0 as is_utc from gold"
+        ),
         "kpi_summary": _kpis(_rounded("avg(r_rate_diff)")),
         "kpi_summary_filtered": _kpis(
             _rounded("avg(try_cast(discharges as double))"), _SELECTED
@@ -204,6 +210,14 @@ from rd""",
         "filter_none": _ALL_GOLD,
         "states_list": f"{_GOLD} select distinct state from gold where state is not null",
         "types_list": f"{_GOLD} select distinct readm_type from gold where readm_type is not null",
+        "dashboard_kpis": _kpis(_rounded("avg(try_cast(pred_readm_rate as double))"), _SELECTED),
+        "dashboard_kpi_labels": _kpis(
+            "printf('%.2f', avg(try_cast(pred_readm_rate as double)))", _SELECTED
+        ),
+        "dashboard_mean_by_group": _mean("hosp_rating", "pred_readm_rate", _SELECTED),
+        "dashboard_mean_by_state": _mean("state", "pred_readm_rate", _SELECTED),
+        "dashboard_histogram": _exact("pred_readm_rate", _SELECTED),
+        "dashboard_rows": f"{_GOLD} select * from gold where {_SELECTED}",
         "preview_10": (
             f"{_ALL_GOLD} order by {', '.join(f'{snake(c)} nulls first' for c in GOLD.names)} "
             f"limit 10"

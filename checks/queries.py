@@ -14,6 +14,7 @@ from medallion.functions import clean
 from medallion.locations import Paths, scratch_folder
 from medallion.operators import metrics
 from medallion.operators.histogram import histogram
+from medallion.plans.dashboard import dashboard
 from medallion.plans.gold import (
     KEY,
     gold,
@@ -37,6 +38,7 @@ from medallion.sources import (
     read_gold,
     read_latest_snapshot,
     read_measures_csv,
+    snapshot_provenance,
 )
 
 STATES = ["S1", "S7", "S31"]
@@ -79,6 +81,11 @@ def alternate_csv(spark, sf_dir, folder):
     write_raw_csv(df.toDF(*(alternates.get(c, c) for c in df.columns)), folder)
 
 
+@once_per_application
+def partial_csv(spark, sf_dir, folder):
+    write_raw_csv(inputs.measures(spark, sf_dir).drop("State", "Footnote"), folder)
+
+
 @once_per_application
 def silver_facilities(spark, sf_dir, folder):
     write_silver(inputs.facilities(spark, sf_dir), folder)
@@ -149,6 +156,10 @@ def conform_rename(spark, sf_dir):
     return snake_names(read_measures_csv(spark, alternate_csv(spark, sf_dir)))
 
 
+def conform_missing_columns(spark, sf_dir):
+    return snake_names(read_measures_csv(spark, partial_csv(spark, sf_dir), strict=False))
+
+
 def parquet_silver_roundtrip(spark, sf_dir):
     folder = scratch_folder(spark, "silver")
     write_silver(inputs.facilities(spark, sf_dir), folder)
@@ -268,6 +279,22 @@ def snapshot_files(spark, sf_dir):
     )
 
 
+def provenance(spark, sf_dir):
+    return snapshot_provenance(spark, snapshots(spark, sf_dir, None)).select(
+        F.col("path").endswith(".csv").alias("is_csv"),
+        F.col("last_updated").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d UTC$").alias("is_utc"),
+    )
+
+
+# --- the analyst query set over a selection ---
+
+
+def selection(df: DataFrame) -> dict[str, DataFrame]:
+    return dashboard(
+        df, states=STATES, readm_types=TYPES, group_by="Hosp Rating", metric="Pred Readm Rate"
+    )
+
+
 def queries():
     over_gold = {
         "gold_count": lambda df: df.agg(F.count(F.lit(1)).alias("c")),
@@ -296,6 +323,12 @@ def queries():
         "filter_none": lambda df: metrics.filter_rows(df, [], []),
         "states_list": lambda df: metrics.picklist(df, "state"),
         "types_list": lambda df: metrics.picklist(df, "Readm Type"),
+        "dashboard_kpis": lambda df: rounded(selection(df)["kpis"]),
+        "dashboard_kpi_labels": lambda df: selection(df)["kpi_labels"],
+        "dashboard_mean_by_group": lambda df: rounded(selection(df)["mean_by_group"]),
+        "dashboard_mean_by_state": lambda df: rounded(selection(df)["mean_by_state"]),
+        "dashboard_histogram": lambda df: selection(df)["histogram"],
+        "dashboard_rows": lambda df: selection(df)["rows"],
         "preview_10": lambda df: df.orderBy(*(F.col(f"`{c}`") for c in GOLD.names)).limit(10),
     }
     registered = {
@@ -304,6 +337,7 @@ def queries():
         "csv_scan_measures": csv_scan_measures,
         "csv_scan_inferred": csv_scan_inferred,
         "conform_rename": conform_rename,
+        "conform_missing_columns": conform_missing_columns,
         "parquet_silver_roundtrip": parquet_silver_roundtrip,
         "project_facility": lambda spark, sf_dir: snake_names(
             project_facility(facilities(spark, sf_dir))
@@ -339,6 +373,7 @@ def queries():
         "latest_snapshot": latest_snapshot,
         "latest_snapshot_parts": latest_snapshot_parts,
         "snapshot_files": snapshot_files,
+        "snapshot_provenance": provenance,
     }
     for name, query in over_gold.items():
         registered[name] = lambda spark, sf_dir, query=query: snake_names(

@@ -39,16 +39,9 @@ def require_present(df: DataFrame, columns: list[str], sentinel: str = SENTINEL)
 
 def recode(df: DataFrame, mappings: dict[str, dict[str, str]]) -> DataFrame:
     """Replace mapped values of the given columns in one pass; other values and null stay."""
-    return df.withColumns({c: recoded(c, mapping) for c, mapping in mappings.items()})
-
-
-def recoded(column: str, mapping: dict[str, str]) -> Column:
-    """The label of a code, or the value itself where it has none."""
-    value = _col(column)
-    branches = F
-    for code, label in mapping.items():
-        branches = branches.when(value == code, F.lit(label))
-    return branches.otherwise(value)
+    for column, mapping in mappings.items():
+        df = df.replace(mapping, subset=[column])
+    return df
 
 
 def key_as_long(column: str) -> Column:

@@ -49,7 +49,8 @@ def histogram(
     if dense:
         numbers = F.explode(F.sequence(F.lit(0), F.col("b.last").cast("int")))
         every = bounds.select(numbers.alias("bin"), "b")
-        counted = every.join(counted.drop("b"), "bin", "left").fillna(0, ["n"])
+        # At most one row per bin on either side.
+        counted = every.join(F.broadcast(counted.drop("b")), "bin", "left").fillna(0, ["n"])
     return counted.select("bin", start.alias("bin_start"), "n").orderBy("bin")
 
 

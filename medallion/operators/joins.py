@@ -16,6 +16,7 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 ROWS_PER_TASK = 1_000_000
 
 _ROW_OVERHEAD = 64
+_CLEARLY_TOO_LARGE = 16
 _SALT = "__salt"
 _SALTS = "__salts"
 
@@ -23,14 +24,14 @@ _SALTS = "__salts"
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     """Whether the decoded rows of ``df`` take at most ``limit`` bytes.
 
-    The optimizer's estimate goes first, as it is free: files larger than the limit cannot decode
-    to less. It proves nothing for smaller files, which may be compressed to a fraction, so those
-    are measured exactly by one aggregate over the few columns that would be sent.
+    The optimizer's estimate is free, but it is drawn from compressed file sizes and proves
+    nothing: it only spares measuring what is clearly too large. Everything else is measured by
+    one aggregate over the few columns that would be sent.
     """
     if limit <= 0:
         return False
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if estimate > limit:
+    if estimate > _CLEARLY_TOO_LARGE * limit:
         return False
     row_bytes = F.lit(_ROW_OVERHEAD)
     for field in df.schema:

@@ -9,7 +9,7 @@ from medallion.functions.clean import (
     key_as_long,
     null_sentinel,
     rate_diff,
-    recoded,
+    recode,
     require_present,
 )
 from medallion.operators.joins import join_facilities, right_join_facilities
@@ -60,13 +60,9 @@ def gold(readmissions: DataFrame, gen_info: DataFrame, **join_options) -> DataFr
 
 def labelled(df: DataFrame) -> DataFrame:
     """Recode the three coded columns, add the rate difference, order the columns."""
-    derived = {
-        "Readm Type": recoded("Readm Type", READM_TYPES),
-        "Hosp Ownership": recoded("Hosp Ownership", OWNERSHIPS),
-        "Hosp Rating": recoded("Hosp Rating", RATINGS),
-        "R Rate Diff": rate_diff("Pred Readm Rate", "Exp Readm Rate"),
-    }
-    return df.select(*(derived.get(c, F.col(f"`{c}`")).alias(c) for c in GOLD.names))
+    labels = {"Readm Type": READM_TYPES, "Hosp Ownership": OWNERSHIPS, "Hosp Rating": RATINGS}
+    diff = rate_diff("Pred Readm Rate", "Exp Readm Rate")
+    return recode(df, labels).withColumn("R Rate Diff", diff).select(GOLD.names)
 
 
 def _project(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
