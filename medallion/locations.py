@@ -59,8 +59,18 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         folder = tempfile.mkdtemp(prefix=f"medallion-{purpose}-")
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    file_system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, file_system = _hadoop(spark, folder)
     file_system.mkdirs(path)
     file_system.deleteOnExit(path)
     return folder
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder before the application ends."""
+    path, file_system = _hadoop(spark, folder)
+    file_system.delete(path, True)
+
+
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

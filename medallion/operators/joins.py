@@ -1,9 +1,9 @@
 """Equi joins of a large measure side with a facility side of unknown size and skew.
 
 The facility side is broadcast when its measured size allows. Beyond that both sides are shuffled,
-and keys that hold more rows than one task should take are salted: their rows on the heavy side are
-spread over several salt values and the other side is copied once per value. No row is dropped or
-capped, and the result does not depend on which way was taken.
+and a key that holds more rows than one task should take, on either side, is salted: its rows on
+that side are spread over several salt values and the other side is copied once per value. No row
+is dropped or capped, and the result does not depend on which way was taken.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ ROWS_PER_TASK = 1_000_000
 
 _ROW_OVERHEAD = 64
 _CLEARLY_TOO_LARGE = 16
-_SALT = "__salt"
 _SALTS = "__salts"
+_LEFT_SALT = "__left_salt"
+_RIGHT_SALT = "__right_salt"
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
@@ -91,31 +92,48 @@ def right_join_facilities(
 
 
 def salted_join(
-    heavy: DataFrame,
-    light: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
     key: str,
     how: str,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Shuffled equi join that splits the hot keys of ``heavy``; ``how`` is inner or a left join.
+    """Shuffled equi join that splits hot keys; ``how`` is inner, or a left join.
+
+    An inner join splits the hot keys of both sides: a pair of rows meets under exactly one pair
+    of salts. A left join needs all partners of a left row in one place, so it splits the left
+    side only, and the right side should hold few rows per key.
 
     The salt comes from the row position, so identical rows spread as well. A re-run task must
-    give a row the salt it had before: ``heavy`` should be a table scan with filters, projections
-    or broadcast joins on top, which has a fixed row order. Write it to a table first if it holds
-    a shuffle.
+    give a row the salt it had before: a salted side should be a table scan with filters,
+    projections or broadcast joins on top, which has a fixed row order. Write it to a table first
+    if it holds a shuffle.
     """
-    hot = _hot_keys(heavy, key, rows_per_task)
-    if hot is None:
-        return heavy.join(light.hint("merge"), key, how)
-    salts = F.coalesce(F.col(_SALTS), F.lit(1))
-    spread = heavy.join(F.broadcast(hot), key, "left").withColumn(
-        _SALT, (F.monotonically_increasing_id() % salts).cast("int")
-    )
-    copied = light.join(F.broadcast(hot), key, "left").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    joined = spread.drop(_SALTS).join(copied.drop(_SALTS).hint("merge"), [key, _SALT], how)
-    return joined.drop(_SALT)
+    hot_left = _hot_keys(left, key, rows_per_task)
+    hot_right = _hot_keys(right, key, rows_per_task) if how == "inner" else None
+    on = [key]
+    if hot_left is not None:
+        left = _spread(left, hot_left, key, _LEFT_SALT)
+        right = _copied(right, hot_left, key, _LEFT_SALT)
+        on.append(_LEFT_SALT)
+    if hot_right is not None:
+        right = _spread(right, hot_right, key, _RIGHT_SALT)
+        left = _copied(left, hot_right, key, _RIGHT_SALT)
+        on.append(_RIGHT_SALT)
+    return left.join(right.hint("merge"), on, how).drop(_LEFT_SALT, _RIGHT_SALT)
+
+
+def _spread(df: DataFrame, hot: DataFrame, key: str, salt: str) -> DataFrame:
+    """Number the rows of a hot key round robin; other rows get salt 0."""
+    position = F.monotonically_increasing_id() % F.coalesce(F.col(_SALTS), F.lit(1))
+    salted = df.join(F.broadcast(hot), key, "left").withColumn(salt, position.cast("int"))
+    return salted.drop(_SALTS)
+
+
+def _copied(df: DataFrame, hot: DataFrame, key: str, salt: str) -> DataFrame:
+    """One copy of a row per salt of its key."""
+    salts = F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)
+    return df.join(F.broadcast(hot), key, "left").withColumn(salt, F.explode(salts)).drop(_SALTS)
 
 
 def _hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame | None:

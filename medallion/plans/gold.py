@@ -45,6 +45,11 @@ def merged(readmissions: DataFrame, gen_info: DataFrame, **join_options) -> Data
     )
 
 
+def usable_facilities(gen_info: DataFrame) -> DataFrame:
+    """The facilities that can be in Gold."""
+    return require_present(project_facility(gen_info), REQUIRED_FACILITY_COLUMNS)
+
+
 def gold(readmissions: DataFrame, gen_info: DataFrame, **join_options) -> DataFrame:
     """Gold rows: facilities right-joined to measures, sentinel nulled, required columns present.
 
@@ -53,8 +58,7 @@ def gold(readmissions: DataFrame, gen_info: DataFrame, **join_options) -> DataFr
     after that only the optional columns can still hold the sentinel.
     """
     measures = require_present(project_measures(readmissions), REQUIRED_MEASURE_COLUMNS)
-    facilities = require_present(project_facility(gen_info), REQUIRED_FACILITY_COLUMNS)
-    joined = join_facilities(measures, facilities, KEY, **join_options)
+    joined = join_facilities(measures, usable_facilities(gen_info), KEY, **join_options)
     return labelled(null_sentinel(joined, OPTIONAL_COLUMNS))
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from medallion import catalog
 from medallion.errors import EmptyResult, UnknownOption
-from medallion.locations import Paths
-from medallion.plans.gold import gold
+from medallion.locations import Paths, discard, scratch_folder
+from medallion.operators.joins import BROADCAST_LIMIT, fits_broadcast
+from medallion.plans.gold import gold, usable_facilities
 from medallion.plans.silver import build_gen_info, build_readmissions
 from medallion.sinks import SINGLE_FILE_ROWS, preview, write_gold, write_snapshot
 from medallion.sources import read_gold
@@ -34,20 +35,28 @@ def publish_gold(
     paths: Paths,
     table: str,
     *,
+    staged: bool = False,
     dynamic: bool = False,
     show: bool = True,
     single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> int:
     """Write Gold, register its partitions, write the snapshot. Returns the rows in Gold.
 
-    The transform runs once: count, preview and snapshot come from the table just written, and
-    the test for emptiness stops at the first row. An empty result raises and leaves the earlier
-    output in place.
+    An empty result raises and leaves the earlier output in place. Testing for it stops at the
+    first row, which is cheap unless a shuffle has to finish before there is one: ``staged`` then
+    writes the rows to the shared folder first, so that no shuffle runs twice. Count, preview and
+    snapshot come from the table just written.
     """
     spark = df.sparkSession
-    if df.isEmpty():
-        raise EmptyResult("the Gold result has no row; nothing was written")
-    write_gold(df, paths.gold, dynamic=dynamic)
+    if staged:
+        folder = scratch_folder(spark, "gold-staged")
+        try:
+            df.write.mode("overwrite").parquet(folder)
+            _write_if_any(spark.read.schema(df.schema).parquet(folder), paths.gold, dynamic)
+        finally:
+            discard(spark, folder)
+    else:
+        _write_if_any(df, paths.gold, dynamic)
     catalog.repair_partitions(spark, table, drop_missing=True)
     written = read_gold(spark, paths.gold)
     rows = written.count()
@@ -57,6 +66,27 @@ def publish_gold(
     return rows
 
 
+def _write_if_any(df: DataFrame, path: str, dynamic: bool) -> None:
+    if df.isEmpty():
+        raise EmptyResult("the Gold result has no row; nothing was written")
+    write_gold(df, path, dynamic=dynamic)
+
+
+def build_gold(
+    readmissions: DataFrame,
+    gen_info: DataFrame,
+    paths: Paths,
+    table: str,
+    *,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    **publish_options,
+) -> int:
+    """The Gold transform and its publication; staged when its join has to shuffle."""
+    fits = fits_broadcast(usable_facilities(gen_info), broadcast_limit)
+    result = gold(readmissions, gen_info, broadcast_limit=broadcast_limit if fits else 0)
+    return publish_gold(result, paths, table, staged=not fits, **publish_options)
+
+
 def run(
     spark: SparkSession,
     paths: Paths,
@@ -66,6 +96,7 @@ def run(
     strict: bool = True,
     dynamic: bool = False,
     show: bool = True,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> RunReport:
     """Run a stage, or all of them in order; the first error stops the run."""
     if stage not in STAGES:
@@ -84,10 +115,13 @@ def run(
         elif step == "checks":
             report.rows.update(catalog.check_tables(spark, [gen_info, readmissions]))
         else:
-            result = gold(
-                catalog.read_table(spark, readmissions), catalog.read_table(spark, gen_info)
-            )
-            report.rows["gold"] = publish_gold(
-                result, paths, gold_table, dynamic=dynamic, show=show
+            report.rows["gold"] = build_gold(
+                catalog.read_table(spark, readmissions),
+                catalog.read_table(spark, gen_info),
+                paths,
+                gold_table,
+                broadcast_limit=broadcast_limit,
+                dynamic=dynamic,
+                show=show,
             )
     return report

@@ -64,6 +64,22 @@ def test_salted_join_equals_plain_join(sides, how, rows_per_task):
     assert rows(got) == rows(left.join(right, "k", how))
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 4, 30])
+def test_keys_hot_on_the_other_side_or_on_both(sides, rows_per_task, conf):
+    left, right = sides
+    conf("spark.sql.shuffle.partitions", "5")
+    expected = rows(right.join(left, "k"))
+    assert rows(salted_join(right, left, "k", "inner", rows_per_task)) == expected
+
+
+def test_both_sides_are_split_in_an_inner_join(sides):
+    left, right = sides
+    plan = physical_plan_of(salted_join(left, right, "k", "inner", 2))
+    assert "__left_salt" in plan and "__right_salt" in plan
+    plan = physical_plan_of(salted_join(left, right, "k", "left_anti", 2))
+    assert "__left_salt" in plan and "__right_salt" not in plan
+
+
 def test_no_partner_on_either_side(spark):
     left = spark.createDataFrame([(1, "m")], "k long, m string")
     none = spark.createDataFrame([], "k long, f string")

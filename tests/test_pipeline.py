@@ -83,6 +83,29 @@ def test_full_run(spark, paths, database, capsys):
     assert table.columns[-1] == "state" and table.count() == 2
 
 
+def test_run_with_a_shuffled_join_is_staged_and_gives_the_same(spark, paths, database):
+    write_raw(
+        paths,
+        [raw_facility(1), raw_facility(2)],
+        [raw_measure(1, "AK"), raw_measure(2, "TX"), raw_measure(2, "TX", "Not Available")],
+    )
+    run(spark, paths, database=database, show=False)
+    expected = rows(read_gold(spark, paths.gold))
+    run(spark, paths, "gold", database=database, show=False, broadcast_limit=0)
+    assert rows(read_gold(spark, paths.gold)) == expected
+    assert len(expected) == 2
+    shared = os.listdir(spark.conf.get("spark.checkpoint.dir"))
+    assert not [name for name in shared if name.startswith("gold-staged")]
+
+
+def test_staged_empty_gold_raises_too(spark, paths, database):
+    catalog.create_tables(spark, paths, database)
+    none = gold_rows(spark, {}).filter("false")
+    with pytest.raises(EmptyResult):
+        publish_gold(none, paths, f"`{database}`.gold_merged", staged=True, show=False)
+    assert not os.path.exists(paths.gold)
+
+
 def test_stages_run_apart(spark, paths, database):
     write_raw(paths, [raw_facility(1)], [raw_measure(1, "AK")])
     assert run(spark, paths, "silver", database=database).rows == {
