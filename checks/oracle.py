@@ -187,7 +187,9 @@ from rd""",
         "full_run": _ALL_GOLD,
         "latest_snapshot": _ALL_GOLD,
         "latest_snapshot_parts": _ALL_GOLD,
-        "snapshot_files": f"{_GOLD} select count(*) as c, 1 as files from gold",
+        "snapshot_files": (
+            f"{_GOLD} select count(*) as c, true as one_file_when_small from gold"
+        ),
         "snapshot_provenance": (
             f"{_GOLD} select count(*) > 0 as is_csv, count(*) > 0 as is_utc from gold"
         ),

@@ -32,7 +32,7 @@ from medallion.schemas import (
     READM_TYPES,
     REQUIRED_COLUMNS,
 )
-from medallion.sinks import write_gold, write_silver, write_snapshot
+from medallion.sinks import SINGLE_FILE_ROWS, write_gold, write_silver, write_snapshot
 from medallion.sources import (
     read_gen_info_json,
     read_gold,
@@ -260,7 +260,7 @@ def snapshots(spark, sf_dir, single_file_rows: int | None) -> str:
     write_snapshot(old, f"{folder}/old", rows=old.count())
     rows = df.count()
     bound = {} if single_file_rows is None else {"single_file_rows": single_file_rows}
-    write_snapshot(df.repartition(4), f"{folder}/new", rows=rows, **bound)
+    write_snapshot(df, f"{folder}/new", rows=rows, **bound)
     return folder
 
 
@@ -274,9 +274,11 @@ def latest_snapshot_parts(spark, sf_dir):
 
 def snapshot_files(spark, sf_dir):
     df = read_latest_snapshot(spark, snapshots(spark, sf_dir, None))
-    return df.select(F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("c"), F.countDistinct("file").cast("int").alias("files")
+    counted = df.select(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("c"), F.countDistinct("file").alias("files")
     )
+    small = F.col("c") <= SINGLE_FILE_ROWS
+    return counted.select("c", (small == (F.col("files") == 1)).alias("one_file_when_small"))
 
 
 def provenance(spark, sf_dir):

@@ -53,7 +53,8 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def count_rows(spark: SparkSession, table: str) -> DataFrame:
-    """One row ``c``: the number of rows of a table, from the Parquet footers."""
+    """One row ``c``: the number of rows of a table, from the footers of its present files."""
+    spark.catalog.refreshTable(table)
     return spark.sql(f"SELECT count(1) AS c FROM {table} LIMIT 1")
 
 

@@ -120,6 +120,19 @@ def test_stages_run_apart(spark, paths, database):
         run(spark, paths, "app", database=database)
 
 
+def test_second_full_run_in_the_same_session_sees_the_new_data(spark, paths, database):
+    write_raw(paths, [raw_facility(1)], [raw_measure(1, "AK")])
+    run(spark, paths, database=database, show=False)
+    with open(f"{paths.gen_info_raw}/b.json", "w") as f:
+        f.write(json.dumps(raw_facility(2)) + "\n")
+    with open(f"{paths.readmissions_raw}/b.csv", "w") as f:
+        f.write(",".join(READMISSIONS.names) + "\n")
+        f.write(",".join(raw_measure(2, "TX").get(c, "") for c in READMISSIONS.names) + "\n")
+    report = run(spark, paths, database=database, show=False)
+    assert set(report.rows.values()) == {2}
+    assert catalog.count_rows(spark, f"`{database}`.gold_merged").first()["c"] == 2
+
+
 def test_second_run_forgets_states_that_are_gone(spark, paths, database):
     gold_table = f"`{database}`.gold_merged"
     catalog.create_tables(spark, paths, database)
