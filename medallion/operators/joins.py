@@ -53,7 +53,10 @@ def join_facilities(
     broadcast_limit: int = BROADCAST_LIMIT,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Inner equi join. Null keys never match; repeated facility keys repeat the measures."""
+    """Inner equi join. Null keys never match; repeated facility keys repeat the measures.
+
+    The way is chosen when this is called, by one or two aggregates.
+    """
     if fits_broadcast(facilities, broadcast_limit):
         return measures.join(F.broadcast(facilities), key)
     return salted_join(measures, facilities, key, "inner", rows_per_task)
@@ -152,6 +155,7 @@ def _hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame | None:
         .filter(F.col("n") > rows_per_task)
         .orderBy(F.desc("n"), key)
         .limit(partitions)
+        .coalesce(1)  # merge in a task what each partition found, not in the driver
         .collect()
     )
     if not hottest:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.inputs import FACILITIES, MEASURES
+from medallion_checks.inputs import FACILITIES, MEASURES
 from medallion.schemas import (
     FACILITY_COLUMNS,
     GEN_INFO,

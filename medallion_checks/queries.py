@@ -7,8 +7,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import inputs
-from checks.oracle import snake
+from medallion_checks import inputs
+from medallion_checks.oracle import snake
 from medallion import catalog
 from medallion.functions import clean
 from medallion.locations import Paths, scratch_folder
