@@ -32,7 +32,7 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def require_present(df: DataFrame, columns: list[str], sentinel: str = SENTINEL) -> DataFrame:
-    """``require`` after ``null_sentinel``, stated on the raw columns so that it reaches the scan."""
+    """``require`` after ``null_sentinel``, stated on the raw columns to reach the scan."""
     present = (_col(c).isNotNull() & (_col(c) != sentinel) for c in columns)
     return df.filter(reduce(and_, present))
 

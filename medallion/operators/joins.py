@@ -105,7 +105,8 @@ def salted_join(
 
     An inner join splits the hot keys of both sides: a pair of rows meets under exactly one pair
     of salts. A left join needs all partners of a left row in one place, so it splits the left
-    side only, and the right side should hold few rows per key.
+    side only, and the right side should hold few rows per key. Left rows without a key should be
+    set apart before, as they all hash to one task.
 
     The salt comes from the row position, so identical rows spread as well. A re-run task must
     give a row the salt it had before: a salted side should be a table scan with filters,

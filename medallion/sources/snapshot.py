@@ -32,7 +32,8 @@ def latest_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 def snapshot_provenance(spark: SparkSession, folder: str) -> DataFrame:
     """``latest_csv`` with its time as text in UTC: (path, last_updated)."""
-    return latest_csv(spark, folder).select("path", utc_label(F.col("modified")).alias("last_updated"))
+    last_updated = utc_label(F.col("modified")).alias("last_updated")
+    return latest_csv(spark, folder).select("path", last_updated)
 
 
 def utc_label(time: Column) -> Column:

@@ -71,7 +71,8 @@ select
   case when o_custkey % 19 = 0 then null else o_custkey end as "Provider ID",
   case when o_orderkey % 29 = 0 then null
     else concat('S', cast(o_custkey % 50 as varchar(3))) end as "State",
-  case o_orderpriority when '1-URGENT' then 'READM_30_PN_HRRP' when '2-HIGH' then 'READM_30_AMI_HRRP'
+  case o_orderpriority when '1-URGENT' then 'READM_30_PN_HRRP'
+    when '2-HIGH' then 'READM_30_AMI_HRRP'
     when '3-MEDIUM' then 'READM_30_COPD_HRRP' when '4-NOT SPECIFIED' then 'READM_30_CABG_HRRP'
     else (case when o_orderkey % 2 = 0 then 'READM_30_HF_HRRP' else 'READM_30_HIP_KNEE_HRRP' end)
     end as "Measure Name",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from medallion_checks.inputs import FACILITIES, MEASURES
 from medallion.schemas import (
     FACILITY_COLUMNS,
     GEN_INFO,
@@ -15,6 +14,7 @@ from medallion.schemas import (
     REQUIRED_COLUMNS,
     SENTINEL,
 )
+from medallion_checks.inputs import FACILITIES, MEASURES
 
 
 def snake(name: str) -> str:
@@ -140,7 +140,9 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan_measures": measures_declared,
         "csv_scan_inferred": measures_declared,
         "conform_rename": measures_declared,
-        "conform_missing_columns": f"{_INPUTS} select {_typed(_PARTIAL, 'rd', as_declared=True)} from rd",
+        "conform_missing_columns": (
+            f"{_INPUTS} select {_typed(_PARTIAL, 'rd', as_declared=True)} from rd"
+        ),
         "parquet_silver_roundtrip": (
             f"{_INPUTS} select {_typed(GEN_INFO, 'gi', as_declared=False)} from gi"
         ),
@@ -198,7 +200,9 @@ from rd""",
             _rounded("avg(try_cast(discharges as double))"), _SELECTED
         ),
         "kpi_labels": _kpis("printf('%.2f', avg(r_rate_diff))"),
-        "kpi_labels_empty": _kpis("coalesce(printf('%.2f', avg(r_rate_diff)), 'N/A')", "state = ''"),
+        "kpi_labels_empty": _kpis(
+            "coalesce(printf('%.2f', avg(r_rate_diff)), 'N/A')", "state = ''"
+        ),
         "mean_by_ownership": _mean("hosp_ownership", "r_rate_diff"),
         "mean_by_rating": _mean("hosp_rating", "r_rate_diff"),
         "mean_by_rating_text_metric": _mean("hosp_rating", "readmissions"),

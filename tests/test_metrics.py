@@ -24,14 +24,23 @@ from medallion.sources import read_gold
 
 @pytest.fixture(scope="module")
 def sample(spark):
-    return gold_rows(
-        spark,
-        {"provider_id": 1, "state": "AK", "Readm Type": "AMI", "R Rate Diff": 1.0, "Hosp Rating": "1 Star", "Hosp Ownership": "Prop", "Discharges": "10"},
-        {"provider_id": 1, "state": "AK", "Readm Type": "Hip_Knee", "R Rate Diff": 2.0, "Hosp Rating": "1 Star", "Hosp Ownership": "Prop", "Discharges": "Too Few"},
-        {"provider_id": 2, "state": "TX", "Readm Type": "AMI", "R Rate Diff": 6.0, "Hosp Rating": "2 Star", "Hosp Ownership": "Local", "Discharges": "20"},
-        {"provider_id": None, "state": "TX", "Readm Type": "AMI", "R Rate Diff": None, "Hosp Rating": "3 Star", "Hosp Ownership": None, "Discharges": "NaN"},
-        {"provider_id": 3, "state": None, "Readm Type": None, "R Rate Diff": 7.0, "Hosp Rating": None, "Hosp Ownership": "Tribal"},
-    )
+    names = [
+        "provider_id",
+        "state",
+        "Readm Type",
+        "R Rate Diff",
+        "Hosp Rating",
+        "Hosp Ownership",
+        "Discharges",
+    ]
+    values = [
+        (1, "AK", "AMI", 1.0, "1 Star", "Prop", "10"),
+        (1, "AK", "Hip_Knee", 2.0, "1 Star", "Prop", "Too Few"),
+        (2, "TX", "AMI", 6.0, "2 Star", "Local", "20"),
+        (None, "TX", "AMI", None, "3 Star", None, "NaN"),
+        (3, None, None, 7.0, None, "Tribal", None),
+    ]
+    return gold_rows(spark, *(dict(zip(names, v, strict=True)) for v in values))
 
 
 def test_filters(sample):
@@ -240,10 +249,7 @@ def test_dashboard(spark, gold_path):
 
 def test_dashboard_prunes_partitions_and_columns(spark, gold_path):
     out = dashboard(read_gold(spark, gold_path), states=["S1"])
-    scan = next(
-        line
-        for line in out["mean_by_group"]._jdf.queryExecution().executedPlan().toString().splitlines()
-        if "FileScan" in line
-    )
+    plan = out["mean_by_group"]._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "PartitionFilters: [isnotnull(state" in scan
     assert "ReadSchema: struct<Hosp Ownership:string,R Rate Diff:double>" in scan
