@@ -45,7 +45,8 @@ def read_latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of the newest snapshot below ``folder``; no rows when there is none.
 
     A snapshot too large for one file has several parts. They share the write id in their names,
-    so the whole write is read, not the newest part alone.
+    so the whole write is read, not the newest part alone. Values may hold line breaks, so a file
+    is one task; the bound on one-file snapshots bounds that task as well.
     """
     newest = latest_csv(spark, folder).first()["path"]
     if newest is None:
@@ -56,6 +57,7 @@ def read_latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
+        .option("multiLine", True)
         .schema(GOLD)
         .csv(f"{_literal(parent)}/{pattern}")
     )

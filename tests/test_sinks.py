@@ -35,6 +35,13 @@ def test_gold_round_trip(spark, tmp_path):
     assert rows(read_gold(spark, str(tmp_path / "gold"))) == rows(df)
 
 
+def test_states_with_odd_names(spark, tmp_path):
+    names = ["A/B", "x=y", "N:M", "100%", "Ü b", "01", "null", "None", "2024-01-01"]
+    df = gold_rows(spark, *({"state": name} for name in names))
+    write_gold(df, str(tmp_path / "gold"))
+    assert rows(read_gold(spark, str(tmp_path / "gold"))) == rows(df)
+
+
 @pytest.mark.parametrize(("dynamic", "left"), [(False, ["TX"]), (True, ["AK", "TX"])])
 def test_overwrite_of_all_or_of_the_written_states(spark, tmp_path, dynamic, left):
     path = str(tmp_path / "gold")

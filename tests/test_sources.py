@@ -207,6 +207,12 @@ def test_all_parts_of_the_newest_snapshot_are_read(spark, tmp_path):
     assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
 
 
+def test_snapshot_keeps_line_breaks_quotes_and_commas(spark, tmp_path):
+    texts = ["two\nlines", 'a "quoted" word', "a, b", "back\\slash", 'mixed ", \n "x"']
+    df = snapshot(spark, tmp_path / "s", *({"Hosp Ownership": t} for t in texts))
+    assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
+
+
 def test_no_snapshot_gives_no_rows(spark, tmp_path):
     os.makedirs(tmp_path / "s")
     assert latest_csv(spark, str(tmp_path / "s")).collect() == [(None, None)]
