@@ -98,15 +98,20 @@ def run(
     show: bool = True,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> RunReport:
-    """Run a stage, or all of them in order; the first error stops the run."""
+    """Run a stage, or all of them in order; the first error stops the run.
+
+    The stages that write declare the tables first. The checks do not, so that they fail on tables
+    nobody has made.
+    """
     if stage not in STAGES:
         raise UnknownOption(f"stage {stage!r}, allowed: {list(STAGES)}")
     gen_info = f"`{database}`.`{catalog.GEN_INFO_TABLE}`"
     readmissions = f"`{database}`.`{catalog.READMISSIONS_TABLE}`"
     gold_table = f"`{database}`.`{catalog.GOLD_TABLE}`"
     report = RunReport()
-    catalog.create_tables(spark, paths, database)
     for step in STAGES[stage]:
+        if step != "checks":
+            catalog.create_tables(spark, paths, database)
         if step == "silver":
             report.rows["gen_info"] = build_gen_info(spark, paths.gen_info_raw, paths.gen_info)
             report.rows["readmissions"] = build_readmissions(

@@ -120,6 +120,11 @@ def test_stages_run_apart(spark, paths, database):
         run(spark, paths, "app", database=database)
 
 
+def test_checks_fail_on_tables_nobody_made(spark, paths, database):
+    with pytest.raises(Exception, match="NOT_FOUND"):
+        run(spark, paths, "checks", database=database)
+
+
 def test_second_full_run_in_the_same_session_sees_the_new_data(spark, paths, database):
     write_raw(paths, [raw_facility(1)], [raw_measure(1, "AK")])
     run(spark, paths, database=database, show=False)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import gold_rows, rows
-from medallion.locations import Paths, scratch_folder
+from medallion.locations import Paths, discard, scratch_folder
 from medallion.schemas import GOLD
 from medallion.sinks import preview, write_gold, write_silver, write_snapshot
 from medallion.sources import read_gold
@@ -129,3 +129,33 @@ def test_scratch_lies_in_the_shared_folder(spark):
     one, two = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert one != two
     assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class SessionWithoutSharedFolder:
+    """A session whose ``spark.checkpoint.dir`` is not set."""
+
+    def __init__(self, spark, master):
+        self.conf = {}
+        self.sparkContext = type(
+            "Context",
+            (),
+            {
+                "master": master,
+                "_jvm": spark.sparkContext._jvm,
+                "_jsc": spark.sparkContext._jsc,
+            },
+        )
+
+
+def test_only_a_local_session_may_do_without_the_shared_folder(spark):
+    folder = scratch_folder(SessionWithoutSharedFolder(spark, "local[2]"), "x")
+    assert os.path.isdir(folder)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(SessionWithoutSharedFolder(spark, "yarn"), "x")
+
+
+def test_discarded_scratch_is_gone(spark):
+    folder = scratch_folder(spark, "x")
+    spark.range(3).write.mode("overwrite").parquet(folder)
+    discard(spark, folder)
+    assert not os.path.exists(folder)
