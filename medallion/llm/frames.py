@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+import medallion
 from medallion.locations import scratch_folder
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` with a function that uses this package, which the executors need not have installed."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(medallion.__file__).parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="medallion-code-"), "medallion_code.zip")
+        with zipfile.ZipFile(archive, "w") as target:
+            for source in sorted(root.rglob("*.py")):
+                target.write(source, source.relative_to(root.parent))
+        context.addPyFile(os.path.realpath(archive))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(function, schema)
+
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as a table in the shared folder, and read again: it survives lost executors."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.llm.frames import stored
+from medallion.llm.frames import map_arrow, stored
 from medallion.llm.tokens import encode
 
 CAPACITY = 4096
@@ -66,7 +66,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, e
                 columns += [pa.array(kept, pa.list_(pa.int64()))] * ids
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, T.StructType(fields))
+    return map_arrow(docs.select("doc_id", "text"), cut, T.StructType(fields))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -176,7 +176,7 @@ def place(pieces: DataFrame, *, capacity: int = CAPACITY, rows_per_task: int = R
 
     given = pieces.drop("sequence_id", "offset", "rank")
     schema = T.StructType([*given.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked(given, rows_per_task).select(*given.columns, "rank").mapInArrow(give, schema)
+    return map_arrow(ranked(given, rows_per_task).select(*given.columns, "rank"), give, schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:

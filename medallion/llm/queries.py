@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.llm import packing, simple8b
+from medallion.llm import near_dups, packing, simple8b, toxicity
 from medallion.llm.frames import table
 from medallion.locations import scratch_folder
 
@@ -23,12 +24,25 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
 
 
+def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(documents(spark, sf_dir), near_dups.Similarity(words=3, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "simple8b")
     simple8b.write_ids(documents(spark, sf_dir), path, public_tokenizers.path(BYTE_BPE))
     return simple8b.read_ids(spark.read.parquet(path))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    held_out = toxicity.is_held_out()
+    predicted = (F.col("score") >= toxicity.CUT).cast("int")
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
 

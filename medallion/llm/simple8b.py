@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.llm.frames import map_arrow
 from medallion.llm.tokens import encode
 
 #: (ids in a word, bits of each) by selector; selector 0 is the escape.
@@ -182,7 +183,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2) ->
 
     tie = F.monotonically_increasing_id()
     ordered = docs.select("doc_id", "text", tie.alias("tie")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "text").mapInArrow(write, schema).write.mode("overwrite").parquet(path)
+    map_arrow(ordered.select("doc_id", "text"), write, schema).write.mode("overwrite").parquet(path)
 
 
 def read_ids(pages: DataFrame, *, ids: bool = False) -> DataFrame:
@@ -207,7 +208,7 @@ def read_ids(pages: DataFrame, *, ids: bool = False) -> DataFrame:
                     columns.append(pa.ListArray.from_arrays(offsets, pa.array(found.astype(np.int64))))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    rows = pages.select("part", "start", "doc_ids", "ids").mapInArrow(read, T.StructType(fields))
+    rows = map_arrow(pages.select("part", "start", "doc_ids", "ids"), read, T.StructType(fields))
     totals = pages.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     before = totals.select("part", (F.sum("n_ids").over(Window.orderBy("part")) - F.col("n_ids")).alias("before"))
     return rows.join(before, "part").select(
