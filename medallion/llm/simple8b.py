@@ -29,7 +29,7 @@ from medallion.llm.tokens import encode
 SELECTORS = [(1, 60), (1, 60), (2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (7, 8), (8, 7), (10, 6), (12, 5), (15, 4), (20, 3), (30, 2), (60, 1), (240, 0)]
 BLOCK_IDS = 1024
 #: Ids after which a page ends; a longer document has a page of its own.
-PAGE_IDS = 1 << 18
+PAGE_IDS = 1 << 17
 _COUNT = np.array([n for n, _ in SELECTORS])
 _BITS = np.array([b for _, b in SELECTORS])
 _HEAD = struct.Struct("<4sIIII")

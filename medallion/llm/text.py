@@ -1,7 +1,7 @@
 """Words, hashes and shingles of Arrow text columns, vectorised over the column's own bytes.
 
 A column's UTF-8 buffer is used as it is; a null text counts as empty. Separators are ASCII bytes,
-so cutting bytes cuts code points alike. Work goes in slices of a few megabytes (one text at least),
+so cutting bytes cuts code points alike. Work goes in slices of a megabyte (one text at least),
 which bounds memory whatever the batch holds.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _POWERS: dict[str, np.ndarray] = {}

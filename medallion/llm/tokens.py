@@ -18,7 +18,7 @@ import pyarrow as pa
 from medallion.llm.text import RAW_TABLE, WORD_TABLE, hash_spans, slices, word_spans
 
 #: Distinct pieces remembered by one worker; later ones are encoded each time they are met.
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 500_000
 _WHOLE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|<\|"
 )
@@ -65,8 +65,8 @@ class PieceEncoder:
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, counts = [], np.empty(len(texts), np.int64)
-        for low in range(0, len(texts), 20_000):
-            for k, x in enumerate(self.tokenizer.encode_batch(texts[low : low + 20_000], add_special_tokens=False)):
+        for low in range(0, len(texts), 5_000):
+            for k, x in enumerate(self.tokenizer.encode_batch(texts[low : low + 5_000], add_special_tokens=False)):
                 got = x.ids
                 counts[low + k] = len(got)
                 ids.extend(got)
