@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import near_dups, packing, simple8b, toxicity
+from medallion.llm import decontamination, near_dups, packing, pii, simple8b, toxicity
 from medallion.llm.frames import table
 from medallion.locations import scratch_folder
 
@@ -24,6 +24,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(documents(spark, sf_dir)))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(documents(spark, sf_dir), near_dups.Similarity(words=3, percent=85))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
