@@ -8,7 +8,8 @@ import zipfile
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import medallion
@@ -41,3 +42,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str]) -> DataFrame:
     """The named columns of a given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+
+
+def is_held_out(doc_id: str = "doc_id") -> Column:
+    """Rows that no model learns from: crc32 of the id as text leaves 1 when divided by 3."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def sampled(group: str, shares: dict, doc_id: str = "doc_id") -> Column:
+    """Whether a hash of the id picks a row, at the share of its group (1 or more: every row)."""
+    share = F.lit(0.0)
+    for value, part in shares.items():
+        share = F.when(F.col(group) == value, F.lit(float(part))).otherwise(share)
+    return F.pmod(F.xxhash64(doc_id), F.lit(1_000_003)) < share * 1_000_003

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontamination, near_dups, packing, pii, simple8b, toxicity
-from medallion.llm.frames import table
+from medallion.llm import decontamination, langid, near_dups, packing, pii, simple8b, toxicity
+from medallion.llm.frames import is_held_out, table
 from medallion.locations import scratch_folder
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -43,10 +44,16 @@ def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read_ids(spark.read.parquet(path))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "lang")
+    model = langid.fit(docs, public_tokenizers.path(PIECES))
+    return langid.predict(docs, model).select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
-    held_out = toxicity.is_held_out()
+    held_out = is_held_out()
     predicted = (F.col("score") >= toxicity.CUT).cast("int")
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.llm.frames import map_arrow
+from medallion.llm.frames import is_held_out, map_arrow, sampled
 from medallion.llm.text import LETTER_TABLE, hash_spans, slices, word_spans
 
 CUT = 0.7
@@ -31,6 +31,8 @@ PREFIXES = (4, 5)
 MOST_TOXIC, MOST_CLEAN, MOST_CHARS = 1000, 2000, 30_000
 #: A feature needs this many sampled texts to get an embedding.
 LEAST_TEXTS = 5
+#: ... and its share among toxic and clean texts must differ by so many standard deviations.
+LEAST_DEVIATION = 4.0
 #: After training, embeddings with less than this share of the largest effect on a score are dropped.
 LEAST_EFFECT = 0.05
 _INDEX_BITS = 22
@@ -153,7 +155,7 @@ class Model:
         return np.concatenate(found)
 
 
-def train(texts: pa.Array, toxic: np.ndarray, *, epochs: int = 4, batch: int = 24, rate: float = 0.01, seed: int = 7) -> Model:
+def train(texts: pa.Array, toxic: np.ndarray, *, steps: int = 500, batch: int = 24, rate: float = 0.01, seed: int = 7) -> Model:
     """A model of the texts' labels; a fifth of the texts calibrates the thresholds."""
     rng = np.random.default_rng(seed)
     hashes, begins = [], []
@@ -164,8 +166,8 @@ def train(texts: pa.Array, toxic: np.ndarray, *, epochs: int = 4, batch: int = 2
     count = np.concatenate(begins) if begins else np.empty(0, np.int64)
     begin = np.append(0, np.cumsum(count))
     each = [np.unique(hashes[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
-    known, times = np.unique(np.concatenate([*each, np.empty(0, np.uint64)]), return_counts=True)
-    known = known[(times >= LEAST_TEXTS) & (known != 0)]
+    toxic = np.asarray(toxic, np.float32)
+    known = _telling(each, toxic)
     _, single = np.unique(known >> np.uint64(64 - _INDEX_BITS), return_index=True)
     known = np.append(np.uint64(0), known[single])
     maps = len(WIDTHS) * FILTERS
@@ -179,7 +181,6 @@ def train(texts: pa.Array, toxic: np.ndarray, *, epochs: int = 4, batch: int = 2
     )
     model.embeddings[1:] = rng.normal(0, 0.01, (len(known) - 1, DIMENSIONS))
     rows = model.rows(hashes)
-    toxic = np.asarray(toxic, np.float32)
     kept_back = rng.random(len(toxic)) < 0.2
     learn = np.flatnonzero(~kept_back)
     params = {"embeddings": model.embeddings, "taps": model.taps, "bias": model.bias, "weights": model.weights}
@@ -187,7 +188,7 @@ def train(texts: pa.Array, toxic: np.ndarray, *, epochs: int = 4, batch: int = 2
     second = {n: np.zeros_like(p) for n, p in params.items()}
     tap_of = np.repeat(np.cumsum([0, *WIDTHS[:-1]]), FILTERS)
     step = 0
-    for _ in range(epochs):
+    while step < steps and len(learn):
         order = rng.permutation(learn)
         for low in range(0, len(order), batch):
             mine = np.sort(order[low : low + batch])
@@ -234,6 +235,19 @@ def train(texts: pa.Array, toxic: np.ndarray, *, epochs: int = 4, batch: int = 2
     return model
 
 
+def _telling(texts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Features of enough texts whose share differs between the labels by LEAST_DEVIATION deviations."""
+    flat = np.concatenate([*texts, np.empty(0, np.uint64)])
+    known, inverse, times = np.unique(flat, return_inverse=True, return_counts=True)
+    label = np.repeat(toxic, [len(x) for x in texts])
+    hits = np.bincount(inverse, label, len(known))
+    of, share = max(toxic.sum(), 1), times / max(len(texts), 1)
+    rest = max(len(texts) - toxic.sum(), 1)
+    gap = hits / of - (times - hits) / rest
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / of + 1 / rest))
+    return known[(times >= LEAST_TEXTS) & (known != 0) & (np.abs(gap) >= LEAST_DEVIATION * spread)]
+
+
 def _calibrated(model, rows, hashes, begin, count, toxic, kept_back) -> np.ndarray:
     """For each guessed language (and none) the logit between the texts kept back of both labels."""
     logits = np.concatenate([
@@ -263,11 +277,6 @@ def _best_cut(logits: np.ndarray, toxic: np.ndarray) -> float:
     return float((edges[k] + edges[k + 1]) / 2)
 
 
-def is_held_out(doc_id: str = "doc_id"):
-    """Rows that no model learns from."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model of docs (doc_id, text) and labels (doc_id, toxic), from a bounded sample of the rows to learn from.
 
@@ -278,8 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     labelled = labels.where("toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     labelled = labelled.where(~is_held_out())
     counts = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("toxic") == 1, min(1.0, MOST_TOXIC / max(1, counts.get(1, 0)))).otherwise(min(1.0, MOST_CLEAN / max(1, counts.get(0, 0))))
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003)
+    chosen = labelled.where(sampled("toxic", {1: MOST_TOXIC / max(1, counts.get(1, 0)), 0: MOST_CLEAN / max(1, counts.get(0, 0))}))
     texts = docs.select("doc_id", "text").where(F.length("text") <= MOST_CHARS).join(chosen, "doc_id")
     found = texts.select("doc_id", "text", "toxic").toArrow().combine_chunks().sort_by("doc_id")
     toxic = found.column("toxic").to_numpy()
