@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontamination, langid, near_dups, packing, pii, simple8b, toxicity
+from medallion.llm import decontamination, langid, near_dups, packing, pii, quality, secrets, simple8b, toxicity
 from medallion.llm.frames import is_held_out, table
 from medallion.locations import scratch_folder
 
@@ -29,6 +29,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(documents(spark, sf_dir)))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(documents(spark, sf_dir)))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
@@ -38,6 +42,10 @@ def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
 def op8_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_folder(spark, "simple8b")
     simple8b.write_ids(documents(spark, sf_dir), path, public_tokenizers.path(BYTE_BPE))
