@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontamination, langid, near_dups, packing, pii, quality, secrets, simple8b, toxicity
+from medallion.llm import decontamination, langid, licenses, near_dups, packing, pii, quality, secrets, simple8b, toxicity
 from medallion.llm.frames import is_held_out, table
 from medallion.locations import scratch_folder
 
@@ -29,6 +29,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(documents(spark, sf_dir)))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(documents(spark, sf_dir))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(documents(spark, sf_dir)))
 
