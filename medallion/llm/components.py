@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from medallion.llm.frames import stored
@@ -32,10 +32,12 @@ def components(edges: DataFrame) -> DataFrame:
         tied, _ = _stars(_both(edges), "b > a")
         large = tied.where("a <> b").distinct()
         tied, least = _stars(large, "true")
-        edges = stored(tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges")
-        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        marks = Observation()
+        edges = tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+        hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")
+        edges = stored(edges.observe(marks, F.count("*").alias("n"), hashes), "edges")
+        if marks.get == mark:
             break
-        mark = seen
+        mark = marks.get
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

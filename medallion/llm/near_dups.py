@@ -1,14 +1,16 @@
 """Near-duplicate groups by MinHash bands, odd sketches and exact confirmation.
 
 Each text's shingle set gives MinHash samples. Rows of samples make band keys, which bring similar
-sets together; all samples fold into a bitmap of parities, and the population count of two bitmaps'
-XOR estimates how many samples differ, so that only likely pairs are confirmed on their full sets.
+sets together. All samples fold into a bitmap of parities; the population count of two bitmaps' XOR
+estimates how many samples differ. The set itself folds into a second bitmap, twice as wide as the set
+is large, whose XOR tells the symmetric difference within a few elements. Pairs that pass both are
+confirmed on their full sets.
 
 Equal sets become one class first. A bucket of few classes is compared in pairs; in a larger one every
-class meets a few centres only. Linked classes are then joined into components, and where a larger
-bucket still holds several components, the classes outside its main one are compared with all its
-members: the most similar first, and further rounds until no untested likely pair is left. So no group
-is expanded into all pairs while no link that the bands and sketches show is lost.
+class meets a few centres only. Linked classes are then joined into components. Where a larger bucket
+still holds several components, bitmaps of the classes outside its main one are compared with all its
+members, tile by tile, and the most similar pairs between components are confirmed; the last such round
+takes all pairs that pass. So no group is expanded into all pairs, and no link that the bands show is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +43,10 @@ class Similarity:
     sketch_bits: int = 512
     #: Buckets of more classes are compared through centres.
     pairwise: int = 8
-    centres: int = 4
-    #: Most similar members first tested for a class outside its bucket's main component.
-    closest: int = 16
+    centres: int = 2
+    #: Classes of a tile, and partners confirmed for a class and tile in each round; the last takes all.
+    tile: int = 128
+    closest: tuple[int, ...] = (3, 24, 1 << 30)
 
     @cached_property
     def bands(self) -> int:
@@ -61,6 +64,13 @@ class Similarity:
         differing = 2 * self.samples * (1 - level)
         return math.ceil(self.sketch_bits / 2 * (1 - math.exp(-2 * differing / self.sketch_bits)))
 
+    def most_odd(self, elements: np.ndarray, width: int) -> np.ndarray:
+        """Like ``most_flips`` for the sets' own bitmaps, by the number of elements of both sets."""
+        apart = elements * ((100 - self.percent) / (100 + self.percent))
+        decay = np.exp(-4 * apart / width)
+        deviation = np.sqrt(np.maximum(width / 4 * (1 - decay) - apart * decay, 0))
+        return np.ceil(width / 2 * (1 - np.sqrt(decay)) + 5 * deviation + 1)
+
 
 def _shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
     """The sorted distinct shingles of each text of a slice."""
@@ -88,8 +98,28 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).view(np.int64).ravel()))
 
 
+def _parities(shingles: np.ndarray) -> bytes:
+    """Bitmap of the parity of elements at each place; half as wide, it is the XOR of its halves."""
+    width = max(512, 1 << int(2 * len(shingles) - 1).bit_length()) if len(shingles) else 512
+    place = (mix(shingles ^ np.uint64(0x94D049BB133111EB)) & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=width) & 1, bitorder="little").tobytes()
+
+
+def _folded(bitmaps: list[bytes], width: int) -> np.ndarray:
+    """Rows of 64-bit words of bitmaps that are ``width`` or twice as wide."""
+    out = np.empty((len(bitmaps), width // 64), np.uint64)
+    for k, b in enumerate(bitmaps):
+        words = np.frombuffer(b, "<u8")
+        out[k] = words if len(words) == out.shape[1] else words[: out.shape[1]] ^ words[out.shape[1] :]
+    return out
+
+
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
+
+
 def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
-    """uid, doc_id, n_shingles, key1, key2, sketch and bands of each row of docs (uid, doc_id, text)."""
+    """uid, doc_id, n_shingles, key1, key2, sketch, bands and parities of each row of docs (uid, doc_id, text)."""
     bits = rule.sketch_bits
     salt = mix(np.arange(1, rule.samples + 1, dtype=np.uint64))
     odd = mix(salt) | np.uint64(1)
@@ -97,6 +127,7 @@ def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
         *docs.select("uid", "doc_id").schema.fields,
         *(T.StructField(n, T.LongType()) for n in ("n_shingles", "key1", "key2")),
         *(T.StructField(n, T.ArrayType(T.LongType())) for n in ("sketch", "bands")),
+        T.StructField("parities", T.BinaryType()),
     ])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +150,7 @@ def sketches(docs: DataFrame, rule: Similarity) -> DataFrame:
                     bands[:, k // rule.rows] = mix(bands[:, k // rule.rows] + samples[k] + odd[k])
                 columns = [batch.column(n).slice(first, end - first) for n in (0, 1)]
                 columns += [pa.array(size), pa.array(key1), pa.array(key2), _lists(sketch), _lists(bands)]
+                columns.append(pa.array([_parities(x) for x in sets], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return map_arrow(docs.select("uid", "doc_id", "text"), build, schema)
@@ -130,12 +162,24 @@ def _flips(a: str, b: str) -> Column:
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, rule: Similarity) -> DataFrame:
-    """Those of the pairs (a, b) whose sizes and sketches allow a link."""
-    side = {n: nodes.select(F.col("node").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("sketch").alias(f"s{n}")) for n in "ab"}
+    """Those of the pairs (a, b) whose sizes and bitmaps allow a link."""
+    kept = ("n_shingles", "sketch", "parities")
+    side = {x: nodes.select(F.col("node").alias(x), *(F.col(n).alias(n + x) for n in kept)) for x in "ab"}
     sized = pairs.join(side["a"], "a").join(side["b"], "b")
-    return sized.where(
-        (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * rule.percent) & (_flips("sa", "sb") <= rule.most_flips)
-    ).select("a", "b")
+    sized = sized.where(F.least("n_shinglesa", "n_shinglesb") * 100 >= F.greatest("n_shinglesa", "n_shinglesb") * rule.percent)
+    sized = sized.where(_flips("sketcha", "sketchb") <= rule.most_flips)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            elements = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            keep = np.zeros(len(elements), bool)
+            for k, (a, b) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                width = 8 * min(len(a), len(b))
+                keep[k] = _differing(*_folded([a, b], width)) <= rule.most_odd(elements[k], width)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    columns = ("a", "b", "n_shinglesa", "n_shinglesb", "paritiesa", "paritiesb")
+    return map_arrow(sized.select(*columns), test, pairs.schema)
 
 
 def _sets(nodes: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -161,7 +205,7 @@ def _sets(nodes: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
     """Those of the stored pairs that are linked by their full sets."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = stored(_sets(nodes.join(named, "node", "left_semi"), docs, rule), "sets")
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = both.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -169,25 +213,65 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Simila
     return common.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * rule.percent).select("a", "b")
 
 
+@dataclass
+class _Tile:
+    """Some classes of a bucket, as columns."""
+
+    node: np.ndarray
+    root: np.ndarray
+    size: np.ndarray
+    sketch: np.ndarray
+    parities: list[bytes]
+
+    @classmethod
+    def of(cls, rows: pa.StructArray) -> _Tile:
+        node, root, size = (rows.field(n).to_numpy(zero_copy_only=False) for n in ("node", "root", "n_shingles"))
+        sketch = rows.field("sketch").flatten().to_numpy().reshape(len(node), -1).view(np.uint64)
+        return cls(node, root, size, sketch, rows.field("parities").to_pylist())
+
+    def close(self, other: _Tile, rule: Similarity, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Likely links between components: for each class here the ``most`` closest ones of the other tile."""
+        low, high = np.minimum.outer(self.size, other.size), np.maximum.outer(self.size, other.size)
+        may = (low * 100 >= high * rule.percent) & (self.root[:, None] != other.root)
+        may &= _differing(self.sketch[:, None], other.sketch[None]) <= rule.most_flips
+        wide, others = (8 * np.array([len(p) for p in t.parities]) for t in (self, other))
+        share = np.full(may.shape, np.inf)
+        for width in np.unique(np.minimum.outer(wide, others)[may]).tolist():
+            at = may & (np.minimum.outer(wide, others) == width)
+            rows, columns = np.flatnonzero(at.any(1)), np.flatnonzero(at.any(0))
+            mine, theirs = (_folded([t.parities[k] for k in some], width) for t, some in ((self, rows), (other, columns)))
+            elements = np.add.outer(self.size[rows], other.size[columns])
+            for k, row in enumerate(rows.tolist()):
+                apart = _differing(mine[k], theirs)
+                fits = at[row, columns] & (apart <= rule.most_odd(elements[k], width))
+                share[row, columns[fits]] = apart[fits] / elements[k, fits]
+        if most < share.shape[1]:
+            order = np.argsort(share, axis=1, kind="stable")[:, most:]
+            np.put_along_axis(share, order, np.inf, axis=1)
+        return np.nonzero(share < np.inf)
+
+
 def _left_over(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, tested: DataFrame, rule: Similarity, most: int) -> DataFrame:
-    """Untested likely pairs of larger buckets between components, the most similar of each class."""
+    """Untested likely pairs between components of larger buckets."""
     placed = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    placed = placed.join(main.select("key", "main"), "key").join(nodes.select("node", "n_shingles", "sketch"), "node")
-    outside = placed.where("root <> main")
-    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / 128))
-    outside = outside.join(outside.groupBy("key").agg(F.count("*").alias("n")), "key").groupBy("key", chunk.alias("chunk"))
-    lists = outside.agg(F.collect_list(F.struct("node", "root", "n_shingles", "sketch")).alias("others")).drop("chunk")
-    met = placed.join(lists, "key").select(F.col("node").alias("b"), "root", "n_shingles", "sketch", F.explode(
-        F.filter("others", lambda o: (o["root"] != F.col("root")) & (F.least(o["n_shingles"], F.col("n_shingles")) * 100 >= F.greatest(o["n_shingles"], F.col("n_shingles")) * rule.percent))
-    ).alias("o"))
-    close = met.select(F.col("o.node").alias("a"), "b", F.col("o.sketch").alias("sa"), F.col("sketch").alias("sb"))
-    close = close.withColumn("flips", _flips("sa", "sb")).where(F.col("flips") <= rule.most_flips)
-    close = close.select("a", "b", "flips", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-    new = close.join(tested.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("a").orderBy("flips", "b"))
-    return new.withColumn("rank", rank).where(F.col("rank") <= most).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    main = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"), F.sum("n").alias("all"))
+    placed = placed.join(main.where("roots > 1"), "key").join(nodes.select("node", "n_shingles", "sketch", "parities"), "node")
+    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / rule.tile)).alias("chunk")
+    listed = F.collect_list(F.struct("node", "root", "n_shingles", "sketch", "parities"))
+    members = placed.groupBy("key", chunk).agg(listed.alias("members")).drop("chunk")
+    outside = placed.where("root <> main").groupBy("key", chunk).agg(listed.alias("outside")).drop("chunk")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                mine, theirs = (_Tile.of(batch.column(c)[k].values) for c in range(2))
+                a, b = mine.close(theirs, rule, most)
+                a, b = mine.node[a], theirs.node[b]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    met = outside.join(members, "key").select("outside", "members")
+    return map_arrow(met, compare, tested.schema).distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -202,10 +286,10 @@ def near_duplicates(docs: DataFrame, rule: Similarity) -> DataFrame:
         docs = docs.withColumn("uid", F.monotonically_increasing_id())
     rows = stored(sketches(docs, rule), "sketches")
     keys = ["key1", "key2", "n_shingles"]
-    first = F.first(F.struct("sketch", "bands"))
+    first = F.first(F.struct("sketch", "bands", "parities"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))
     classes = rows.where("n_shingles > 0").groupBy(*keys).agg(F.min("uid").alias("node"), least.alias("least"), first.alias("of"))
-    nodes = stored(classes.select(*keys, "node", "least", F.col("least.doc_id").alias("doc_id"), "of.sketch", "of.bands"), "classes")
+    nodes = stored(classes.select(*keys, "node", "least", F.col("least.doc_id").alias("doc_id"), "of.*"), "classes")
 
     members = nodes.select(F.explode("bands").alias("key"), "node")
     centre = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("rank"), "node"))["node"].alias(f"c{k}") for k in range(rule.centres)]
@@ -221,14 +305,13 @@ def near_duplicates(docs: DataFrame, rule: Similarity) -> DataFrame:
     roots = components(edges)
 
     large = met.where(F.col("n") > rule.pairwise).select("key", "node")
-    tested, most = pairs, rule.closest
-    while not large.isEmpty():
+    tested = pairs
+    for most in rule.closest:
         pairs = stored(_left_over(large, roots, nodes, tested, rule, most), "pairs")
-        if pairs.isEmpty():
-            break
-        tested, most = tested.union(pairs), most * 4
-        edges = stored(edges.union(_confirmed(pairs, nodes, docs, rule)), "links")
-        roots = components(edges)
+        if not pairs.isEmpty():
+            tested = tested.union(pairs)
+            edges = stored(edges.union(_confirmed(pairs, nodes, docs, rule)), "links")
+            roots = components(edges)
 
     placed = nodes.select(*keys, "node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(F.min("least").alias("head"))
