@@ -282,13 +282,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     Rows are chosen by a hash of doc_id, at rates that give MOST_TOXIC and MOST_CLEAN rows in the mean
     (all where fewer are there), among texts of at most MOST_CHARS characters. Of repeated labels the
-    largest counts; null labels, ids and texts are left out. Without labelled rows every score is 0.5.
+    largest counts; null labels, ids and texts are left out. The chosen ids are bounded by these numbers
+    and broadcast, so no text is shuffled. Without labelled rows every score is 0.5.
     """
     labelled = labels.where("toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     labelled = labelled.where(~is_held_out())
     counts = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = labelled.where(sampled("toxic", {1: MOST_TOXIC / max(1, counts.get(1, 0)), 0: MOST_CLEAN / max(1, counts.get(0, 0))}))
-    texts = docs.select("doc_id", "text").where(F.length("text") <= MOST_CHARS).join(chosen, "doc_id")
+    texts = docs.select("doc_id", "text").where(F.length("text") <= MOST_CHARS).join(F.broadcast(chosen), "doc_id")
     found = texts.select("doc_id", "text", "toxic").toArrow().combine_chunks().sort_by("doc_id")
     toxic = found.column("toxic").to_numpy()
     text = found.column("text").combine_chunks() if len(toxic) else pa.array([], pa.string())
