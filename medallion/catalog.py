@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.locations import Paths
+from medallion.errors import LocationMismatch
+from medallion.locations import Paths, qualified
 from medallion.schemas import GEN_INFO, GOLD, PARTITION_COLUMN, READMISSIONS
 
 DATABASE = "medallion"
@@ -26,21 +28,74 @@ def build_session(
     return builder.getOrCreate()
 
 
-def create_tables(spark: SparkSession, paths: Paths, database: str = DATABASE) -> None:
-    """Declare the external tables that are not there yet."""
+def create_tables(
+    spark: SparkSession, paths: Paths, database: str = DATABASE, *, move: bool = False
+) -> None:
+    """Declare the external tables that are not there yet.
+
+    A table that lies elsewhere raises, or is declared anew at its place in ``paths`` if ``move``
+    is set; its old files stay. Gold may lie in any folder below its place, as publications do.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for table, schema, location, partitioning in [
         (GEN_INFO_TABLE, GEN_INFO, paths.gen_info, ""),
         (READMISSIONS_TABLE, READMISSIONS, paths.readmissions, ""),
         (GOLD_TABLE, GOLD, paths.gold, f"PARTITIONED BY (`{PARTITION_COLUMN}`)"),
     ]:
-        location = location.replace("'", "\\'")
+        name = f"`{database}`.`{table}`"
+        if spark.catalog.tableExists(name):
+            present, wanted = table_location(spark, name), qualified(spark, location)
+            if present == wanted or partitioning and present.startswith(f"{wanted}/"):
+                continue
+            if not move:
+                raise LocationMismatch(f"{name} lies at {present}, not at {wanted}")
+            spark.sql(f"DROP TABLE {name}")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({schema.toDDL()}) "
-            f"USING parquet {partitioning} LOCATION '{location}'"
+            f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) "
+            f"USING parquet {partitioning} LOCATION '{_quoted(location)}'"
         )
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Where a table lies, as a full URI."""
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
+    return qualified(spark, described.first()["data_type"])
+
+
+def show_version(spark: SparkSession, table: str, folder: str) -> None:
+    """Point the table and all its partitions at a complete folder of partition directories."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(folder)}'")
+    column = F.split_part("partition", F.lit("="), F.lit(2))
+    for row in spark.sql(f"SHOW PARTITIONS {table}").select(column.alias("value")).collect():
+        _drop_partition(spark, table, row["value"])
+    repair_partitions(spark, table)
+
+
+def show_partitions_of(spark: SparkSession, table: str, folder: str) -> None:
+    """Point those partitions of the table that ``folder`` holds at it; the others stay."""
+    place = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("place")
+    written = spark.read.schema(GOLD).parquet(folder).select(PARTITION_COLUMN, place).distinct()
+    for row in written.collect():
+        _drop_partition(spark, table, row[PARTITION_COLUMN])
+        value = _quoted(row[PARTITION_COLUMN])
+        spark.sql(
+            f"ALTER TABLE {table} ADD PARTITION (`{PARTITION_COLUMN}` = '{value}') "
+            f"LOCATION '{_quoted(row['place'])}'"
+        )
+
+
+def _drop_partition(spark: SparkSession, table: str, value: str) -> None:
+    # The tables are external: files stay.
+    spark.sql(
+        f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
+        f"(`{PARTITION_COLUMN}` = '{_quoted(value)}')"
+    )
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def use_database(spark: SparkSession, database: str = DATABASE) -> None:
     """Make unqualified table names resolve in ``database``."""
     spark.catalog.setCurrentDatabase(database)

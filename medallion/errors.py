@@ -21,5 +21,13 @@ class MissingColumns(MedallionError):
         super().__init__(f"missing columns: {', '.join(self.columns)}")
 
 
+class LocationMismatch(MedallionError):
+    """A table of that name lies at another location."""
+
+
+class LostKeys(MedallionError):
+    """Keys in the raw data do not fit the declared type."""
+
+
 class UnknownOption(MedallionError):
     """A grouping column, metric, mode or stage outside the allowed list."""

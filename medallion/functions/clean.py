@@ -61,11 +61,11 @@ def metric_value(column: str) -> Column:
 
 
 def kpi_label(value: Column) -> Column:
-    """Two decimals, ``N/A`` for null, and the text itself where it is no number."""
+    """Two decimals of the exact binary value, ``N/A`` for null, the text itself if no number."""
     number = value.try_cast("double")
     return (
         F.when(value.isNull() | F.isnan(number), F.lit("N/A"))
-        .when(number.isNotNull(), F.format_string("%.2f", number))
+        .when(number.isNotNull(), F.call_function("format_number", number, F.lit("0.00")))
         .otherwise(value.cast("string"))
     )
 

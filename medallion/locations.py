@@ -71,6 +71,20 @@ def discard(spark: SparkSession, folder: str) -> None:
     file_system.delete(path, True)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a full URI, so that two spellings of a place compare equal."""
+    path, file_system = _hadoop(spark, folder)
+    return file_system.makeQualified(path).toString().rstrip("/")
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Full URIs of the folders right below ``folder``."""
+    path, file_system = _hadoop(spark, folder)
+    if not file_system.exists(path):
+        return []
+    return [str(s.getPath()) for s in file_system.listStatus(path) if s.isDirectory()]
+
+
 def _hadoop(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

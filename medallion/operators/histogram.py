@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from medallion.errors import UnknownOption
 from medallion.functions.clean import metric_value
-from medallion.operators.conform import require_columns
+from medallion.operators.metrics import check_metric
 from medallion.schemas import HISTOGRAM_BINS
 
 
@@ -31,7 +31,9 @@ def histogram(
     """
     if mode not in ("exact", "nice"):
         raise UnknownOption(f"histogram mode {mode!r}")
-    require_columns(df, metric)
+    if bins < 1:
+        raise UnknownOption(f"{bins} bins")
+    check_metric(df, metric)
     values = df.select(metric_value(metric).alias("v")).filter(F.abs("v") < float("inf"))
     bounds = _bounds(values, bins, mode)
     v, lo, width, first = F.col("v"), F.col("b.lo"), F.col("b.width"), F.col("b.first")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 ROWS_PER_TASK = 1_000_000
+HOT_KEYS = 100_000
 
 _ROW_OVERHEAD = 64
 _CLEARLY_TOO_LARGE = 16
@@ -50,14 +51,18 @@ def join_facilities(
     facilities: DataFrame,
     key: str,
     *,
+    broadcast: bool | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Inner equi join. Null keys never match; repeated facility keys repeat the measures.
 
-    The way is chosen when this is called, by one or two aggregates.
+    ``broadcast`` says whether the facility side is known to fit; None measures it. The shuffled
+    way counts the hot keys of both sides when this is called.
     """
-    if fits_broadcast(facilities, broadcast_limit):
+    if broadcast is None:
+        broadcast = fits_broadcast(facilities, broadcast_limit)
+    if broadcast:
         return measures.join(F.broadcast(facilities), key)
     return salted_join(measures, facilities, key, "inner", rows_per_task)
 
@@ -67,6 +72,7 @@ def right_join_facilities(
     facilities: DataFrame,
     key: str,
     *,
+    broadcast: bool | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -74,9 +80,12 @@ def right_join_facilities(
 
     It is the inner join plus the facilities no measure names. A plain right outer join would
     shuffle the measures even next to a tiny facility side, since Spark cannot broadcast the side
-    it preserves, and would send all facilities without a key to one task.
+    it preserves, and would send all facilities without a key to one task. The hot keys of a side
+    are counted once, for both parts.
     """
-    if fits_broadcast(facilities, broadcast_limit):
+    if broadcast is None:
+        broadcast = fits_broadcast(facilities, broadcast_limit)
+    if broadcast:
         matched = measures.join(F.broadcast(facilities), key)
         # A subset of the facility keys, hence within the same bound.
         seen = (
@@ -86,11 +95,16 @@ def right_join_facilities(
         )
         unmatched = facilities.join(F.broadcast(seen), key, "left_anti")
     else:
-        matched = salted_join(measures, facilities, key, "inner", rows_per_task)
+        hot = hot_keys(facilities, key, rows_per_task)
+        hot_measures = hot_keys(measures, key, rows_per_task)
+        matched = salted_join(
+            measures, facilities, key, "inner", hot_left=hot_measures, hot_right=hot
+        )
         keyed = facilities.filter(F.col(key).isNotNull())
-        unmatched = salted_join(
-            keyed, measures.select(key).distinct(), key, "left_anti", rows_per_task
-        ).unionByName(facilities.filter(F.col(key).isNull()))
+        seen = measures.select(key).filter(F.col(key).isNotNull()).distinct()
+        unmatched = salted_join(keyed, seen, key, "left_anti", hot_left=hot).unionByName(
+            facilities.filter(F.col(key).isNull())
+        )
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
@@ -99,22 +113,31 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
+    *,
+    hot_left: DataFrame | None = None,
+    hot_right: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffled equi join that splits hot keys; ``how`` is inner, or a left join.
 
+    ``rows_per_task`` has the hot keys counted here; without it those given are taken.
+
     An inner join splits the hot keys of both sides: a pair of rows meets under exactly one pair
     of salts. A left join needs all partners of a left row in one place, so it splits the left
-    side only, and the right side should hold few rows per key. Left rows without a key should be
-    set apart before, as they all hash to one task.
-
-    The salt comes from the row position, so identical rows spread as well. A re-run task must
-    give a row the salt it had before: a salted side should be a table scan with filters,
-    projections or broadcast joins on top, which has a fixed row order. Write it to a table first
-    if it holds a shuffle.
+    side only, and the right side should hold few rows per key. Rows without a key are dropped
+    before an inner join; left rows without one should be set apart before a left join, as they
+    all hash to one task.
+
+    The salt comes from a hash of the row position, so identical rows spread as well, and no
+    regular order of the rows can pile a key up. A re-run task must give a row the salt it had
+    before: a salted side should be a table scan with filters, projections or broadcast joins on
+    top, which has a fixed row order. Write it to a table first if it holds a shuffle.
     """
-    hot_left = _hot_keys(left, key, rows_per_task)
-    hot_right = _hot_keys(right, key, rows_per_task) if how == "inner" else None
+    if how == "inner":
+        left, right = (df.filter(F.col(key).isNotNull()) for df in (left, right))
+    if rows_per_task is not None:
+        hot_left = hot_keys(left, key, rows_per_task)
+        hot_right = hot_keys(right, key, rows_per_task) if how == "inner" else None
     on = [key]
     if hot_left is not None:
         left = _spread(left, hot_left, key, _LEFT_SALT)
@@ -128,10 +151,10 @@ def salted_join(
 
 
 def _spread(df: DataFrame, hot: DataFrame, key: str, salt: str) -> DataFrame:
-    """Number the rows of a hot key round robin; other rows get salt 0."""
-    position = F.monotonically_increasing_id() % F.coalesce(F.col(_SALTS), F.lit(1))
-    salted = df.join(F.broadcast(hot), key, "left").withColumn(salt, position.cast("int"))
-    return salted.drop(_SALTS)
+    """Give each row of a hot key one of its salts; other rows get salt 0."""
+    position = F.xxhash64(F.monotonically_increasing_id())
+    place = F.pmod(position, F.coalesce(F.col(_SALTS), F.lit(1))).cast("int")
+    return df.join(F.broadcast(hot), key, "left").withColumn(salt, place).drop(_SALTS)
 
 
 def _copied(df: DataFrame, hot: DataFrame, key: str, salt: str) -> DataFrame:
@@ -140,28 +163,24 @@ def _copied(df: DataFrame, hot: DataFrame, key: str, salt: str) -> DataFrame:
     return df.join(F.broadcast(hot), key, "left").withColumn(salt, F.explode(salts)).drop(_SALTS)
 
 
-def _hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame | None:
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
     """Keys with more than ``rows_per_task`` rows and how many salts each gets, or None.
 
-    At most as many keys as shuffle partitions are taken, heaviest first. Any key left out has
-    fewer rows than the mean partition, so it needs no salt, and what is sent to the driver and
-    broadcast is bounded by a setting, not by the data.
+    A key gets a salt for every ``rows_per_task`` of its rows. The heaviest HOT_KEYS are taken, a
+    fixed bound on what is sent to the driver and broadcast; a key left out holds less than one
+    in HOT_KEYS of all rows.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hottest = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > rows_per_task)
         .orderBy(F.desc("n"), key)
-        .limit(partitions)
-        .coalesce(1)  # merge in a task what each partition found, not in the driver
+        .limit(HOT_KEYS)
         .collect()
     )
     if not hottest:
         return None
     schema = T.StructType([df.schema[key], T.StructField(_SALTS, T.IntegerType())])
-    return spark.createDataFrame(
-        [(row[key], min(-(-row["n"] // rows_per_task), partitions)) for row in hottest], schema
-    )
+    salted = [(row[key], -(-row["n"] // rows_per_task)) for row in hottest]
+    return df.sparkSession.createDataFrame(salted, schema)

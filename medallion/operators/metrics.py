@@ -12,7 +12,13 @@ from medallion.schemas import GROUP_OPTIONS, METRIC_OPTIONS
 
 
 def filter_rows(df: DataFrame, states=(), readm_types=()) -> DataFrame:
-    """Rows of the chosen states and measure types; an empty choice keeps all."""
+    """Rows of the chosen states and measure types; an empty choice keeps all.
+
+    A choice is a list; a single text would be taken letter by letter, so it raises.
+    """
+    for choice in (states, readm_types):
+        if isinstance(choice, str):
+            raise UnknownOption(f"{choice!r} is no list of values")
     if states:
         df = df.filter(F.col("state").isin(list(states)))
     if readm_types:
@@ -33,7 +39,7 @@ def kpis(df: DataFrame, metric: str) -> DataFrame:
     Rows first collapse to one partial sum per facility and state, inside each task already, so
     neither a heavy facility nor the two distinct counts multiply what is shuffled.
     """
-    _check_metric(df, metric)
+    check_metric(df, metric)
     require_columns(df, "provider_id", "state")
     partial = df.groupBy("provider_id", "state").agg(
         F.sum(metric_value(metric)).alias("total"),
@@ -65,13 +71,14 @@ def mean_by_state(df: DataFrame, metric: str) -> DataFrame:
 
 
 def _group_mean(df: DataFrame, key: str, metric: str) -> DataFrame:
-    _check_metric(df, metric)
+    check_metric(df, metric)
     require_columns(df, key)
     k = F.col(f"`{key}`")
     return df.filter(k.isNotNull()).groupBy(k).agg(F.avg(metric_value(metric)).alias("avg_metric"))
 
 
-def _check_metric(df: DataFrame, metric: str) -> None:
+def check_metric(df: DataFrame, metric: str) -> None:
+    """Raise unless the metric is on the list and in the frame."""
     if metric not in METRIC_OPTIONS:
         raise UnknownOption(f"metric {metric!r}, allowed: {METRIC_OPTIONS}")
     require_columns(df, metric)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from medallion.errors import EmptyInput
 from medallion.operators.histogram import histogram
 from medallion.operators.metrics import (
     filter_rows,
@@ -13,6 +14,7 @@ from medallion.operators.metrics import (
     mean_by_state,
     picklist,
 )
+from medallion.sources.snapshot import Snapshot, load_latest_snapshot
 
 
 def dashboard(
@@ -38,3 +40,13 @@ def dashboard(
         "mean_by_state": mean_by_state(chosen, metric),
         "rows": chosen,
     }
+
+
+def snapshot_dashboard(
+    spark: SparkSession, folder: str, **choices
+) -> tuple[Snapshot, dict[str, DataFrame]]:
+    """The newest snapshot below ``folder`` and all dashboard results over it; raises without rows."""
+    snapshot = load_latest_snapshot(spark, folder)
+    if snapshot.path is None or snapshot.rows.isEmpty():
+        raise EmptyInput(f"no snapshot with rows below {folder}")
+    return snapshot, dashboard(snapshot.rows, **choices)

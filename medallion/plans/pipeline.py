@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from medallion import catalog
 from medallion.errors import EmptyResult, UnknownOption
-from medallion.locations import Paths, discard, scratch_folder
+from medallion.locations import Paths, discard, qualified, subfolders
 from medallion.operators.joins import BROADCAST_LIMIT, fits_broadcast
 from medallion.plans.gold import gold, usable_facilities
 from medallion.plans.silver import build_gen_info, build_readmissions
-from medallion.sinks import SINGLE_FILE_ROWS, preview, write_gold, write_snapshot
+from medallion.schemas import GOLD
+from medallion.sinks import preview, write_gold, write_snapshot
 from medallion.sources import read_gold
 
+VERSION = "version-"
+
 STAGES = {
     "full": ("silver", "checks", "gold"),
     "silver": ("silver",),
@@ -35,41 +39,44 @@ def publish_gold(
     paths: Paths,
     table: str,
     *,
-    staged: bool = False,
     dynamic: bool = False,
     show: bool = True,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    single_file: bool = True,
 ) -> int:
-    """Write Gold, register its partitions, write the snapshot. Returns the rows in Gold.
+    """Write a new version of Gold, show it in the table, write the snapshot. Returns Gold's rows.
 
-    An empty result raises and leaves the earlier output in place. Testing for it stops at the
-    first row, which is cheap unless a shuffle has to finish before there is one: ``staged`` then
-    writes the rows to the shared folder first, so that no shuffle runs twice. Count, preview and
-    snapshot come from the table just written.
+    Rows are computed and written once, into a new folder below ``paths.gold``. Only when that is
+    complete does the table move to it, so readers of the table keep the old version until then.
+    An empty result raises and leaves table and snapshot as they were. ``dynamic`` moves only
+    the states that were written, one by one; otherwise versions before the last one are deleted.
+    Count, preview and snapshot come from the table.
     """
     spark = df.sparkSession
-    if staged:
-        folder = scratch_folder(spark, "gold-staged")
-        try:
-            df.write.mode("overwrite").parquet(folder)
-            _write_if_any(spark.read.schema(df.schema).parquet(folder), paths.gold, dynamic)
-        finally:
-            discard(spark, folder)
+    folder = f"{paths.gold}/{VERSION}{uuid.uuid4().hex}"
+    write_gold(df, folder)
+    if read_gold(spark, folder).isEmpty():
+        discard(spark, folder)
+        raise EmptyResult("the Gold result has no row; the old one stays")
+    if dynamic:
+        catalog.show_partitions_of(spark, table, folder)
     else:
-        _write_if_any(df, paths.gold, dynamic)
-    catalog.repair_partitions(spark, table, drop_missing=True)
-    written = read_gold(spark, paths.gold)
+        last = catalog.table_location(spark, table)
+        catalog.show_version(spark, table, folder)
+        for old in subfolders(spark, paths.gold):
+            named = old.rsplit("/", 1)[1].startswith(VERSION)
+            if named and qualified(spark, old) not in (last, qualified(spark, folder)):
+                discard(spark, old)
+    written = read_published(spark, table)
     rows = written.count()
     if show:
         preview(written)
-    write_snapshot(written, paths.snapshot, rows=rows, single_file_rows=single_file_rows)
+    write_snapshot(written, paths.snapshot, single_file=single_file)
     return rows
 
 
-def _write_if_any(df: DataFrame, path: str, dynamic: bool) -> None:
-    if df.isEmpty():
-        raise EmptyResult("the Gold result has no row; nothing was written")
-    write_gold(df, path, dynamic=dynamic)
+def read_published(spark: SparkSession, table: str) -> DataFrame:
+    """The Gold table as it is now, columns in Gold's order."""
+    return catalog.read_table(spark, table).select(*(f"`{c}`" for c in GOLD.names))
 
 
 def build_gold(
@@ -81,10 +88,11 @@ def build_gold(
     broadcast_limit: int = BROADCAST_LIMIT,
     **publish_options,
 ) -> int:
-    """The Gold transform and its publication; staged when its join has to shuffle."""
+    """The Gold transform and its publication; the facility side is measured once."""
     fits = fits_broadcast(usable_facilities(gen_info), broadcast_limit)
-    result = gold(readmissions, gen_info, broadcast_limit=broadcast_limit if fits else 0)
-    return publish_gold(result, paths, table, staged=not fits, **publish_options)
+    return publish_gold(
+        gold(readmissions, gen_info, broadcast=fits), paths, table, **publish_options
+    )
 
 
 def run(
@@ -97,11 +105,14 @@ def run(
     dynamic: bool = False,
     show: bool = True,
     broadcast_limit: int = BROADCAST_LIMIT,
+    single_file: bool = True,
+    move_tables: bool = False,
 ) -> RunReport:
     """Run a stage, or all of them in order; the first error stops the run.
 
-    The stages that write declare the tables first. The checks do not, so that they fail on tables
-    nobody has made.
+    The stages that write declare the tables first; tables at another location raise, or move to
+    ``paths`` with ``move_tables``. The checks do not, so that they fail on tables nobody has
+    made. ``strict`` also raises on keys that do not fit the declared type.
     """
     if stage not in STAGES:
         raise UnknownOption(f"stage {stage!r}, allowed: {list(STAGES)}")
@@ -111,9 +122,11 @@ def run(
     report = RunReport()
     for step in STAGES[stage]:
         if step != "checks":
-            catalog.create_tables(spark, paths, database)
+            catalog.create_tables(spark, paths, database, move=move_tables)
         if step == "silver":
-            report.rows["gen_info"] = build_gen_info(spark, paths.gen_info_raw, paths.gen_info)
+            report.rows["gen_info"] = build_gen_info(
+                spark, paths.gen_info_raw, paths.gen_info, strict=strict
+            )
             report.rows["readmissions"] = build_readmissions(
                 spark, paths.readmissions_raw, paths.readmissions, strict=strict
             )
@@ -128,5 +141,6 @@ def run(
                 broadcast_limit=broadcast_limit,
                 dynamic=dynamic,
                 show=show,
+                single_file=single_file,
             )
     return report

@@ -6,16 +6,6 @@ from pyspark.sql import types as T
 
 # --- Fixed values: column names, types and order are part of the data contract ---
 
-_COMPARED_TOPICS = [
-    "mortality",
-    "safety of care",
-    "readmission",
-    "patient experience",
-    "effectiveness of care",
-    "timeliness of care",
-    "efficient use of medical imaging",
-]
-
 GEN_INFO = T.StructType()
 for _name, _type in [
     ("provider id", T.IntegerType()),
@@ -32,12 +22,23 @@ for _name, _type in [
     ("meets criteria for meaningful use of ehrs", T.BooleanType()),
     ("hospital overall rating", T.StringType()),
     ("hospital overall rating footnote", T.StringType()),
+    ("mortality national comparison", T.StringType()),
+    ("mortality national comparison footnote", T.StringType()),
+    ("safety of care national comparison", T.StringType()),
+    ("safety of care national comparison footnote", T.StringType()),
+    ("readmission national comparison", T.StringType()),
+    ("readmission national comparison footnote", T.StringType()),
+    ("patient experience national comparison", T.StringType()),
+    ("patient experience national comparison footnote", T.StringType()),
+    ("effectiveness of care national comparison", T.StringType()),
+    ("effectiveness of care national comparison footnote", T.StringType()),
+    ("timeliness of care national comparison", T.StringType()),
+    ("timeliness of care national comparison footnote", T.StringType()),
+    ("efficient use of medical imaging national comparison", T.StringType()),
+    ("efficient use of medical imaging national comparison footnote", T.StringType()),
+    ("location", T.StringType()),
 ]:
     GEN_INFO.add(_name, _type)
-for _topic in _COMPARED_TOPICS:
-    GEN_INFO.add(f"{_topic} national comparison", T.StringType())
-    GEN_INFO.add(f"{_topic} national comparison footnote", T.StringType())
-GEN_INFO.add("location", T.StringType())
 
 READMISSIONS = T.StructType()
 for _name in [
@@ -132,8 +133,6 @@ METRIC_OPTIONS = [
 
 HISTOGRAM_BINS = 20
 
-# --- End of fixed values ---
-
 PARTITION_COLUMN = "state"
 
 # Gold column -> Silver column, for each Silver table (the key is handled apart).
@@ -154,6 +153,9 @@ MEASURE_COLUMNS = {
 # A Gold row needs all of these.
 REQUIRED_MEASURE_COLUMNS = ["state", "Readm Type", "Pred Readm Rate", "Exp Readm Rate"]
 REQUIRED_FACILITY_COLUMNS = ["Hosp Ownership", "Hosp Rating"]
+
+# --- End of fixed values ---
+
 OPTIONAL_COLUMNS = [c for c in MEASURE_COLUMNS if c not in REQUIRED_MEASURE_COLUMNS]
 REQUIRED_COLUMNS = REQUIRED_MEASURE_COLUMNS + REQUIRED_FACILITY_COLUMNS
 

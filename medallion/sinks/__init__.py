@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 
 from medallion.schemas import PARTITION_COLUMN
 
-SINGLE_FILE_ROWS = 5_000_000
-
 
 def write_silver(df: DataFrame, path: str) -> None:
     """Replace a Silver dataset; as many files as the plan has tasks."""
@@ -32,17 +30,26 @@ def write_gold(df: DataFrame, path: str, *, dynamic: bool = False) -> None:
     )
 
 
-def write_snapshot(
-    df: DataFrame, path: str, *, rows: int, single_file_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """Replace the CSV snapshot: one file with a header, or several above ``single_file_rows``.
+def write_snapshot(df: DataFrame, path: str, *, single_file: bool = True) -> None:
+    """Replace the CSV snapshot: one file with a header, or one per task if the caller says so.
 
-    ``df`` should be read back from a table: the single task then only copies rows instead of
-    running the whole plan above it.
+    A single file passes all rows through one task, which is the caller's choice; the number of
+    rows never decides. ``df`` should be read back from a table, so that the task only copies.
+    Blanks around values are kept.
     """
-    if rows <= single_file_rows:
+    if single_file:
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    writer = df.write.mode("overwrite").option("header", True)
+    for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+        writer = writer.option(side, False)
+    if single_file:
+        writer = writer.option("maxRecordsPerFile", 0)
+    writer.csv(path)
+
+
+def first_rows(df: DataFrame, rows: int = 10) -> DataFrame:
+    """The first rows in the order of all columns, left to right."""
+    return df.orderBy(*(f"`{c}`" for c in df.columns)).limit(rows)
 
 
 def preview(df: DataFrame, rows: int = 10) -> None:

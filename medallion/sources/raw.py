@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from medallion.operators.conform import cast_to, check_columns, rename_alternates
 from medallion.schemas import (
@@ -14,17 +15,26 @@ from medallion.schemas import (
 )
 
 
-def read_gen_info_json(spark: SparkSession, path: str) -> DataFrame:
-    """Every JSON line below ``path`` under the declared schema.
+def read_gen_info_json(spark: SparkSession, path: str, *, long_key: bool = False) -> DataFrame:
+    """Every JSON line below ``path`` under the declared schema; ``long_key`` reads keys as long.
 
     A malformed line is a row of nulls, a blank line is no row, and a value of the wrong type is
     null. Field names match case-sensitively.
     """
-    return spark.read.schema(GEN_INFO).json(path)
+    schema = GEN_INFO
+    if long_key:
+        wide = T.StructField("provider id", T.LongType())
+        schema = T.StructType([wide if f.name == wide.name else f for f in GEN_INFO])
+    return spark.read.schema(schema).json(path)
 
 
 def read_measures_csv(
-    spark: SparkSession, path: str, *, strict: bool = True, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    *,
+    strict: bool = True,
+    infer: bool = False,
+    cast: bool = True,
 ) -> DataFrame:
     """Every CSV file with a header below ``path``, under canonical names and declared types.
 
@@ -32,14 +42,14 @@ def read_measures_csv(
     schema says so. ``enforceSchema=false`` makes a file whose header differs from the first one
     fail instead of binding its columns by position. ``strict`` raises when a column that Gold
     needs is absent. ``infer`` takes Spark's inferred types in place of the declared ones; it
-    costs one more pass over the data.
+    costs one more pass over the data. Without ``cast`` all values stay text.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     if infer:
         reader = reader.option("inferSchema", True)
     df = rename_alternates(reader.csv(path), ALTERNATE_HEADERS)
     check_columns(df, READMISSIONS.names, REQUIRED_RAW_MEASURES if strict else [])
-    return df if infer else cast_to(df, READMISSIONS)
+    return cast_to(df, READMISSIONS) if cast and not infer else df
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

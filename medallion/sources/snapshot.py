@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,16 @@ from pyspark.sql import functions as F
 from medallion.schemas import GOLD
 
 # Spark names all files of one write part-<task>-<write id>-c<n>.csv.
-_PART_FILE = re.compile(r"part-\d+-([0-9a-f-]{36})([.-].*)")
+_PART_FILE = re.compile(r"part-\d+-([0-9a-f-]{36})(?:-c\d+)?(\..*)")
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The newest snapshot: its rows, the newest file and its time; both null where there is none."""
+
+    rows: DataFrame
+    path: str | None
+    last_updated: str | None
 
 
 def latest_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,25 +52,31 @@ def utc_label(time: Column) -> Column:
 
 
 def read_latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows of the newest snapshot below ``folder``; no rows when there is none.
+    """All rows of the newest snapshot below ``folder``; no rows when there is none."""
+    return load_latest_snapshot(spark, folder).rows
 
-    A snapshot too large for one file has several parts. They share the write id in their names,
-    so the whole write is read, not the newest part alone. Values may hold line breaks, so a file
-    is one task; the bound on one-file snapshots bounds that task as well.
+
+def load_latest_snapshot(spark: SparkSession, folder: str) -> Snapshot:
+    """The newest snapshot below ``folder`` with its path and time, all from one listing.
+
+    A snapshot may have several files, of one task as well. They share the write id in their
+    names, so the whole write is read, not the newest file alone. Values may hold line breaks, so
+    a file is one task.
     """
-    newest = latest_csv(spark, folder).first()["path"]
-    if newest is None:
-        return spark.createDataFrame([], GOLD)
-    parent, name = newest.rsplit("/", 1)
+    newest = snapshot_provenance(spark, folder).first()
+    if newest["path"] is None:
+        return Snapshot(spark.createDataFrame([], GOLD), None, None)
+    parent, name = newest["path"].rsplit("/", 1)
     part = _PART_FILE.fullmatch(name)
-    pattern = f"part-*-{part[1]}{_literal(part[2])}" if part else _literal(name)
-    return (
+    pattern = f"part-*-{part[1]}*{_literal(part[2])}" if part else _literal(name)
+    rows = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("multiLine", True)
         .schema(GOLD)
         .csv(f"{_literal(parent)}/{pattern}")
     )
+    return Snapshot(rows, newest["path"], newest["last_updated"])
 
 
 def _literal(path: str) -> str:

@@ -13,15 +13,8 @@ from pyspark.sql import types as T
 
 from medallion.schemas import GEN_INFO, READMISSIONS
 
-_TOPICS = [
-    "mortality",
-    "safety of care",
-    "readmission",
-    "patient experience",
-    "effectiveness of care",
-    "timeliness of care",
-    "efficient use of medical imaging",
-]
+_ENDING = " national comparison"
+_TOPICS = [n.removesuffix(_ENDING) for n in GEN_INFO.names if n.endswith(_ENDING)]
 
 
 def _comparison(number: int, topic: str) -> str:

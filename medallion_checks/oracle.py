@@ -156,6 +156,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "right_join_raw": right_join,
         "right_join_shuffled": right_join,
+        "right_join_salted": right_join,
         "null_sentinel": f"{_CHAIN} select * from nulled",
         "require_columns": f"{_CHAIN} select * from kept",
         "recode_measure": (
@@ -178,6 +179,7 @@ select rd."Provider ID" as provider_id, rd."Predicted Readmission Rate" as pred_
 from rd""",
         "gold": _ALL_GOLD,
         "gold_shuffled": _ALL_GOLD,
+        "gold_salted": _ALL_GOLD,
         "gold_count": gold_count,
         "gold_partitioned_roundtrip": _ALL_GOLD,
         "gold_partition_pruned": f"{_GOLD} select * from gold where state = 'S1'",
@@ -187,13 +189,33 @@ from rd""",
             "union all select 'readmissions', count(*) from orders"
         ),
         "full_run": _ALL_GOLD,
+        "full_run_shuffled": _ALL_GOLD,
+        "two_locations": (
+            f"{_GOLD} select *, 'a' as place from gold union all "
+            "select 'T' || state, * exclude (state), 'b' from gold"
+        ),
+        "empty_gold_keeps_old": _ALL_GOLD,
+        "lost_keys": (
+            "select count(*) as c, "
+            "count(*) filter (where c_custkey % 17 <> 0 and c_custkey % 7 <> 0) as keys, "
+            "true as raised from customer"
+        ),
+        "default_database": "select count(*) as c from customer",
         "latest_snapshot": _ALL_GOLD,
         "latest_snapshot_parts": _ALL_GOLD,
+        "latest_snapshot_rolled": _ALL_GOLD,
+        "snapshot_blanks": (
+            f"{_GOLD} select * replace "
+            "(' ' || coalesce(discharges, 'Not Available') || ' ' as discharges) from gold"
+        ),
+        "snapshot_dashboard_kpis": _kpis(
+            _rounded("avg(try_cast(pred_readm_rate as double))"), _SELECTED
+        ),
         "snapshot_files": (
-            f"{_GOLD} select count(*) as c, true as one_file_when_small from gold"
+            f"{_GOLD} select count(*) as c, cast(1 as bigint) as files from gold"
         ),
         "snapshot_provenance": (
-            f"{_GOLD} select count(*) > 0 as is_csv, count(*) > 0 as is_utc from gold"
+            f"{_GOLD} select count(*) as c, true as is_newest, true as is_utc from gold"
         ),
         "kpi_summary": _kpis(_rounded("avg(r_rate_diff)")),
         "kpi_summary_filtered": _kpis(

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion import catalog
+from medallion.errors import EmptyResult, LostKeys
 from medallion.functions import clean
-from medallion.locations import Paths, scratch_folder
+from medallion.locations import Paths, discard, scratch_folder
 from medallion.operators import metrics
 from medallion.operators.histogram import histogram
-from medallion.plans.dashboard import dashboard
+from medallion.plans.dashboard import dashboard, snapshot_dashboard
 from medallion.plans.gold import (
     KEY,
     gold,
@@ -21,22 +23,22 @@ from medallion.plans.gold import (
     project_facility,
     project_measures,
 )
-from medallion.plans.pipeline import run
+from medallion.plans.pipeline import publish_gold, read_published, run
+from medallion.plans.silver import build_gen_info
 from medallion.schemas import (
     ALTERNATE_HEADERS,
-    GOLD,
     OWNERSHIPS,
     RATINGS,
     READM_TYPES,
     REQUIRED_COLUMNS,
 )
-from medallion.sinks import SINGLE_FILE_ROWS, write_gold, write_silver, write_snapshot
+from medallion.sinks import first_rows, write_gold, write_silver, write_snapshot
 from medallion.sources import (
     read_gen_info_json,
+    load_latest_snapshot,
     read_gold,
     read_latest_snapshot,
     read_measures_csv,
-    snapshot_provenance,
 )
 from medallion_checks import inputs
 from medallion_checks.oracle import snake
@@ -49,6 +51,18 @@ def snake_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(snake(c) for c in df.columns))
 
 
+_latest: dict[tuple[str, str], str] = {}
+
+
+def fresh_folder(spark: SparkSession, purpose: str) -> str:
+    """A new scratch folder; the one of the last call for the same purpose goes."""
+    key = (spark.sparkContext.applicationId, purpose)
+    if key in _latest:
+        discard(spark, _latest[key])
+    _latest[key] = scratch_folder(spark, purpose)
+    return _latest[key]
+
+
 def once_per_application(build):
     """Build a folder of derived data at its first use in a Spark application, then share it."""
     built = {}
@@ -161,7 +175,7 @@ def conform_missing_columns(spark, sf_dir):
 
 
 def parquet_silver_roundtrip(spark, sf_dir):
-    folder = scratch_folder(spark, "silver")
+    folder = fresh_folder(spark, "silver")
     write_silver(inputs.facilities(spark, sf_dir), folder)
     return snake_names(spark.read.schema(inputs.FACILITY_SCHEMA).parquet(folder))
 
@@ -197,7 +211,7 @@ def recoded_counts(df: DataFrame, column: str, mapping: dict[str, str]) -> DataF
 
 
 def gold_partitioned_roundtrip(spark, sf_dir):
-    folder = scratch_folder(spark, "gold")
+    folder = fresh_folder(spark, "gold")
     write_gold(derived_gold(spark, sf_dir), folder)
     return snake_names(read_gold(spark, folder))
 
@@ -206,15 +220,23 @@ def gold_partition_pruned(spark, sf_dir):
     return snake_names(metrics.filter_rows(gold_table(spark, sf_dir), ["S1"]))
 
 
-def new_database(spark) -> tuple[str, str]:
-    folder = scratch_folder(spark, "database")
+_databases: dict[tuple[str, str], str] = {}
+
+
+def new_database(spark, purpose: str) -> tuple[str, str]:
+    """A database and its folder; those of the last call for the same purpose go."""
+    key = (spark.sparkContext.applicationId, purpose)
+    if key in _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS `{_databases[key]}` CASCADE")
+    folder = fresh_folder(spark, f"database-{purpose}")
     name = folder.rsplit("/", 1)[-1].replace("-", "_")
     spark.sql(f"CREATE DATABASE `{name}` LOCATION '{folder}/db'")
+    _databases[key] = name
     return name, folder
 
 
 def gold_repaired_count(spark, sf_dir):
-    database, folder = new_database(spark)
+    database, folder = new_database(spark, "repaired")
     paths = Paths.under(folder)
     catalog.create_tables(spark, paths, database)
     write_gold(derived_gold(spark, sf_dir), paths.gold)
@@ -232,7 +254,7 @@ def pipeline_paths(spark, sf_dir, folder: str) -> Paths:
 
 
 def table_checks(spark, sf_dir):
-    database, folder = new_database(spark)
+    database, folder = new_database(spark, "checks")
     run(spark, pipeline_paths(spark, sf_dir, folder), "silver", database=database)
     gen_info, readmissions = (
         catalog.count_rows(spark, f"`{database}`.`{table}`").select(
@@ -243,51 +265,143 @@ def table_checks(spark, sf_dir):
     return gen_info.unionByName(readmissions)
 
 
-def full_run(spark, sf_dir):
-    database, folder = new_database(spark)
-    run(spark, pipeline_paths(spark, sf_dir, folder), database=database, show=False)
-    return snake_names(catalog.read_table(spark, f"`{database}`.`{catalog.GOLD_TABLE}`"))
+def full_run(spark, sf_dir, **options):
+    database, folder = new_database(spark, "full")
+    run(spark, pipeline_paths(spark, sf_dir, folder), database=database, show=False, **options)
+    return snake_names(read_published(spark, f"`{database}`.`{catalog.GOLD_TABLE}`"))
+
+
+def full_run_shuffled(spark, sf_dir):
+    return full_run(spark, sf_dir, broadcast_limit=0)
+
+
+@once_per_application
+def moved_csv(spark, sf_dir, folder):
+    state = F.concat(F.lit("T"), "State").alias("State")
+    df = inputs.measures(spark, sf_dir)
+    write_raw_csv(df.select(*(state if c == "State" else f"`{c}`" for c in df.columns)), folder)
+
+
+def two_locations(spark, sf_dir):
+    """Runs at two places in one database: the tables move, and each place keeps its own Gold."""
+    database, folder = new_database(spark, "places")
+    table = f"`{database}`.`{catalog.GOLD_TABLE}`"
+    both = []
+    for place, csv in (("a", raw_csv), ("b", moved_csv)):
+        paths = pipeline_paths(spark, sf_dir, f"{folder}/{place}")
+        paths = replace(paths, readmissions_raw=csv(spark, sf_dir))
+        run(spark, paths, database=database, show=False, move_tables=True)
+        gold = read_gold(spark, catalog.table_location(spark, table))
+        both.append(gold.withColumn("place", F.lit(place)))
+    return snake_names(both[0].unionByName(both[1]))
+
+
+def empty_gold_keeps_old(spark, sf_dir):
+    """The table after a publication without rows: as it was."""
+    database, folder = new_database(spark, "empty")
+    table = f"`{database}`.`{catalog.GOLD_TABLE}`"
+    paths = pipeline_paths(spark, sf_dir, folder)
+    run(spark, paths, database=database, show=False)
+    with suppress(EmptyResult):
+        publish_gold(metrics.filter_rows(gold_table(spark, sf_dir), [""]), paths, table, show=False)
+    return snake_names(read_published(spark, table))
+
+
+def lost_keys(spark, sf_dir):
+    """Facilities whose key outgrows the declared type: the strict Silver job raises on them."""
+    folder = fresh_folder(spark, "lost-keys")
+    large = F.when(F.col("provider id") % 7 == 0, F.col("provider id") + (1 << 31))
+    key = F.coalesce(large, "provider id")
+    inputs.facilities(spark, sf_dir).withColumn("provider id", key).write.json(f"{folder}/raw")
+    try:
+        build_gen_info(spark, f"{folder}/raw", f"{folder}/silver")
+        raised = False
+    except LostKeys:
+        raised = True
+    counts = spark.read.parquet(f"{folder}/silver").agg(
+        F.count(F.lit(1)).alias("c"), F.count("provider id").alias("keys")
+    )
+    return counts.withColumn("raised", F.lit(raised))
+
+
+def default_database(spark, sf_dir):
+    """Counts by unqualified table names."""
+    database, folder = new_database(spark, "default")
+    run(spark, pipeline_paths(spark, sf_dir, folder), "silver", database=database)
+    before = spark.catalog.currentDatabase()
+    catalog.use_database(spark, database)
+    try:
+        return catalog.count_rows(spark, catalog.GEN_INFO_TABLE)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
 
 
 # --- CSV snapshot ---
 
 
-def snapshots(spark, sf_dir, single_file_rows: int | None) -> str:
+def snapshots(spark, sf_dir, purpose: str, **options) -> str:
     """An old snapshot of one state, then a new one of all Gold rows."""
-    folder = scratch_folder(spark, "snapshots")
+    folder = fresh_folder(spark, purpose)
     df = gold_table(spark, sf_dir)
-    old = metrics.filter_rows(df, ["S1"])
-    write_snapshot(old, f"{folder}/old", rows=old.count())
-    rows = df.count()
-    bound = {} if single_file_rows is None else {"single_file_rows": single_file_rows}
-    write_snapshot(df, f"{folder}/new", rows=rows, **bound)
+    write_snapshot(metrics.filter_rows(df, ["S1"]), f"{folder}/old")
+    write_snapshot(df, f"{folder}/new", **options)
     return folder
 
 
 def latest_snapshot(spark, sf_dir):
-    return snake_names(read_latest_snapshot(spark, snapshots(spark, sf_dir, None)))
+    return snake_names(read_latest_snapshot(spark, snapshots(spark, sf_dir, "snapshot")))
 
 
 def latest_snapshot_parts(spark, sf_dir):
-    return snake_names(read_latest_snapshot(spark, snapshots(spark, sf_dir, 0)))
+    folder = snapshots(spark, sf_dir, "snapshot-parts", single_file=False)
+    return snake_names(read_latest_snapshot(spark, folder))
+
+
+def latest_snapshot_rolled(spark, sf_dir):
+    """Tasks that write several files each."""
+    key = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "700")
+    try:
+        folder = snapshots(spark, sf_dir, "snapshot-rolled", single_file=False)
+    finally:
+        spark.conf.set(key, before)
+    return snake_names(read_latest_snapshot(spark, folder))
+
+
+def snapshot_blanks(spark, sf_dir):
+    """Values with blanks around them, and one that only looks like the sentinel."""
+    folder = fresh_folder(spark, "snapshot-blanks")
+    padded = F.concat(F.lit(" "), F.coalesce("Discharges", F.lit("Not Available")), F.lit(" "))
+    write_snapshot(gold_table(spark, sf_dir).withColumn("Discharges", padded), folder)
+    return snake_names(read_latest_snapshot(spark, folder))
 
 
 def snapshot_files(spark, sf_dir):
-    df = read_latest_snapshot(spark, snapshots(spark, sf_dir, None))
+    df = read_latest_snapshot(spark, snapshots(spark, sf_dir, "snapshot-files"))
     counted = df.select(F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("c"), F.countDistinct("file").alias("files")
     )
-    small = F.col("c") <= SINGLE_FILE_ROWS
-    return counted.select("c", (small == (F.col("files") == 1)).alias("one_file_when_small"))
+    return counted.select("c", F.col("files"))
 
 
 def provenance(spark, sf_dir):
-    return snapshot_provenance(spark, snapshots(spark, sf_dir, None)).select(
-        F.col("path").endswith(".csv").alias("is_csv"),
-        F.col("last_updated").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d UTC$").alias("is_utc"),
+    """Where the rows come from: the newest of two snapshots."""
+    folder = snapshots(spark, sf_dir, "snapshot-provenance")
+    snapshot = load_latest_snapshot(spark, folder)
+    return snapshot.rows.agg(F.count(F.lit(1)).alias("c")).select(
+        "c",
+        F.lit(snapshot.path).contains(f"{folder}/new/part-").alias("is_newest"),
+        F.lit(snapshot.last_updated).rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d UTC$").alias("is_utc"),
     )
 
 
+def snapshot_kpis(spark, sf_dir):
+    folder = snapshots(spark, sf_dir, "snapshot-dashboard")
+    choices = {"states": STATES, "readm_types": TYPES, "metric": "Pred Readm Rate"}
+    return rounded(snapshot_dashboard(spark, folder, **choices)[1]["kpis"])
+
+
 # --- the analyst query set over a selection ---
 
 
@@ -331,7 +445,7 @@ def queries():
         "dashboard_mean_by_state": lambda df: rounded(selection(df)["mean_by_state"]),
         "dashboard_histogram": lambda df: selection(df)["histogram"],
         "dashboard_rows": lambda df: selection(df)["rows"],
-        "preview_10": lambda df: df.orderBy(*(F.col(f"`{c}`") for c in GOLD.names)).limit(10),
+        "preview_10": first_rows,
     }
     registered = {
         "json_scan_facilities": json_scan_facilities,
@@ -351,6 +465,9 @@ def queries():
         "right_join_shuffled": lambda spark, sf_dir: snake_names(
             derived_merged(spark, sf_dir, broadcast_limit=0)
         ),
+        "right_join_salted": lambda spark, sf_dir: snake_names(
+            derived_merged(spark, sf_dir, broadcast=False, rows_per_task=5)
+        ),
         "null_sentinel": null_sentinel,
         "require_columns": require_columns,
         "recode_measure": lambda spark, sf_dir: recoded_counts(
@@ -367,13 +484,24 @@ def queries():
         "gold_shuffled": lambda spark, sf_dir: snake_names(
             derived_gold(spark, sf_dir, broadcast_limit=0)
         ),
+        "gold_salted": lambda spark, sf_dir: snake_names(
+            derived_gold(spark, sf_dir, broadcast=False, rows_per_task=5)
+        ),
         "gold_partitioned_roundtrip": gold_partitioned_roundtrip,
         "gold_partition_pruned": gold_partition_pruned,
         "gold_repaired_count": gold_repaired_count,
         "table_checks": table_checks,
         "full_run": full_run,
+        "full_run_shuffled": full_run_shuffled,
+        "two_locations": two_locations,
+        "empty_gold_keeps_old": empty_gold_keeps_old,
+        "lost_keys": lost_keys,
+        "default_database": default_database,
         "latest_snapshot": latest_snapshot,
         "latest_snapshot_parts": latest_snapshot_parts,
+        "latest_snapshot_rolled": latest_snapshot_rolled,
+        "snapshot_blanks": snapshot_blanks,
+        "snapshot_dashboard_kpis": snapshot_kpis,
         "snapshot_files": snapshot_files,
         "snapshot_provenance": provenance,
     }

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import rows
+from medallion import schemas
 from medallion.functions import clean
 from medallion.schemas import OWNERSHIPS, RATINGS, READM_TYPES
 
@@ -83,9 +84,41 @@ def test_metric_value_ignores_text_and_nan(spark):
 
 
 def test_kpi_label(spark):
-    numbers = spark.createDataFrame([(1.234,), (None,), (float("nan"),), (-2.0,)], "x double")
+    numbers = spark.createDataFrame(
+        [(x,) for x in (1.234, None, float("nan"), -2.0, 2.675, 0.125, 1.005, -0.001, 12345.678)],
+        "x double",
+    )
     labels = [r.v for r in numbers.select(clean.kpi_label(F.col("x")).alias("v")).collect()]
-    assert labels == ["1.23", "N/A", "N/A", "-2.00"]
+    assert labels == [
+        "1.23", "N/A", "N/A", "-2.00", "2.67", "0.12", "1.00", "-0.00", "12345.68",
+    ]
     text = spark.createDataFrame([("7",), ("many",)], "x string")
     labels = [r.v for r in text.select(clean.kpi_label(F.col("x")).alias("v")).collect()]
     assert labels == ["7.00", "many"]
+
+
+def test_contract_values_as_literals():
+    """The fixed tables, written out once more, so that the SQL comparison is independent of them."""
+    assert schemas.READM_TYPES == {
+        "READM_30_PN_HRRP": "Pneumonia",
+        "READM_30_AMI_HRRP": "AMI",
+        "READM_30_COPD_HRRP": "COPD",
+        "READM_30_CABG_HRRP": "CABG",
+        "READM_30_HF_HRRP": "Heart_Failure",
+        "READM_30_HIP_KNEE_HRRP": "Hip_Knee",
+    }
+    assert schemas.OWNERSHIPS["Government - Hospital District or Authority"] == "Hospital"
+    assert schemas.OWNERSHIPS["Voluntary non-profit - Private"] == "Pvt NP"
+    assert list(schemas.OWNERSHIPS.values()) == [
+        "Pvt NP", "Prop", "Other", "Church", "Hospital", "Local", "State", "Physician", "Federal",
+        "Tribal",
+    ]
+    assert schemas.RATINGS == {str(n): f"{n} Star" for n in range(1, 6)}
+    assert schemas.ALTERNATE_HEADERS["expected_readmission_rate#6"] == "Expected Readmission Rate"
+    assert len(schemas.ALTERNATE_HEADERS) == 10
+    assert schemas.SENTINEL == "Not Available"
+    assert schemas.REQUIRED_COLUMNS == [
+        "state", "Readm Type", "Pred Readm Rate", "Exp Readm Rate", "Hosp Ownership", "Hosp Rating",
+    ]
+    assert len(schemas.GEN_INFO) == 29 and schemas.GEN_INFO.names[-1] == "location"
+    assert schemas.GEN_INFO.names[14] == "mortality national comparison"

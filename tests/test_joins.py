@@ -93,27 +93,50 @@ def test_no_partner_on_either_side(spark):
 
 def test_hot_key_is_spread_even_when_its_rows_are_identical(sides):
     left, _ = sides
-    hot = joins._hot_keys(left, "k", 20).collect()
-    assert [r.k for r in hot] == [5]
-    salts = hot[0]["__salts"]
+    hot = joins.hot_keys(left, "k", 20)
+    assert [r.k for r in hot.collect()] == [5]
+    salts = hot.first()["__salts"]
     assert salts == -(-left.filter("k = 5").count() // 20)
-    spread = (
-        left.filter("k = 5")
-        .withColumn("salt", F.monotonically_increasing_id() % salts)
-        .groupBy("salt")
-        .count()
-    )
+    spread = joins._spread(left.filter("k = 5"), hot, "k", "salt").groupBy("salt").count()
     assert spread.count() == salts
 
 
-def test_hot_keys_are_bounded_by_the_shuffle_partitions(sides, conf):
+@pytest.mark.parametrize("stride", [1, 4, 5])
+def test_a_regular_row_order_does_not_pile_a_key_up(spark, tmp_path, stride):
+    hot_row = F.col("id") % stride == 0
+    table = spark.range(40_000).select(F.when(hot_row, 7).otherwise(F.col("id")).alias("k"))
+    table.repartition(1).sort("k").write.parquet(str(tmp_path / "sorted"))
+    table.coalesce(1).write.parquet(str(tmp_path / "plain"))
+    for name in ("sorted", "plain"):
+        df = spark.read.parquet(str(tmp_path / name))
+        hot = joins.hot_keys(df, "k", 40_000 // stride // 4)
+        counts = joins._spread(df, hot, "k", "salt").filter("k = 7").groupBy("salt").count()
+        sizes = [r["count"] for r in counts.collect()]
+        assert len(sizes) >= 4 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_salts_are_bounded_by_rows_per_task_alone(sides, conf):
     left, right = sides
     conf("spark.sql.shuffle.partitions", "4")
-    hot = joins._hot_keys(left, "k", 1).collect()
-    assert len(hot) == 4 and all(r["__salts"] <= 4 for r in hot)
+    hot = {r["k"]: r["__salts"] for r in joins.hot_keys(left, "k", 1).collect()}
+    counts = {r["k"]: r["count"] for r in left.filter("k is not null").groupBy("k").count().collect()}
+    assert hot == {k: n for k, n in counts.items() if n > 1}
     assert rows(salted_join(left, right, "k", "inner", 1)) == rows(left.join(right, "k"))
 
 
+def test_nothing_is_measured_twice(sides, monkeypatch):
+    left, right = sides
+    seen = []
+    real = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda df, *a: seen.append(df) or real(df, *a))
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a: seen.append("size") or False)
+    right_join_facilities(left, right, "k", rows_per_task=3)
+    assert len(seen) == 3 and seen.count("size") == 1
+    seen.clear()
+    right_join_facilities(left, right, "k", broadcast=False, rows_per_task=3)
+    assert len(seen) == 2
+
+
 def test_the_facility_side_is_broadcast_only_within_the_limit(sides):
     left, right = sides
     small = physical_plan_of(join_facilities(left, right, "k"))

@@ -253,3 +253,14 @@ def test_dashboard_prunes_partitions_and_columns(spark, gold_path):
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "PartitionFilters: [isnotnull(state" in scan
     assert "ReadSchema: struct<Hosp Ownership:string,R Rate Diff:double>" in scan
+
+
+def test_bad_choices_raise(sample):
+    with pytest.raises(UnknownOption):
+        filter_rows(sample, "AK")
+    with pytest.raises(UnknownOption):
+        filter_rows(sample, [], "AMI")
+    with pytest.raises(UnknownOption):
+        histogram(sample, "R Rate Diff", bins=0)
+    with pytest.raises(UnknownOption):
+        histogram(sample, "provider_id")

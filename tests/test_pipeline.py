@@ -8,7 +8,16 @@ import pytest
 
 from frames import gold_rows, rows
 from medallion import Paths, catalog, publish_gold, run
-from medallion.errors import EmptyInput, EmptyResult, MissingColumns, UnknownOption
+from medallion.errors import (
+    EmptyInput,
+    EmptyResult,
+    LocationMismatch,
+    LostKeys,
+    MissingColumns,
+    UnknownOption,
+)
+from medallion.plans.pipeline import read_published
+from medallion.plans.silver import build_readmissions
 from medallion.schemas import READMISSIONS
 from medallion.sinks import write_gold
 from medallion.sources import read_gold, read_latest_snapshot
@@ -24,6 +33,10 @@ def paths(tmp_path):
     return Paths.under(str(tmp_path))
 
 
+def published(spark, database):
+    return read_published(spark, f"`{database}`.gold_merged")
+
+
 def write_raw(paths, facilities, measures, header=READMISSIONS.names):
     os.makedirs(paths.gen_info_raw)
     os.makedirs(paths.readmissions_raw)
@@ -77,33 +90,56 @@ def test_full_run(spark, paths, database, capsys):
         ("AK", 1, "AMI", "12", None, None, "16.1", "15.7", "Tribal", "5 Star", 0.40000057220458984),
         ("TX", 2, "AMI", "12", None, None, "16.1", "15.7", "Tribal", "5 Star", 0.40000057220458984),
     ]
-    assert rows(read_gold(spark, paths.gold)) == expected
+    assert rows(published(spark, database)) == expected
     assert rows(read_latest_snapshot(spark, paths.snapshot)) == expected
     table = catalog.read_table(spark, f"`{database}`.gold_merged")
     assert table.columns[-1] == "state" and table.count() == 2
 
 
-def test_run_with_a_shuffled_join_is_staged_and_gives_the_same(spark, paths, database):
+def test_run_with_a_shuffled_join_gives_the_same(spark, paths, database):
     write_raw(
         paths,
         [raw_facility(1), raw_facility(2)],
         [raw_measure(1, "AK"), raw_measure(2, "TX"), raw_measure(2, "TX", "Not Available")],
     )
     run(spark, paths, database=database, show=False)
-    expected = rows(read_gold(spark, paths.gold))
+    expected = rows(published(spark, database))
     run(spark, paths, "gold", database=database, show=False, broadcast_limit=0)
-    assert rows(read_gold(spark, paths.gold)) == expected
+    assert rows(published(spark, database)) == expected
     assert len(expected) == 2
-    shared = os.listdir(spark.conf.get("spark.checkpoint.dir"))
-    assert not [name for name in shared if name.startswith("gold-staged")]
 
 
-def test_staged_empty_gold_raises_too(spark, paths, database):
+def test_gold_keeps_the_last_version_only(spark, paths, database):
     catalog.create_tables(spark, paths, database)
-    none = gold_rows(spark, {}).filter("false")
-    with pytest.raises(EmptyResult):
-        publish_gold(none, paths, f"`{database}`.gold_merged", staged=True, show=False)
-    assert not os.path.exists(paths.gold)
+    for state in ("AK", "TX", "WA"):
+        publish_gold(gold_rows(spark, {"state": state}), paths, f"`{database}`.gold_merged")
+    assert [r["state"] for r in published(spark, database).collect()] == ["WA"]
+    assert len(os.listdir(paths.gold)) == 2
+
+
+def test_a_table_elsewhere_raises_or_moves(spark, tmp_path, database):
+    a, b = Paths.under(str(tmp_path / "a")), Paths.under(str(tmp_path / "b"))
+    write_raw(a, [raw_facility(1)], [raw_measure(1, "AK")])
+    write_raw(b, [raw_facility(1), raw_facility(2)], [raw_measure(2, "TX")])
+    run(spark, a, database=database, show=False)
+    old = read_gold(spark, catalog.table_location(spark, f"`{database}`.gold_merged"))
+    with pytest.raises(LocationMismatch):
+        run(spark, b, database=database, show=False)
+    run(spark, b, database=database, show=False, move_tables=True)
+    assert [r["state"] for r in published(spark, database).collect()] == ["TX"]
+    assert [r["state"] for r in old.collect()] == ["AK"]
+
+
+def test_keys_that_do_not_fit_raise_when_strict(spark, paths, database):
+    write_raw(paths, [raw_facility(1), raw_facility(1 << 33)], [raw_measure(1, "AK")])
+    with pytest.raises(LostKeys):
+        run(spark, paths, database=database, show=False)
+    run(spark, paths, database=database, show=False, strict=False)
+    with open(f"{paths.readmissions_raw}/b.csv", "w") as f:
+        f.write(",".join(READMISSIONS.names) + "\n")
+        f.write(",".join(raw_measure(1 << 40, "TX").get(c, "") for c in READMISSIONS.names) + "\n")
+    with pytest.raises(LostKeys):
+        build_readmissions(spark, paths.readmissions_raw, paths.readmissions)
 
 
 def test_stages_run_apart(spark, paths, database):
@@ -169,7 +205,7 @@ def test_empty_gold_raises_and_leaves_the_old_output(spark, paths, database):
     publish_gold(old, paths, gold_table, show=False)
     with pytest.raises(EmptyResult):
         publish_gold(old.filter("false"), paths, gold_table, show=False)
-    assert rows(read_gold(spark, paths.gold)) == rows(old)
+    assert rows(published(spark, database)) == rows(old)
     assert rows(read_latest_snapshot(spark, paths.snapshot)) == rows(old)
 
 

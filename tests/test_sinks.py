@@ -95,7 +95,7 @@ def test_without_adaptive_execution_nothing_is_shuffled_by_state(spark, tmp_path
 
 def test_snapshot_is_one_file_with_header_and_empty_nulls(spark, tmp_path):
     df = gold_rows(spark, {"state": "AK", "Discharges": "1,2"}, {"state": "TX"}).repartition(2)
-    write_snapshot(df, str(tmp_path / "s"), rows=2)
+    write_snapshot(df, str(tmp_path / "s"))
     (name,) = data_files(tmp_path / "s", ".csv")
     lines = sorted((tmp_path / "s" / name).read_text().splitlines())
     assert lines == sorted(
@@ -103,12 +103,13 @@ def test_snapshot_is_one_file_with_header_and_empty_nulls(spark, tmp_path):
     )
 
 
-def test_snapshot_has_parts_above_the_bound(spark, tmp_path):
+def test_snapshot_has_one_file_unless_the_caller_says_otherwise(spark, tmp_path, conf):
+    conf("spark.sql.files.maxRecordsPerFile", "4")
     df = gold_rows(spark, *({"provider_id": n} for n in range(30))).repartition(3)
-    write_snapshot(df, str(tmp_path / "s"), rows=30, single_file_rows=30)
+    write_snapshot(df, str(tmp_path / "s"))
     assert len(data_files(tmp_path / "s", ".csv")) == 1
-    write_snapshot(df, str(tmp_path / "s"), rows=30, single_file_rows=29)
-    assert len(data_files(tmp_path / "s", ".csv")) == 3
+    write_snapshot(df, str(tmp_path / "s"), single_file=False)
+    assert len(data_files(tmp_path / "s", ".csv")) >= 8
 
 
 def test_preview_prints_the_first_rows(spark, capsys):

@@ -11,6 +11,7 @@ from medallion.schemas import ALTERNATE_HEADERS, GEN_INFO, GOLD, READMISSIONS
 from medallion.sinks import write_snapshot
 from medallion.sources import (
     latest_csv,
+    load_latest_snapshot,
     read_gen_info_json,
     read_gold,
     read_latest_snapshot,
@@ -163,7 +164,7 @@ def test_digit_partition_values_stay_text(spark, tmp_path):
 
 def snapshot(spark, path, *items, **options):
     df = gold_rows(spark, *items)
-    write_snapshot(df, str(path), rows=len(items), **options)
+    write_snapshot(df, str(path), **options)
     return df
 
 
@@ -197,7 +198,7 @@ def test_equally_new_files_are_decided_by_path(spark, tmp_path):
 def test_all_parts_of_the_newest_snapshot_are_read(spark, tmp_path):
     items = [{"provider_id": n, "state": f"S{n % 5}"} for n in range(50)]
     df = gold_rows(spark, *items).repartition(5)
-    write_snapshot(df, str(tmp_path / "s" / "new"), rows=50, single_file_rows=10)
+    write_snapshot(df, str(tmp_path / "s" / "new"), single_file=False)
     parts = [n for n in os.listdir(tmp_path / "s" / "new") if n.endswith(".csv")]
     assert len(parts) == 5
     # A stray file of another write in the same folder is not part of the snapshot.
@@ -207,6 +208,22 @@ def test_all_parts_of_the_newest_snapshot_are_read(spark, tmp_path):
     assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
 
 
+@pytest.mark.parametrize("tasks", [1, 2])
+def test_all_files_of_a_task_are_read(spark, tmp_path, conf, tasks):
+    conf("spark.sql.files.maxRecordsPerFile", "7")
+    df = gold_rows(spark, *({"provider_id": n} for n in range(30))).repartition(tasks)
+    write_snapshot(df, str(tmp_path / "s"), single_file=False)
+    snapshot = load_latest_snapshot(spark, str(tmp_path / "s"))
+    assert rows(snapshot.rows) == rows(df)
+    assert "/part-" in snapshot.path and snapshot.last_updated.endswith(" UTC")
+
+
+def test_snapshot_keeps_blanks(spark, tmp_path):
+    texts = [" lead", "trail ", "Not Available ", "  both  "]
+    df = snapshot(spark, tmp_path / "s", *({"Hosp Ownership": t} for t in texts))
+    assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
+
+
 def test_snapshot_keeps_line_breaks_quotes_and_commas(spark, tmp_path):
     texts = ["two\nlines", 'a "quoted" word', "a, b", "back\\slash", 'mixed ", \n "x"']
     df = snapshot(spark, tmp_path / "s", *({"Hosp Ownership": t} for t in texts))
