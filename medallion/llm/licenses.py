@@ -49,7 +49,7 @@ TEMPLATES = (
     ("Unlicense", "this is free and unencumbered software released into the PUBLIC DOMAIN"),
 )
 #: Hints in RE2's and Python's common syntax.
-MARKS = r"\b(?:licen[sc]e[ds]?|sublicen[sc]e|redistributions?|unencumbered|permission is hereby|permission to use)\b"
+MARKS = r"\b(?:licen[sc]e[ds]?|sublicen[sc]e|redistributions?|unencumbered|public domain|permission is hereby|permission to use)\b"
 _MARK = re.compile(MARKS, re.I)
 #: Numbers, with a point inside, and words; hyphens part words.
 _WORD = re.compile(r"[0-9]+(?:\.[0-9]+)?|[^\W\d_]+(?:'[^\W\d_]+)?")

@@ -39,6 +39,8 @@ DIGIT_WORDS = {
     "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
 }
 INVISIBLE = "­​‌‍‎‏⁠⁡⁢⁣﻿"
+#: Where all marks are words, the address must end in one of these.
+TOP_DOMAINS = frozenset("com org net edu gov io info biz de fr es eu uk us ch at nl it be pt pl co me dev app ai ca au in jp".split())
 AT_WORDS = "at|arobase|arroba|ät"
 DOT_WORDS = "dot|punkt|point|punto"
 
@@ -170,6 +172,8 @@ def _address(match: re.Match[str]) -> str | None:
         return None
     if not re.fullmatch(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,12}", dots):
         return None
+    if not wrapped and "@" not in at and dots.rsplit(".", 1)[1].lower() not in TOP_DOMAINS:
+        return None
     return re.sub(_DOT, ".", match["name"], flags=re.I) + "@" + dots
 
 
