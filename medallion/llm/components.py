@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         tied, _ = _stars(_both(edges), "b > a")
-        large = tied.where("a <> b").distinct()
+        large = stored(tied.where("a <> b"), "stars")
         tied, least = _stars(large, "true")
         marks = Observation()
         edges = tied.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()

@@ -46,7 +46,7 @@ class Similarity:
     centres: int = 2
     #: Classes of a tile, and partners confirmed for a class and tile in each round; the last takes all.
     tile: int = 128
-    closest: tuple[int, ...] = (3, 24, 1 << 30)
+    closest: tuple[int, ...] = (4, 1 << 30)
 
     @cached_property
     def bands(self) -> int:
@@ -221,19 +221,30 @@ class _Tile:
     root: np.ndarray
     size: np.ndarray
     sketch: np.ndarray
+    bands: np.ndarray
+    main: np.ndarray
     parities: list[bytes]
 
     @classmethod
     def of(cls, rows: pa.StructArray) -> _Tile:
         node, root, size = (rows.field(n).to_numpy(zero_copy_only=False) for n in ("node", "root", "n_shingles"))
-        sketch = rows.field("sketch").flatten().to_numpy().reshape(len(node), -1).view(np.uint64)
-        return cls(node, root, size, sketch, rows.field("parities").to_pylist())
+        sketch, bands = (rows.field(n).flatten().to_numpy().reshape(len(node), -1) for n in ("sketch", "bands"))
+        main = rows.field("in_main").to_numpy(zero_copy_only=False)
+        return cls(node, root, size, sketch.view(np.uint64), bands, main, rows.field("parities").to_pylist())
 
-    def close(self, other: _Tile, rule: Similarity, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Likely links between components: for each class here the ``most`` closest ones of the other tile."""
+    def close(self, other: _Tile, key: int, rule: Similarity, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Likely links between components: for each class here the ``most`` closest ones of the other tile.
+
+        Two classes are compared in the bucket ``key`` of their first common band only, and two outside
+        the main component from the one side only.
+        """
         low, high = np.minimum.outer(self.size, other.size), np.maximum.outer(self.size, other.size)
         may = (low * 100 >= high * rule.percent) & (self.root[:, None] != other.root)
+        may &= other.main | (self.node[:, None] < other.node)
         may &= _differing(self.sketch[:, None], other.sketch[None]) <= rule.most_flips
+        for row in np.flatnonzero(may.any(1)).tolist():
+            same = self.bands[row] == other.bands
+            may[row] &= self.bands[row][same.argmax(1)] == key
         wide, others = (8 * np.array([len(p) for p in t.parities]) for t in (self, other))
         share = np.full(may.shape, np.inf)
         for width in np.unique(np.minimum.outer(wide, others)[may]).tolist():
@@ -256,21 +267,26 @@ def _left_over(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, tested: D
     placed = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"), F.sum("n").alias("all"))
-    placed = placed.join(main.where("roots > 1"), "key").join(nodes.select("node", "n_shingles", "sketch", "parities"), "node")
+    kept = ("n_shingles", "sketch", "bands", "parities")
+    placed = placed.join(main.where("roots > 1"), "key").join(nodes.select("node", *kept), "node")
     chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / rule.tile)).alias("chunk")
-    listed = F.collect_list(F.struct("node", "root", "n_shingles", "sketch", "parities"))
-    members = placed.groupBy("key", chunk).agg(listed.alias("members")).drop("chunk")
-    outside = placed.where("root <> main").groupBy("key", chunk).agg(listed.alias("outside")).drop("chunk")
+    placed = placed.select("key", chunk, "node", "root", (F.col("root") == F.col("main")).alias("in_main"), *kept)
+    placed = stored(placed, "active")
+    if placed.isEmpty():
+        return tested.where("false")
+    listed = F.collect_list(F.struct("node", "root", "in_main", *kept))
+    members = placed.groupBy("key", "chunk").agg(listed.alias("members")).drop("chunk")
+    outside = placed.where("not in_main").groupBy("key", "chunk").agg(listed.alias("outside")).drop("chunk")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 mine, theirs = (_Tile.of(batch.column(c)[k].values) for c in range(2))
-                a, b = mine.close(theirs, rule, most)
+                a, b = mine.close(theirs, batch.column(2)[k].as_py(), rule, most)
                 a, b = mine.node[a], theirs.node[b]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    met = outside.join(members, "key").select("outside", "members")
+    met = outside.join(members, "key").select("outside", "members", "key")
     return map_arrow(met, compare, tested.schema).distinct().join(tested, ["a", "b"], "left_anti")
 
 
