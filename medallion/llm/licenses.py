@@ -1,15 +1,18 @@
 """Licence notices in whole texts, by conditional compression and exact wording.
 
-Words that only licences use mark candidate blocks: the words around them, as far as the templates
-reach. A block is compressed plainly and with each template as a raw zstandard dictionary. What a
-template saves, as a share of its own compressed size, ranks the templates; the best are aligned with
-the block word by word, and one is confirmed when few words differ and no telling word (a licence's
-name, version or condition) does.
+Words that only licences use mark candidate blocks of bounded length: the words around them, as far
+as the templates reach. Every template with enough words in common is aligned with the block word by
+word; one is confirmed when few words differ and no telling word (a licence's name,
+version or condition) does. The confirmed words are compressed plainly and with the template as a raw
+zstandard dictionary. What it saves, as a share of its own compressed size, must not be little, and
+ranks the templates confirmed over the same words.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import cache
@@ -54,11 +57,11 @@ _MARK = re.compile(MARKS, re.I)
 #: Numbers, with a point inside, and words; hyphens part words.
 _WORD = re.compile(r"[0-9]+(?:\.[0-9]+)?|[^\W\d_]+(?:'[^\W\d_]+)?")
 _TELLING = re.compile(r"[0-9.]+|[A-Z]+")
-#: Best templates that are aligned, least share of a template's size saved, least share of words alike.
-ALIGNED, LEAST_SAVED, LEAST_ALIKE = 4, 0.25, 0.9
+#: Least share of a template's size saved, least share of words alike.
+LEAST_SAVED, LEAST_ALIKE = 0.25, 0.9
 #: A level that leaves literals as they are: all that a template saves is common wording.
 LEVEL = -1
-#: Words before and after a mark that belong to its block, beyond the template's length.
+#: Words before and after a mark that belong to its block, beyond the template with its differing words.
 MARGIN = 4
 
 
@@ -77,19 +80,21 @@ def _templates():
     return plain, out
 
 
-def _blocks(words: list[re.Match[str]], marks: list[int], reach: int) -> list[tuple[int, int]]:
-    """Runs of word numbers within reach of the marks."""
+def _blocks(words: int, marks: list[int], reach: int) -> list[tuple[int, int]]:
+    """Runs of word numbers within reach of the marks: one for the marks less than reach after the first of them."""
     blocks: list[tuple[int, int]] = []
+    first = None
     for k in marks:
-        low, high = max(0, k - reach), min(len(words), k + reach + 1)
-        if blocks and low <= blocks[-1][1]:
+        low, high = max(0, k - reach), min(words, k + reach + 1)
+        if first is not None and k - first < reach:
             blocks[-1] = (blocks[-1][0], high)
         else:
             blocks.append((low, high))
+            first = k
     return blocks
 
 
-def _aligned(have: list[str], want: list[str], telling: list[int], low: int) -> list[tuple[int, int, int]]:
+def _aligned(have: list[str], want: list[str], telling: list[int]) -> list[tuple[int, int, int]]:
     """(first word, end word, differing words) of each place where the wording stands in the block."""
     found, at = [], 0
     while at < len(have):
@@ -107,13 +112,22 @@ def _aligned(have: list[str], want: list[str], telling: list[int], low: int) ->
         differ = max(end - first, len(want)) - alike
         matched = {m.a + k for m in pairs for k in range(m.size)}
         if differ <= (1 - LEAST_ALIKE) * len(want) + 1e-9 and matched >= set(telling):
-            found.append((low + at + first, low + at + end, differ))
+            found.append((at + first, at + end, differ))
             at += end
         else:
             at += longest.b + longest.size
     return found
 
 
+def _add_free(taken: list[tuple[int, int]], low: int, high: int) -> bool:
+    """Puts the run into the ordered runs if it overlaps none of them."""
+    k = bisect_left(taken, (low, high))
+    if (k and taken[k - 1][1] > low) or (k < len(taken) and taken[k][0] < high):
+        return False
+    taken.insert(k, (low, high))
+    return True
+
+
 def notices(text: str) -> list[tuple[str, int, int, float, int]]:
     """(licence, start, end, share of the template saved, differing words) of the notices of a text.
 
@@ -123,26 +137,29 @@ def notices(text: str) -> list[tuple[str, int, int, float, int]]:
     if not starts:
         return []
     words = list(_WORD.finditer(text))
-    begins = [w.start() for w in words]
-    number = {b: k for k, b in enumerate(begins)}
+    lower = [w[0].lower() for w in words]
+    number = {w.start(): k for k, w in enumerate(words)}
     marks = [number[s] for s in starts if s in number]
     plain, templates = _templates()
-    found = []
+    found = set()
     for reach in sorted({8, *(16 * -(-len(t[1]) // 16) for t in templates)}):
         mine = [t for t in templates if (reach == 8 and len(t[1]) <= 8) or (reach > 8 and len(t[1]) > 8 and 16 * -(-len(t[1]) // 16) == reach)]
-        for low, high in _blocks(words, marks, reach + MARGIN) if mine else ():
-            have = [w[0].lower() for w in words[low:high]]
-            raw = " ".join(have).encode()
-            size = len(plain.compress(raw))
-            ranked = sorted(((size - len(t[3].compress(raw))) / t[4], -k) for k, t in enumerate(mine))[::-1]
-            for saved, k in ranked[:ALIGNED]:
-                name, want, telling, _, _ = mine[-k]
-                if saved >= LEAST_SAVED:
-                    found += [(b - a, -differ, name, a, b, saved) for a, b, differ in _aligned(have, want, telling, low)]
-    out, taken = [], []
-    for _, differ, name, a, b, saved in sorted(found, key=lambda f: (f[0], f[1], f[5], f[2]), reverse=True):
-        if not any(a < d and c < b for c, d in taken):
-            taken.append((a, b))
+        for low, high in _blocks(len(words), marks, reach + reach // 10 + MARGIN) if mine else ():
+            have = lower[low:high]
+            bag = Counter(have)
+            for name, want, telling, given, whole in mine:
+                # A place has at least so many of the template's words.
+                if sum((Counter(want) & bag).values()) < LEAST_ALIKE * len(want) - 1e-9:
+                    continue
+                for a, b, differ in _aligned(have, want, telling):
+                    raw = " ".join(have[a:b]).encode()
+                    saved = (len(plain.compress(raw)) - len(given.compress(raw))) / whole
+                    if saved >= LEAST_SAVED:
+                        found.add((b - a, -differ, saved, name, low + a, low + b))
+    out: list[tuple[str, int, int, float, int]] = []
+    taken: list[tuple[int, int]] = []
+    for _, differ, saved, name, a, b in sorted(found, reverse=True):
+        if _add_free(taken, a, b):
             out.append((name, words[a].start(), words[b - 1].end(), saved, -differ))
     return sorted(out, key=lambda f: f[1])
 

@@ -160,6 +160,15 @@ def test_long_wordings_with_other_words_in_them():
             assert found == name and differing >= 1
 
 
+def test_every_notice_of_a_list():
+    text = (
+        "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0. Licensed under CC BY-NC 4.0. Licensed under CC BY-ND 4.0. "
+        "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    )
+    names = ["CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "MIT", "Apache-2.0"]
+    assert [n for n, *_ in licenses.notices(text)] == names
+
+
 def test_licences_of_a_table(frame):
     notice = "Released under the MIT License."
     rows = [(n, t, "x") for n, t in enumerate(ODD)] + [(90, f"é🙂 {notice}\nmore", "x")] * 2 + [(None, notice, "x")]
