@@ -2,7 +2,7 @@
 
 Words that only licences use mark candidate blocks of bounded length: the words around them, as far
 as the templates reach. Every template with enough words in common is aligned with the block word by
-word; one is confirmed when few words differ and no telling word (a licence's name,
+word, at every place; one is confirmed when few words differ and no telling word (a licence's name,
 version or condition) does. The confirmed words are compressed plainly and with the template as a raw
 zstandard dictionary. What it saves, as a share of its own compressed size, must not be little, and
 ranks the templates confirmed over the same words.
@@ -10,13 +10,14 @@ ranks the templates confirmed over the same words.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -95,27 +96,35 @@ def _blocks(words: int, marks: list[int], reach: int) -> list[tuple[int, int]]:
 
 
 def _aligned(have: list[str], want: list[str], telling: list[int]) -> list[tuple[int, int, int]]:
-    """(first word, end word, differing words) of each place where the wording stands in the block."""
-    found, at = [], 0
-    while at < len(have):
-        near = have[at : at + 64 * len(want)]
-        longest = SequenceMatcher(None, want, near, autojunk=False).find_longest_match()
-        if not longest.size:
-            break
-        # Around the longest common run; words alike further off belong to other text.
-        slack = len(want) // 10
-        begin = max(0, longest.b - longest.a - slack)
-        part = near[begin : longest.b - longest.a + len(want) + slack]
-        pairs = [m for m in SequenceMatcher(None, want, part, autojunk=False).get_matching_blocks() if m.size]
-        first, end = begin + pairs[0].b, begin + pairs[-1].b + pairs[-1].size
-        alike = sum(m.size for m in pairs)
-        differ = max(end - first, len(want)) - alike
-        matched = {m.a + k for m in pairs for k in range(m.size)}
-        if differ <= (1 - LEAST_ALIKE) * len(want) + 1e-9 and matched >= set(telling):
-            found.append((at + first, at + end, differ))
-            at += end
-        else:
-            at += longest.b + longest.size
+    """(first word, end word, differing words) of each place where the wording stands in the block.
+
+    Every stretch is aligned for most telling words, then most words alike; of stretches that overlap
+    the one with fewest differing words stays.
+    """
+    most = (1 - LEAST_ALIKE) * len(want) + 1e-9
+    need, width = math.ceil(len(want) - most), len(want) + int(most)
+    codes = {w: k for k, w in enumerate(dict.fromkeys(want))}
+    have_codes = np.array([codes.get(w, -1) for w in have] + [-1] * width)
+    known = np.append(0, np.cumsum(have_codes >= 0))
+    start = np.arange(len(have))
+    start = start[(have_codes[start] >= 0) & (known[start + width] - known[start] >= need)]
+    near = have_codes[start[:, None] + np.arange(width)]
+    # Greatest score of the template's words so far with each number of the stretch's words.
+    score = np.zeros((len(start), width + 1), np.int64)
+    heavy = width + 1
+    for k, word in enumerate(want):
+        gain = (near == codes[word]) * (1 + heavy * (k in telling))
+        score[:, 1:] = np.maximum(score[:, 1:], score[:, :-1] + gain)
+        np.maximum.accumulate(score, axis=1, out=score)
+    alike = score % heavy
+    differ = np.maximum(np.arange(width + 1), len(want)) - alike
+    rows, sizes = np.nonzero((score // heavy == len(telling)) & (differ <= most))
+    places = zip(differ[rows, sizes].tolist(), (-alike[rows, sizes]).tolist(), sizes.tolist(), start[rows].tolist(), strict=True)
+    taken: list[tuple[int, int]] = []
+    found = []
+    for wrong, _, size, first in sorted(places):
+        if _add_free(taken, first, first + size):
+            found.append((first, first + size, wrong))
     return found
 
 

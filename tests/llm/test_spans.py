@@ -167,6 +167,18 @@ def test_every_notice_of_a_list():
     )
     names = ["CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "MIT", "Apache-2.0"]
     assert [n for n, *_ in licenses.notices(text)] == names
+    every = ". ".join(wording for _, wording in licenses.TEMPLATES)
+    assert [n for n, *_ in licenses.notices(every)] == [n for n, _ in licenses.TEMPLATES]
+    assert [n for n, *_ in licenses.notices(f"{every}. " * 3)] == [n for n, _ in licenses.TEMPLATES] * 3
+
+
+def test_a_notice_before_a_longer_run_of_its_words():
+    exact = licenses.TEMPLATES[5][1].lower().split()
+    variant = exact.copy()
+    variant[len(variant) // 2] = "foo"
+    for parts in ([variant, exact], [exact, variant], [variant, variant, exact]):
+        found = licenses.notices(" ".join(w for part in parts for w in part))
+        assert [(n, d) for n, _, _, _, d in found] == [("ISC", int(part is variant)) for part in parts]
 
 
 def test_licences_of_a_table(frame):
