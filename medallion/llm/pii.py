@@ -150,13 +150,18 @@ _AT = rf"(?:\s*[(\[{{<]\s*(?:{AT_WORDS}|@)\s*[)\]}}>]\s*|\s+@\s+|[ \t]+(?:{AT_WO
 _DOT = rf"(?:\s*[(\[{{<]\s*(?:{DOT_WORDS}|\.)\s*[)\]}}>]\s*|[ \t]+\.[ \t]+|[ \t]+(?:{DOT_WORDS})[ \t]+|\.)"
 
 
+def _plain_word(word: str) -> str:
+    """In lower case, with what Python's patterns take for an i or s."""
+    return word.replace("\u0130", "i").replace("\u0131", "i").replace("\u017f", "s").lower()
+
+
 def _spelled(match: re.Match[str]) -> str | None:
     out = ["+"] if match["plus"] else []
     words = 0
     for item in _ITEMS.finditer(match["run"]):
-        times = {"double": 2, "triple": 3}.get((item[1] or "").lower(), 1)
+        times = {"double": 2, "triple": 3}.get(_plain_word(item[1] or ""), 1)
         if item[2]:
-            out.append(str(DIGIT_WORDS[item[2].lower()]) * times)
+            out.append(str(DIGIT_WORDS[_plain_word(item[2])]) * times)
             words += 1
         else:
             out.append(item[3] or ".")
@@ -177,8 +182,23 @@ def _address(match: re.Match[str]) -> str | None:
     return re.sub(_DOT, ".", match["name"], flags=re.I) + "@" + dots
 
 
+def _folded(words: str) -> str:
+    """The words with all letters that Python, but not RE2, takes for an i."""
+    return words.replace("i", "[i\u0130\u0131]")
+
+
+#: What Python takes for white space; RE2's class has only ASCII.
+_SPACE = f"[{''.join(c for c in map(chr, range(0x10000)) if c.isspace())}]"
+_DOTS = _folded(DOT_WORDS)
+#: Two words at least make spelled digits, so one is followed by another item.
+_SPELLED_HINT = (
+    rf"(?:^|[^A-Za-z0-9]|plus)(?:{_folded(_WORD)})(?:[ \t,.-]+|[ \t]+(?:{_DOTS})[ \t]+)"
+    rf"(?:(?:double|{_folded('triple')})[ \t]+)?(?:{_folded(_WORD)}|[0-9])"
+)
+#: An address changes only by a mark in brackets, a dot or a dot's word between blanks, or an @ between spaces.
+_ADDRESS_HINT = rf"[ \t](?:{_DOTS}|\.)[ \t]|[(\[{{<]{_SPACE}*(?:{AT_WORDS}|@|\.|{_DOTS}){_SPACE}*[)\]}}>]|{_SPACE}@{_SPACE}"
 #: (what shows that a transducer may have work, its pattern, its rewriting), in the order they run.
-#: The hints use only what both Python and RE2 read alike.
+#: The hints use only what both Python and RE2 read alike, and match wherever the rewriting changes a text.
 TRANSDUCERS = (
     (
         r"[^\x00-\x7f]",
@@ -186,7 +206,7 @@ TRANSDUCERS = (
         _look_alike,
     ),
     (
-        rf"(?:{_WORD})[ \t,-]+(?:{_WORD})[ \t,-]",
+        _SPELLED_HINT,
         re.compile(rf"(?<![^\W_])(?P<plus>(?:plus|\+)[ \t]*)?(?P<run>(?:{_ITEM})(?:(?:{_GAP}|[ \t]*\b(?:{DOT_WORDS})\b[ \t]*|\.)(?:{_ITEM})){{3,}})", re.I),
         _spelled,
     ),
@@ -196,7 +216,7 @@ TRANSDUCERS = (
         lambda match: "0" if match[0] in "Oo" else "1",
     ),
     (
-        rf"\b(?:{DOT_WORDS})\b|[(\[{{<]\s*(?:{AT_WORDS}|@|\.|{DOT_WORDS})\s*[)\]}}>]|\s@\s",
+        _ADDRESS_HINT,
         re.compile(
             rf"(?<![A-Za-z0-9_%+.-])(?P<name>[A-Za-z0-9_%+-]{{1,64}}+(?:{_DOT}[A-Za-z0-9_%+-]{{1,64}}+){{0,4}}?)(?P<at>{_AT})"
             rf"(?P<rest>[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z0-9-]{{1,63}}+)+)(?![A-Za-z0-9-])",

@@ -58,6 +58,51 @@ def test_disguises_map_back_to_source_characters(text, kind, found):
     assert (name, text[start:end], added) == (kind, found, True)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("eight dot eight dot eight dot eight", "ip"),
+        ("plus four 9 one 7 zero 1 two 3 four 5", "phone"),
+        ("plus double five double six double seven double eight nine", "phone"),
+        ("john@example . com", "email"),
+        ("john at example . com", "email"),
+        ("john (\u3000at\x1f) example.com", "email"),
+    ],
+)
+def test_hints_let_every_disguise_through(frame, text, kind):
+    (row,) = pii.find_pii(frame([(1, text)])).collect()
+    assert [(s["kind"], s["start"], s["end"], s["added"]) for s in row["spans"]] == [(kind, 0, len(text), True)]
+
+
+def test_spans_are_the_same_without_hints(monkeypatch):
+    import random
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rng = random.Random(8)
+    words = ["eight", "Zero", "s\u0130x", "\u017fix", "S\u0131ete", "double", "tr\u0130ple", "plus", "+", "dot", "po\u0130nt", "at", "ät", "@", ".", "john", "web", "com", "1", "9", "4O9", "(", ")", "[", "]", "аe", "_"]
+    gaps = ["", " ", " ", " ", " ", "\t", "-", ", ", ".", "\n", "\u3000", "\x1f"]
+    items = ["eight", "Zero", "s\u0130x", "\u017fix", "S\u0131ete", "tr\u0130ple one", "double two", "1", "9", "4"]
+    marks = [" ", "-", ", ", ".", " dot ", "\tpo\u0130nt ", " .", " . ", "(dot)", "[\u3000punkt\x1f]"]
+    ats = ["@", " at ", " @ ", "(at)", "\x1f@\u3000", "{\u3000@\x1f}"]
+
+    def run(parts, least):
+        mark = rng.choice(marks)
+        return "".join(rng.choice(parts) + (mark if rng.random() < 0.8 else rng.choice(marks)) for _ in range(rng.randrange(least, 15)))
+
+    texts = ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randrange(3, 14))) for _ in range(10_000)]
+    texts += [rng.choice(["plus ", "+", "", "plus"]) + run(items, 4) + rng.choice(items) for _ in range(10_000)]
+    texts += ["john" + rng.choice(["", rng.choice(marks) + "smith"]) + rng.choice(ats) + "web" + rng.choice(marks) + "com" for _ in range(2_000)]
+    hints = list(zip(*(pc.match_substring_regex(pa.array(texts), h, ignore_case=True).to_pylist() for h, _, _ in pii.TRANSDUCERS), strict=True))
+    hinted = [pii.all_spans(t, h) for t, h in zip(texts, hints, strict=True)]
+    unhinted = [pii.all_spans(t) for t in texts]
+    monkeypatch.setattr(pii, "_HINTS", [re.compile("")] * len(pii.TRANSDUCERS))
+    every = [pii.all_spans(t, (True,) * len(pii.TRANSDUCERS)) for t in texts]
+    assert hinted == every and unhinted == every
+    assert sum(s[3] for spans in every for s in spans) >= 1_000
+
+
 def test_ordinary_prose_has_no_spans():
     for text in ("we met at noon at the dot of two", "one two three four five", "look at example.com at once", "Die drei vier und fünf."):
         assert pii.all_spans(text) == []
