@@ -229,7 +229,7 @@ _HINTS = [re.compile(hint, re.I) for hint, _, _ in TRANSDUCERS]
 
 
 def all_spans(text: str, hints: tuple[bool, ...] = ()) -> list[tuple[str, int, int, bool]]:
-    """(kind, start, end, added) of every identifier, by kind and start; added ones overlap no plain one.
+    """(kind, start, end, added) of every identifier, by kind and start; no added one lies inside a plain one of its kind.
 
     ``hints`` are those of the transducers for the text, where known.
     """
@@ -244,13 +244,13 @@ def all_spans(text: str, hints: tuple[bool, ...] = ()) -> list[tuple[str, int, i
                 steps.append(step)
                 now = step.text
     if steps:
-        taken = sorted((a, b) for _, a, b, _ in found)
         for kind, spans in plain_spans(now).items():
             for span in spans:
                 for step in reversed(steps):
                     span = step.back(span)
-                k = bisect_right(taken, (span[1], -1))
-                if not any(b > span[0] for _, b in taken[max(0, k - 1) : k]):
+                # Plain spans of a kind do not overlap: only the last one that starts so early can hold it.
+                k = bisect_right(plain[kind], span[0], key=lambda s: s[0])
+                if not k or plain[kind][k - 1][1] < span[1]:
                     found.append((kind, *span, True))
         found.sort(key=lambda s: (KINDS.index(s[0]), s[1]))
     return found

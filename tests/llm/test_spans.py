@@ -108,6 +108,20 @@ def test_ordinary_prose_has_no_spans():
         assert pii.all_spans(text) == []
 
 
+def test_a_disguise_with_a_plain_part_is_redacted_whole():
+    for text, plain in (
+        ("j\u043ehn.smith@corp.com", "hn.smith@corp.com"),
+        ("john@example.co\u200bm", "john@example.co"),
+        ("jo\u200bhn@example.com", "hn@example.com"),
+        ("\uff4aohn@example.com", "ohn@example.com"),
+    ):
+        spans = pii.all_spans(f"a {text} b")
+        at = 2 + text.index(plain)
+        assert sorted(spans, key=lambda s: s[3]) == [("email", at, at + len(plain), False), ("email", 2, 2 + len(text), True)]
+        assert pii.redact(f"a {text} b", spans) == "a <EMAIL> b"
+    assert [s[3] for s in pii.all_spans("joe@ex.com b\u043eb@ex.com 10.0.0.1")] == [False, True, False, False]
+
+
 def test_find_and_redact(frame):
     rows = [(n, t, "s") for n, t in enumerate([*ODD, "é🙂 a@b.co or 10.0.0.1", "me [at] x [dot] org"])]
     docs = frame([*rows, rows[-1], (None, "+1 (499) 555-6503", "s")], "doc_id long, text string, spans string")
