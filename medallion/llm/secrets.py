@@ -4,7 +4,8 @@ DataFrame expressions only. Text between the matches of a pattern gives the plac
 code points. Strong findings are reported as they are. A credential often has several parts: an access
 identifier, a secret and an endpoint. Parts that alone are weak evidence (an opaque token, an assigned
 user or key name, a URL) are interval-joined within their scope, a paragraph and at most ``REACH`` code
-points, and reported only where complementary parts occur together.
+points from the end of one to the start of the other, and reported only where complementary parts occur
+together.
 """
 
 from __future__ import annotations
@@ -95,11 +96,14 @@ def linked(found: DataFrame) -> DataFrame:
     every = found.where(F.size("weak") > 0).select("uid", "breaks", F.explode(F.concat("strong", "weak")).alias("p"))
     role = F.array(*(F.lit(p.role) for p in PATTERNS))[F.col("p.kind")]
     scope = F.size(F.filter("breaks", lambda b: b < F.col("p.start")))
-    every = every.select("uid", "p", role.alias("role"), scope.alias("scope"), F.floor(F.col("p.start") / REACH).alias("cell"))
+    first, last = (F.floor(F.col(c) / REACH) for c in ("p.start", "p.end"))
+    every = every.select("uid", "p", role.alias("role"), scope.alias("scope"), first.alias("first"), last.alias("last"))
     weak = every.where(F.col("p.kind").isin([KINDS.index(p.kind) for p in PATTERNS if not p.strong]))
-    near = weak.select("uid", "p", "role", "scope", F.explode(F.array(*(F.col("cell") + k for k in (-1, 0, 1)))).alias("cell"))
-    others = every.select("uid", F.col("p").alias("q"), F.col("role").alias("q_role"), "scope", "cell")
-    met = near.join(others, ["uid", "scope", "cell"]).where(F.abs(F.col("p.start") - F.col("q.start")) <= REACH)
+    # Parts stand in all cells they cover, weak ones also in those next to them; a pair may meet more than once.
+    near = weak.select("uid", "p", "role", "scope", F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)).alias("cell"))
+    others = every.select("uid", F.col("p").alias("q"), F.col("role").alias("q_role"), "scope", F.explode(F.sequence("first", "last")).alias("cell"))
+    gap = F.greatest("p.start", "q.start") - F.least("p.end", "q.end")
+    met = near.join(others, ["uid", "scope", "cell"]).where(gap <= REACH)
     has = {r: F.bool_or(F.col("q_role") == r).alias(r) for r in ("id", "secret", "endpoint")}
     roles = met.groupBy("uid", "p", "role").agg(*has.values())
     whole = (

@@ -184,6 +184,23 @@ def test_weak_parts_are_reported_together_only(frame):
     assert [s.split(":")[0] for s in spans[6].split(",")] == ["assign", "named"]
 
 
+def test_long_weak_parts_are_near_by_their_ends(frame):
+    blob = "AbCdEf0123456789" * 100
+    docs = frame([
+        (1, f"{blob} client_id=foo"),
+        (2, f"client_id=foo {blob}"),
+        (3, f"{blob}{' ' * 400}client_id=foo"),
+        (4, f"{blob}{' ' * 401}client_id=foo"),
+        (5, f"client_id=foo{' ' * 400}{blob}"),
+        (6, f"client_id=foo{' ' * 401}{blob}"),
+        (7, f"https://x.org/{'a=' * 1000}&client_id=foo&{'a=' * 1000} {blob}"),
+    ])
+    spans = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.find_secrets(docs)).collect()}
+    assert spans[1] == "opaque:0:1600,named:1601:1614" and spans[2] == "named:0:13,opaque:14:1614"
+    assert spans[3].count(",") == spans[5].count(",") == 1 and spans[4] == spans[6] == ""
+    assert [s.split(":")[0] for s in spans[7].split(",")] == ["endpoint", "opaque"]
+
+
 def test_secrets_use_no_python(frame):
     plan = secrets.digest(secrets.find_secrets(frame([(1, "a")])))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct", plan)
