@@ -142,6 +142,25 @@ def test_contaminated_equals_brute_force(frame):
     assert len(got) >= 45
 
 
+def test_uneven_weights_are_found_as_brute_force_finds_them(frame):
+    rng = random.Random(12)
+    hashed = lambda size: "".join(rng.choice("0123456789abcdef") for _ in range(size))
+    items, docs = [], []
+    for k in range(60):
+        text, size = prose(rng, rng.randrange(45, 60)), rng.randrange(40, 140)
+        if k % 3 == 2:  # one shingle over and over
+            text = f"{text} {'tick ' * rng.randrange(20, 40)}"
+        items.append((k, f"{text} {hashed(size)}"))
+        docs.append((k, f"{text} {hashed(size)} {prose(rng, 10)}"))
+    table = frame([(d, t, 0) for d, t in docs], "doc_id long, text string, length int")
+    rows = decontamination.contaminated(table, frame(items, "item_id long, text string")).collect()
+    wanted = {}
+    for d, i in zip(docs, items, strict=True):
+        wanted |= brute([d], [i])
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == wanted.keys()
+    assert len(wanted) >= 40
+
+
 def test_no_documents_and_no_benchmark(frame):
     docs, items = frame([(1, "some text of five words")]), frame([(1, "one two three four five")], "item_id long, text string")
     none = frame([], "item_id long, text string")
