@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import decontamination, langid, licenses, near_dups, packing, pii, quality, secrets, simple8b, toxicity
+from medallion.llm import (
+    centroids,
+    decontamination,
+    langid,
+    licenses,
+    near_dups,
+    oracle,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    secrets,
+    simple8b,
+    toxicity,
+    url_filter,
+)
 from medallion.llm.frames import is_held_out, table
 from medallion.locations import scratch_folder
 
@@ -70,9 +85,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last number of a page's path is the doc_id of its document, whose labels are the page's.
+
+    A page is bad where any label of its document says toxic or of no quality.
+    """
+    labels = table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"]).where("doc_id is not null")
+    known = F.max(F.greatest(1 - F.col("quality"), F.col("toxic"))).alias("bad")
+    pages = table(spark, sf_dir, "pages", ["page_id", "url"])
+    number = F.regexp_extract(url_filter.located("url")[1], "([0-9]+)[^0-9]*$", 1).try_cast("long")
+    # Pages without a number would all meet in one task; their page_id keeps them apart.
+    numbered = pages.withColumn("doc_id", F.coalesce(number, -F.abs(F.xxhash64("page_id")) - 1))
+    labelled = numbered.join(labels.groupBy("doc_id").agg(known), "doc_id", "left")
+    return url_filter.judge(labelled).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
