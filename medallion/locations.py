@@ -71,6 +71,18 @@ def discard(spark: SparkSession, folder: str) -> None:
     file_system.delete(path, True)
 
 
+def exists(spark: SparkSession, place: str) -> bool:
+    """Whether a file or folder is there."""
+    path, file_system = _hadoop(spark, place)
+    return file_system.exists(path)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Create a folder and those above it, unless it is there."""
+    path, file_system = _hadoop(spark, folder)
+    file_system.mkdirs(path)
+
+
 def qualified(spark: SparkSession, folder: str) -> str:
     """The folder as a full URI, so that two spellings of a place compare equal."""
     path, file_system = _hadoop(spark, folder)
@@ -85,6 +97,81 @@ def subfolders(spark: SparkSession, folder: str) -> list[str]:
     return [str(s.getPath()) for s in file_system.listStatus(path) if s.isDirectory()]
 
 
+def write_text(spark: SparkSession, place: str, text: str) -> None:
+    """Replace a small file."""
+    path, file_system = _hadoop(spark, place)
+    stream = file_system.create(path, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, place: str) -> str | None:
+    """A small file as text; None where there is none."""
+    path, file_system = _hadoop(spark, place)
+    if not file_system.exists(path):
+        return None
+    stream = file_system.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def file_states(spark: SparkSession, folder: str) -> dict[str, tuple[int, int]]:
+    """Name of each file right in ``folder``, with its length and time of change."""
+    path, file_system = _hadoop(spark, folder)
+    if not file_system.exists(path):
+        return {}
+    files = [s for s in file_system.listStatus(path) if s.isFile()]
+    return {s.getPath().getName(): (s.getLen(), s.getModificationTime()) for s in files}
+
+
+def can_join_files(spark: SparkSession, folder: str) -> bool:
+    """Whether the file system of ``folder`` can make one file of several."""
+    path, file_system = _hadoop(spark, folder)
+    if file_system.getScheme() == "file":
+        return True
+    return file_system.hasPathCapability(path, "fs.capability.paths.concat")
+
+
+def join_files(spark: SparkSession, sources: list[str], target: str) -> None:
+    """One file of the sources' bytes, in their order; the sources may be gone after.
+
+    A distributed file system links the sources' blocks behind those of the first. The local one
+    copies bytes through a small buffer.
+    """
+    path, file_system = _hadoop(spark, target)
+    file_system.mkdirs(path.getParent())
+    if file_system.getScheme() == "file":
+        out = file_system.create(path, True)
+        try:
+            for source in sources:
+                stream = file_system.open(_hadoop(spark, source)[0])
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+                stream.close()
+        finally:
+            out.close()
+        return
+    file_system.rename(_hadoop(spark, sources[0])[0], path)
+    if rest := sources[1:]:
+        paths = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(rest))
+        for k, source in enumerate(rest):
+            paths[k] = _hadoop(spark, source)[0]
+        file_system.concat(path, paths)
+
+
+def replace_folder(spark: SparkSession, folder: str, target: str) -> None:
+    """Move a folder to a place and delete what was there."""
+    path, file_system = _hadoop(spark, folder)
+    place = _hadoop(spark, target)[0]
+    file_system.delete(place, True)
+    file_system.mkdirs(place.getParent())
+    if not file_system.rename(path, place):
+        raise OSError(f"{folder} could not be moved to {target}")
+
+
 def _hadoop(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

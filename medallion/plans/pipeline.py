@@ -15,7 +15,6 @@ from medallion.plans.gold import gold, usable_facilities
 from medallion.plans.silver import build_gen_info, build_readmissions
 from medallion.schemas import GOLD
 from medallion.sinks import preview, write_gold, write_snapshot
-from medallion.sources import read_gold
 
 VERSION = "version-"
 
@@ -45,27 +44,33 @@ def publish_gold(
 ) -> int:
     """Write a new version of Gold, show it in the table, write the snapshot. Returns Gold's rows.
 
-    Rows are computed and written once, into a new folder below ``paths.gold``. Only when that is
-    complete does the table move to it, so readers of the table keep the old version until then.
-    An empty result raises and leaves table and snapshot as they were. ``dynamic`` moves only
-    the states that were written, one by one; otherwise versions before the last one are deleted.
-    Count, preview and snapshot come from the table.
+    Rows are computed and written once, into a new folder below ``paths.gold``. When that is complete,
+    a manifest in it records the place of every state, and one catalog operation moves all partitions
+    of the table there: a reader sees the old version or the new one, never a part. An empty result
+    raises and leaves table and snapshot as they were. ``dynamic`` replaces the written states and
+    keeps the places of the others. A publication that broke off is completed first. Versions that
+    neither this publication nor the last one reads are deleted. Count, preview and snapshot come
+    from the table.
     """
     spark = df.sparkSession
     folder = f"{paths.gold}/{VERSION}{uuid.uuid4().hex}"
     write_gold(df, folder)
-    if read_gold(spark, folder).isEmpty():
+    states = catalog.partition_folders(spark, folder)
+    if not states:
         discard(spark, folder)
         raise EmptyResult("the Gold result has no row; the old one stays")
+    catalog.complete_publication(spark, table)
+    last = catalog.table_location(spark, table)
+    shown = catalog.read_manifest(spark, table)
     if dynamic:
-        catalog.show_partitions_of(spark, table, folder)
-    else:
-        last = catalog.table_location(spark, table)
-        catalog.show_version(spark, table, folder)
-        for old in subfolders(spark, paths.gold):
-            named = old.rsplit("/", 1)[1].startswith(VERSION)
-            if named and qualified(spark, old) not in (last, qualified(spark, folder)):
-                discard(spark, old)
+        states = {**shown, **states}
+    catalog.write_manifest(spark, folder, states)
+    catalog.show_manifest(spark, table, folder)
+    read = {qualified(spark, place.rsplit("/", 1)[0]) for place in [*shown.values(), *states.values()]}
+    for old in subfolders(spark, paths.gold):
+        named = old.rsplit("/", 1)[1].startswith(VERSION)
+        if named and qualified(spark, old) not in (*read, last, qualified(spark, folder)):
+            discard(spark, old)
     written = read_published(spark, table)
     rows = written.count()
     if show:

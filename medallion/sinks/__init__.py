@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from functools import reduce
+from operator import or_
 
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from medallion.locations import (
+    can_join_files,
+    discard,
+    file_states,
+    join_files,
+    replace_folder,
+    write_text,
+)
 from medallion.schemas import PARTITION_COLUMN
+from medallion.sources.snapshot import write_record
 
 
 def write_silver(df: DataFrame, path: str) -> None:
@@ -30,21 +45,59 @@ def write_gold(df: DataFrame, path: str, *, dynamic: bool = False) -> None:
     )
 
 
-def write_snapshot(df: DataFrame, path: str, *, single_file: bool = True) -> None:
+def write_snapshot(
+    df: DataFrame, path: str, *, single_file: bool = True, log: str | None = None
+) -> None:
     """Replace the CSV snapshot: one file with a header, or one per task if the caller says so.
 
-    A single file passes all rows through one task, which is the caller's choice; the number of
-    rows never decides. ``df`` should be read back from a table, so that the task only copies.
-    Blanks around values are kept.
+    A single file is written in parallel parts that the file system joins behind the header. Where it
+    cannot join files (``can_join_files``), all rows pass through one task; the number of rows
+    never decides. Blanks around values are kept. A record next to the files says which they are and
+    whether a value holds a line break, as only then must a reader take a file whole. ``log`` is a
+    folder above that keeps the record of its newest snapshot, so that no reader lists the older ones.
     """
-    if single_file:
-        df = df.coalesce(1)
-    writer = df.write.mode("overwrite").option("header", True)
+    spark = df.sparkSession
+    breaks = Observation()
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    broken = reduce(or_, (F.col(f"`{c}`").rlike(r"[\r\n]") for c in texts), F.lit(False))
+    df = df.observe(breaks, F.coalesce(F.bool_or(broken), F.lit(False)).alias("line_breaks"))
+    if single_file and can_join_files(spark, path):
+        _write_joined(df, path.rstrip("/"))
+    elif single_file:
+        _csv_writer(df.coalesce(1), header=True).option("maxRecordsPerFile", 0).csv(path)
+    else:
+        _csv_writer(df, header=True).csv(path)
+    write_record(spark, path, breaks.get["line_breaks"], log)
+
+
+def _csv_writer(df: DataFrame, *, header: bool) -> DataFrameWriter:
+    writer = df.write.mode("overwrite").option("header", header)
     for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
         writer = writer.option(side, False)
-    if single_file:
-        writer = writer.option("maxRecordsPerFile", 0)
-    writer.csv(path)
+    return writer
+
+
+def _write_joined(df: DataFrame, path: str) -> None:
+    spark = df.sparkSession
+    above, name = path.rsplit("/", 1) if "/" in path else (".", path)
+    write_id = uuid.uuid4()
+    # A hidden name: readers of the folders above do not see it.
+    work = f"{above}/_{name}-{write_id}"
+    try:
+        names = spark.createDataFrame([df.columns], ", ".join(f"c{k} string" for k in range(len(df.columns))))
+        _csv_writer(names.coalesce(1), header=False).csv(f"{work}/header")
+        _csv_writer(df, header=False).csv(f"{work}/parts")
+        parts = [
+            f"{work}/{part}/{file}"
+            for part in ("header", "parts")
+            for file, (length, _) in sorted(file_states(spark, f"{work}/{part}").items())
+            if file.endswith(".csv") and length
+        ]
+        join_files(spark, parts, f"{work}/whole/part-00000-{write_id}-c000.csv")
+        write_text(spark, f"{work}/whole/_SUCCESS", "")
+        replace_folder(spark, f"{work}/whole", path)
+    finally:
+        discard(spark, work)
 
 
 def first_rows(df: DataFrame, rows: int = 10) -> DataFrame:

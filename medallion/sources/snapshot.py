@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.locations import file_states, qualified, read_text, write_text
 from medallion.schemas import GOLD
 
+#: The record of a snapshot, in its folder and in that of a log; the name hides it from scans.
+RECORD = "_snapshot.json"
+
 # Spark names all files of one write part-<task>-<write id>-c<n>.csv.
 _PART_FILE = re.compile(r"part-\d+-([0-9a-f-]{36})(?:-c\d+)?(\..*)")
 
@@ -23,17 +28,50 @@ class Snapshot:
     last_updated: str | None
 
 
+def write_record(spark: SparkSession, path: str, line_breaks: bool, log: str | None = None) -> None:
+    """Record the snapshot in ``path``: its files, their newest, and whether values hold line breaks."""
+    files = file_states(spark, path)
+    written = [n for n in files if _PART_FILE.fullmatch(n)]
+    if not written:
+        return
+    newest = max(written, key=lambda n: (files[n][1], n))
+    record = {
+        "folder": qualified(spark, path),
+        "newest": newest,
+        "length": files[newest][0],
+        "changed": files[newest][1],
+        "line_breaks": line_breaks,
+    }
+    for place in {path.rstrip("/"), (log or path).rstrip("/")}:
+        write_text(spark, f"{place}/{RECORD}", json.dumps(record))
+
+
+def read_record(spark: SparkSession, folder: str) -> dict | None:
+    """The record in ``folder``, if the file it names is still there as it was."""
+    text = read_text(spark, f"{folder.rstrip('/')}/{RECORD}")
+    try:
+        record = json.loads(text) if text else None
+    except ValueError:
+        return None
+    if record is None:
+        return None
+    state = file_states(spark, record["folder"]).get(record["newest"])
+    return record if state == (record["length"], record["changed"]) else None
+
+
 def latest_csv(spark: SparkSession, folder: str) -> DataFrame:
     """One row (path, modified) of the newest non-empty CSV file at any depth below ``folder``.
 
-    Both are null when there is none. Only file listings are read, never contents; among equally
-    new files the path decides.
+    Both are null when there is none. A folder with a record is not listed: the record names its newest
+    snapshot. Only file listings are read, never contents; among equally new files the path decides.
     """
+    record = read_record(spark, folder)
+    place, deep = (folder, True) if record is None else (_files_of(record["folder"], record["newest"]), False)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .load(folder)
+        .option("recursiveFileLookup", deep)
+        .load(place)
         .filter("length > 0")
         .agg(F.max(F.struct(F.col("modificationTime").alias("modified"), "path")).alias("newest"))
         .select("newest.path", "newest.modified")
@@ -60,25 +98,37 @@ def load_latest_snapshot(spark: SparkSession, folder: str) -> Snapshot:
     """The newest snapshot below ``folder`` with its path and time, all from one listing.
 
     A snapshot may have several files, of one task as well. They share the write id in their
-    names, so the whole write is read, not the newest file alone. Values may hold line breaks, so
-    a file is one task.
+    names, so the whole write is read, not the newest file alone. Where its record says that no value
+    holds a line break, files are split among tasks; elsewhere a file is one task.
     """
     newest = snapshot_provenance(spark, folder).first()
     if newest["path"] is None:
         return Snapshot(spark.createDataFrame([], GOLD), None, None)
     parent, name = newest["path"].rsplit("/", 1)
-    part = _PART_FILE.fullmatch(name)
-    pattern = f"part-*-{part[1]}*{_literal(part[2])}" if part else _literal(name)
+    record = read_record(spark, parent)
+    whole = record is None or record["line_breaks"] or _write_id(record["newest"]) != _write_id(name)
     rows = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", whole)
         .schema(GOLD)
-        .csv(f"{_literal(parent)}/{pattern}")
+        .csv(_files_of(parent, name))
     )
     return Snapshot(rows, newest["path"], newest["last_updated"])
 
 
+def _write_id(name: str) -> str | None:
+    part = _PART_FILE.fullmatch(name)
+    return part[1] if part else None
+
+
+def _files_of(parent: str, name: str) -> str:
+    """A path pattern of all files of the write that ``name`` belongs to."""
+    part = _PART_FILE.fullmatch(name)
+    pattern = f"part-*-{part[1]}*{_literal(part[2])}" if part else _literal(name)
+    return f"{_literal(parent)}/{pattern}"
+
+
 def _literal(path: str) -> str:
     """Escape the characters that have a meaning in a Hadoop path pattern."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

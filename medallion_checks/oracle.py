@@ -195,6 +195,14 @@ from rd""",
             "select 'T' || state, * exclude (state), 'b' from gold"
         ),
         "empty_gold_keeps_old": _ALL_GOLD,
+        "publish_atomic": f"{_GOLD} select *, cast(0 as integer) as torn from gold",
+        "publish_dynamic_special": (
+            f"{_GOLD} select case state when 'S1' then 'A B' when 'S2' then 'A/B' "
+            "when 'S3' then 'A=B' when 'S4' then '50%' when 'S5' then 'O''x' when 'S6' then 'A:B' "
+            "else state end as state, * exclude (state, discharges), "
+            "case when state in ('S2', 'S4', 'S6') then 'again' else discharges end as discharges "
+            "from gold"
+        ),
         "lost_keys": (
             "select count(*) as c, "
             "count(*) filter (where c_custkey % 17 <> 0 and c_custkey % 7 <> 0) as keys, "
@@ -208,6 +216,13 @@ from rd""",
             f"{_GOLD} select * replace "
             "(' ' || coalesce(discharges, 'Not Available') || ' ' as discharges) from gold"
         ),
+        "snapshot_line_breaks": (
+            f"{_GOLD} select * replace ('a' || chr(10) || coalesce(discharges, 'none') "
+            "|| '\", \"b' as discharges) from gold"
+        ),
+        "snapshot_logged": (
+            f"{_GOLD} select count(*) as c, cast(1 as bigint) as files, true as split from gold"
+        ),
         "snapshot_dashboard_kpis": _kpis(
             _rounded("avg(try_cast(pred_readm_rate as double))"), _SELECTED
         ),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from contextlib import suppress
+import threading
+from contextlib import contextmanager, suppress
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -307,6 +308,55 @@ def empty_gold_keeps_old(spark, sf_dir):
     return snake_names(read_published(spark, table))
 
 
+@contextmanager
+def counted_by_a_reader(spark, table: str):
+    """The row counts that a reader sees who asks again and again."""
+    seen, done = [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            seen.append(spark.read.table(table).count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        yield seen
+    finally:
+        done.set()
+        reader.join()
+
+
+def publish_atomic(spark, sf_dir):
+    """Gold with a count of the partial versions that a reader saw while it was published: none."""
+    database, folder = new_database(spark, "atomic")
+    table, paths = f"`{database}`.`{catalog.GOLD_TABLE}`", Paths.under(folder)
+    catalog.create_tables(spark, paths, database)
+    gold = gold_table(spark, sf_dir)
+    # Other states, other rows: every partition of one version goes and every one of the other comes.
+    old = gold.filter("state <> 'S1'").withColumn("state", F.concat(F.lit("old "), "state"))
+    before = publish_gold(old, paths, table, show=False)
+    with counted_by_a_reader(spark, table) as seen:
+        after = publish_gold(gold, paths, table, show=False)
+    torn = sum(count not in (before, after) for count in seen)
+    return snake_names(read_published(spark, table)).withColumn("torn", F.lit(torn))
+
+
+#: Names that need an escape in a path, a URI or a SQL text, by the state that takes them.
+SPECIAL = {"S1": "A B", "S2": "A/B", "S3": "A=B", "S4": "50%", "S5": "O'x", "S6": "A:B"}
+
+
+def publish_dynamic_special(spark, sf_dir):
+    """States of special names, three of them published again on their own."""
+    database, folder = new_database(spark, "dynamic")
+    table, paths = f"`{database}`.`{catalog.GOLD_TABLE}`", Paths.under(folder)
+    catalog.create_tables(spark, paths, database)
+    gold = clean.recode(gold_table(spark, sf_dir), {"state": SPECIAL})
+    publish_gold(gold, paths, table, show=False)
+    again = metrics.filter_rows(gold, ["A/B", "50%", "A:B"]).withColumn("Discharges", F.lit("again"))
+    publish_gold(again, paths, table, dynamic=True, show=False)
+    return snake_names(read_published(spark, table))
+
+
 def lost_keys(spark, sf_dir):
     """Facilities whose key outgrows the declared type: the strict Silver job raises on them."""
     folder = fresh_folder(spark, "lost-keys")
@@ -377,6 +427,35 @@ def snapshot_blanks(spark, sf_dir):
     return snake_names(read_latest_snapshot(spark, folder))
 
 
+def snapshot_line_breaks(spark, sf_dir):
+    """Values with line breaks in them: the record has the file read whole."""
+    folder = fresh_folder(spark, "snapshot-line-breaks")
+    broken = F.concat(F.lit("a\n"), F.coalesce("Discharges", F.lit("none")), F.lit('", "b'))
+    write_snapshot(gold_table(spark, sf_dir).withColumn("Discharges", broken), folder)
+    return snake_names(read_latest_snapshot(spark, folder))
+
+
+def snapshot_logged(spark, sf_dir):
+    """The newest of two snapshots by the log above them, and that its only file is read by several tasks."""
+    folder = fresh_folder(spark, "snapshot-logged")
+    df = gold_table(spark, sf_dir)
+    write_snapshot(metrics.filter_rows(df, ["S1"]), f"{folder}/old", log=folder)
+    write_snapshot(df, f"{folder}/new", log=folder)
+    rows = load_latest_snapshot(spark, folder).rows
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4k")
+    try:
+        seen = rows.select("*", F.spark_partition_id().alias("task"), "_metadata.file_path").agg(
+            F.count(F.lit(1)).alias("c"),
+            F.countDistinct("file_path").alias("files"),
+            (F.countDistinct("task") > 1).alias("split"),
+        )
+        return spark.createDataFrame(seen.collect(), seen.schema)
+    finally:
+        spark.conf.set(key, before)
+
+
 def snapshot_files(spark, sf_dir):
     df = read_latest_snapshot(spark, snapshots(spark, sf_dir, "snapshot-files"))
     counted = df.select(F.col("_metadata.file_path").alias("file")).agg(
@@ -495,12 +574,16 @@ def queries():
         "full_run_shuffled": full_run_shuffled,
         "two_locations": two_locations,
         "empty_gold_keeps_old": empty_gold_keeps_old,
+        "publish_atomic": publish_atomic,
+        "publish_dynamic_special": publish_dynamic_special,
         "lost_keys": lost_keys,
         "default_database": default_database,
         "latest_snapshot": latest_snapshot,
         "latest_snapshot_parts": latest_snapshot_parts,
         "latest_snapshot_rolled": latest_snapshot_rolled,
         "snapshot_blanks": snapshot_blanks,
+        "snapshot_line_breaks": snapshot_line_breaks,
+        "snapshot_logged": snapshot_logged,
         "snapshot_dashboard_kpis": snapshot_kpis,
         "snapshot_files": snapshot_files,
         "snapshot_provenance": provenance,

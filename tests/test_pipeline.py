@@ -21,6 +21,7 @@ from medallion.plans.silver import build_readmissions
 from medallion.schemas import READMISSIONS
 from medallion.sinks import write_gold
 from medallion.sources import read_gold, read_latest_snapshot
+from medallion_checks.queries import counted_by_a_reader
 
 
 @pytest.fixture
@@ -225,6 +226,92 @@ def test_missing_state_stops_the_run_unless_allowed(spark, paths, database):
         run(spark, paths, database=database, strict=False)
 
 
+SPECIAL = ["A B", "A/B", "A=B", "50%", "O'x", "A:B", "Ü b", "a\\b", 'q"x', "null"]
+
+
+@pytest.mark.parametrize("state", SPECIAL)
+def test_dynamic_publication_of_a_special_state(spark, paths, database, state):
+    table = f"`{database}`.gold_merged"
+    catalog.create_tables(spark, paths, database)
+    publish_gold(gold_rows(spark, {"state": state}, {"state": "AK"}), paths, table, show=False)
+    again = gold_rows(spark, {"state": state, "Discharges": "9"})
+    assert publish_gold(again, paths, table, dynamic=True, show=False) == 2
+    got = {r["state"]: r["Discharges"] for r in published(spark, database).collect()}
+    assert got == {state: "9", "AK": None}
+    assert publish_gold(again, paths, table, show=False) == 1
+
+
+def test_dynamic_publications_keep_the_versions_they_read(spark, paths, database):
+    table = f"`{database}`.gold_merged"
+    catalog.create_tables(spark, paths, database)
+    publish_gold(gold_rows(spark, *({"state": s} for s in "abc")), paths, table, show=False)
+    for n, state in enumerate("abcabc"):
+        again = gold_rows(spark, {"state": state, "provider_id": n})
+        assert publish_gold(again, paths, table, dynamic=True, show=False) == 3
+    got = {r["state"]: r["provider_id"] for r in published(spark, database).collect()}
+    assert got == {"a": 3, "b": 4, "c": 5}
+    assert len(os.listdir(paths.gold)) == 4
+
+
+def test_a_reader_sees_whole_versions_only(spark, paths, database):
+    table = f"`{database}`.gold_merged"
+    catalog.create_tables(spark, paths, database)
+    sizes = [6, 9, 2, 7]
+    for k, size in enumerate(sizes):
+        rows_of = [{"state": f"{k % 2}{n}"} for n in range(size)]
+        if not k:
+            publish_gold(gold_rows(spark, *rows_of), paths, table, show=False)
+            continue
+        with counted_by_a_reader(spark, table) as seen:
+            publish_gold(gold_rows(spark, *rows_of), paths, table, show=False)
+        assert set(seen) <= {sizes[k - 1], size}
+
+
+def test_a_publication_that_broke_off_is_completed(spark, paths, database, monkeypatch):
+    table = f"`{database}`.gold_merged"
+    catalog.create_tables(spark, paths, database)
+    publish_gold(gold_rows(spark, {"state": "AK"}), paths, table, show=False)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="lost"):
+        patch.setattr(catalog, "_switch_partitions", broken)
+        publish_gold(gold_rows(spark, {"state": "TX"}), paths, table, show=False)
+    assert [r["state"] for r in published(spark, database).collect()] == ["AK"]
+    catalog.complete_publication(spark, table)
+    assert [r["state"] for r in published(spark, database).collect()] == ["TX"]
+    publish_gold(gold_rows(spark, {"state": "WA"}), paths, table, dynamic=True, show=False)
+    assert sorted(r["state"] for r in published(spark, database).collect()) == ["TX", "WA"]
+
+
+def test_statements_do_not_grow_with_partitions(spark, paths, database, monkeypatch):
+    table = f"`{database}`.gold_merged"
+    catalog.create_tables(spark, paths, database)
+    folder = f"{paths.gold}/version-x"
+    write_gold(gold_rows(spark, {"state": "AK"}), folder)
+    place = catalog.partition_folders(spark, folder)["AK"]
+    counts = []
+    for n in (5, 300):
+        catalog.write_manifest(spark, folder, {f"S{n} {k}": place for k in range(n)})
+        statements = []
+        plain = type(spark).sql
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", lambda s, q, *a, **b: (statements.append(q), plain(s, q, *a, **b))[1])
+            catalog.show_manifest(spark, table, folder)
+        counts.append(len(statements))
+        assert catalog.count_rows(spark, table).first()["c"] == n
+    # The second one drops the partitions of the first.
+    assert counts[1] <= counts[0] + 1
+
+
+def test_preview_of_a_run(spark, paths, database, capsys):
+    write_raw(paths, [raw_facility(1)], [raw_measure(1, "AK")])
+    run(spark, paths, database=database, show=True)
+    out = capsys.readouterr().out
+    assert "|AK   |1          |AMI" in out and "only showing" not in out
+
+
 # --- catalog ---
 
 

@@ -7,6 +7,7 @@ import pytest
 from frames import gold_rows, rows
 from medallion.errors import EmptyInput, MissingColumns
 from medallion.operators.conform import check_columns, rename_alternates, require_rows
+from medallion.locations import write_text
 from medallion.schemas import ALTERNATE_HEADERS, GEN_INFO, GOLD, READMISSIONS
 from medallion.sinks import write_snapshot
 from medallion.sources import (
@@ -230,6 +231,53 @@ def test_snapshot_keeps_line_breaks_quotes_and_commas(spark, tmp_path):
     assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
 
 
+@pytest.mark.parametrize("broken", [False, True])
+def test_one_file_is_split_where_no_value_holds_a_line_break(spark, tmp_path, conf, broken):
+    items = [{"provider_id": n, "state": f"S{n}", "Hosp Rating": "x" * 50} for n in range(400)]
+    if broken:
+        items[7]["Hosp Rating"] = "two\r\nlines"
+    df = snapshot(spark, tmp_path / "s" / "new", *items)
+    conf("spark.sql.files.maxPartitionBytes", "2k")
+    conf("spark.sql.files.openCostInBytes", "1")
+    got = read_latest_snapshot(spark, str(tmp_path / "s"))
+    assert (got.rdd.getNumPartitions() > 3) is not broken
+    if not broken:
+        assert rows(got) == rows(df)
+    else:
+        assert got.count() == 400
+
+
+def test_the_log_names_the_newest_snapshot_without_a_listing(spark, tmp_path):
+    folder = tmp_path / "s"
+    old = gold_rows(spark, {"state": "AK"})
+    new = gold_rows(spark, {"state": "TX"}, {"state": "WA"})
+    write_snapshot(old, str(folder / "1"), log=str(folder))
+    write_snapshot(new, str(folder / "2"), log=str(folder), single_file=False)
+    assert rows(read_latest_snapshot(spark, str(folder))) == rows(new)
+    plan = latest_csv(spark, str(folder))._jdf.queryExecution().analyzed().toString()
+    assert "binaryFile" in plan
+    # What the log does not name is not looked at.
+    write(folder / "0" / "stray.csv", ",".join(GOLD.names) + "\n")
+    assert "/2/part-" in latest_csv(spark, str(folder)).first()["path"]
+    # A record that no longer fits its file gives way to the listing.
+    age(folder / "2", 1_000_000_000)
+    assert latest_csv(spark, str(folder)).first()["path"].endswith("/0/stray.csv")
+    write_text(spark, str(folder / "_snapshot.json"), "{broken")
+    assert latest_csv(spark, str(folder)).first()["path"].endswith("/0/stray.csv")
+
+
+def test_parts_are_joined_behind_one_header(spark, tmp_path):
+    df = gold_rows(spark, *({"provider_id": n, "state": f"S{n}"} for n in range(200))).repartition(7)
+    write_snapshot(df, str(tmp_path / "s"))
+    assert sorted(os.listdir(tmp_path)) == ["s"]
+    (name,) = [n for n in os.listdir(tmp_path / "s") if n.endswith(".csv") and not n.startswith(".")]
+    lines = (tmp_path / "s" / name).read_text().splitlines()
+    assert lines.count(",".join(GOLD.names)) == 1 and len(lines) == 201
+    assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
+    write_snapshot(df.filter("false"), str(tmp_path / "s"))
+    assert read_latest_snapshot(spark, str(tmp_path / "s")).isEmpty()
+
+
 def test_no_snapshot_gives_no_rows(spark, tmp_path):
     os.makedirs(tmp_path / "s")
     assert latest_csv(spark, str(tmp_path / "s")).collect() == [(None, None)]
