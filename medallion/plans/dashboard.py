@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medallion.errors import EmptyInput
 from medallion.operators.histogram import histogram
@@ -14,6 +15,7 @@ from medallion.operators.metrics import (
     mean_by_state,
     picklist,
 )
+from medallion.plans.summary import kpi_labels_of, kpis_of, means_of, totals
 from medallion.sources.snapshot import Snapshot, load_latest_snapshot
 
 
@@ -24,21 +26,35 @@ def dashboard(
     readm_types=(),
     group_by: str = "Hosp Ownership",
     metric: str = "R Rate Diff",
+    summary: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All dashboard results as lazy frames: picklists over ``df``, the rest over the selection.
 
-    Over the Gold table the state choice prunes partitions and each result reads its own columns.
+    Over the Gold table the state choice prunes partitions and each result reads its own columns. With
+    a ``summary`` of ``df``, KPIs and means come from one aggregation over it, ``totals``, and Gold is
+    scanned for histogram and rows only.
     """
     chosen = filter_rows(df, states, readm_types)
-    return {
+    views = {"histogram": histogram(chosen, metric), "rows": chosen}
+    if summary is not None:
+        sums = totals(summary, group_by, metric, states, readm_types)
+        mean = F.desc_nulls_last("avg_metric")
+        return views | {
+            "totals": sums,
+            "states": picklist(summary, "state"),
+            "readm_types": picklist(summary, "Readm Type"),
+            "kpis": kpis_of(sums),
+            "kpi_labels": kpi_labels_of(sums),
+            "mean_by_group": means_of(sums, "group", group_by).orderBy(mean, F.col(f"`{group_by}`")),
+            "mean_by_state": means_of(sums, "state", "state").orderBy("state"),
+        }
+    return views | {
         "states": picklist(df, "state"),
         "readm_types": picklist(df, "Readm Type"),
         "kpis": kpis(chosen, metric),
         "kpi_labels": kpi_labels(chosen, metric),
         "mean_by_group": mean_by(chosen, group_by, metric),
-        "histogram": histogram(chosen, metric),
         "mean_by_state": mean_by_state(chosen, metric),
-        "rows": chosen,
     }
 
 

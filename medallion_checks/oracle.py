@@ -134,7 +134,7 @@ def oracle_sql() -> dict[str, str]:
     facilities_declared = f"{_INPUTS} select {_typed(GEN_INFO, 'gi', as_declared=True)} from gi"
     measures_declared = f"{_INPUTS} select {_typed(READMISSIONS, 'rd', as_declared=True)} from rd"
     right_join = f"{_CHAIN} select * from joined"
-    return {
+    plain = {
         "json_scan_facilities": facilities_declared,
         "json_row_count": "select count(*) as c from customer",
         "csv_scan_measures": measures_declared,
@@ -266,3 +266,21 @@ from rd""",
             f"limit 10"
         ),
     }
+    return plain | {summary: plain[query] for summary, query in _SUMMARISED.items()}
+
+
+#: Queries over the stored summary, and those over Gold that they must equal.
+_SUMMARISED = {
+    "summary_kpis": "kpi_summary",
+    "summary_kpis_filtered": "kpi_summary_filtered",
+    "summary_kpis_empty": "kpi_labels_empty",
+    "summary_kpi_labels": "kpi_labels",
+    "summary_mean_by_ownership": "mean_by_ownership",
+    "summary_mean_by_rating": "mean_by_rating_text_metric",
+    "summary_mean_by_state": "mean_by_state",
+    "summary_selected_kpis": "dashboard_kpis",
+    "summary_selected_mean_by_group": "dashboard_mean_by_group",
+    "summary_selected_mean_by_state": "dashboard_mean_by_state",
+    "summary_states": "states_list",
+    "summary_types": "types_list",
+}

@@ -26,6 +26,7 @@ from medallion.plans.gold import (
 )
 from medallion.plans.pipeline import publish_gold, read_published, run
 from medallion.plans.silver import build_gen_info
+from medallion.plans.summary import read_summary, write_summary
 from medallion.schemas import (
     ALTERNATE_HEADERS,
     OWNERSHIPS,
@@ -481,6 +482,47 @@ def snapshot_kpis(spark, sf_dir):
     return rounded(snapshot_dashboard(spark, folder, **choices)[1]["kpis"])
 
 
+# --- the analyst query set over a summary ---
+
+
+@once_per_application
+def stored_summary(spark, sf_dir, folder):
+    write_summary(gold_table(spark, sf_dir), folder)
+
+
+def summarised(spark, sf_dir, view: str, **choices) -> DataFrame:
+    """A dashboard view that comes from the stored summary."""
+    summary = read_summary(spark, stored_summary(spark, sf_dir))
+    return snake_names(dashboard(gold_table(spark, sf_dir), summary=summary, **choices)[view])
+
+
+SELECTION = {"states": STATES, "readm_types": TYPES, "group_by": "Hosp Rating", "metric": "Pred Readm Rate"}
+
+#: Query, view and choices; the SQL is that of the query over Gold itself.
+SUMMARISED = {
+    "summary_kpis": ("kpis", {}),
+    "summary_kpis_filtered": ("kpis", {"states": STATES, "readm_types": TYPES, "metric": "Discharges"}),
+    "summary_kpis_empty": ("kpi_labels", {"states": [""]}),
+    "summary_kpi_labels": ("kpi_labels", {}),
+    "summary_mean_by_ownership": ("mean_by_group", {}),
+    "summary_mean_by_rating": ("mean_by_group", {"group_by": "Hosp Rating", "metric": "Readmissions"}),
+    "summary_mean_by_state": ("mean_by_state", {}),
+    "summary_selected_kpis": ("kpis", SELECTION),
+    "summary_selected_mean_by_group": ("mean_by_group", SELECTION),
+    "summary_selected_mean_by_state": ("mean_by_state", SELECTION),
+    "summary_states": ("states", {}),
+    "summary_types": ("readm_types", {}),
+}
+
+
+def summary_query(view: str, choices: dict):
+    def query(spark, sf_dir):
+        df = summarised(spark, sf_dir, view, **choices)
+        return df if view in ("states", "readm_types", "kpi_labels") else rounded(df)
+
+    return query
+
+
 # --- the analyst query set over a selection ---
 
 
@@ -588,6 +630,7 @@ def queries():
         "snapshot_files": snapshot_files,
         "snapshot_provenance": provenance,
     }
+    registered |= {name: summary_query(*chosen) for name, chosen in SUMMARISED.items()}
     for name, query in over_gold.items():
         registered[name] = lambda spark, sf_dir, query=query: snake_names(
             query(gold_table(spark, sf_dir))

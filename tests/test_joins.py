@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +125,24 @@ def test_salts_are_bounded_by_rows_per_task_alone(sides, conf):
     assert rows(salted_join(left, right, "k", "inner", 1)) == rows(left.join(right, "k"))
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 2, 5, 40, 900])
+def test_a_sketch_finds_the_hot_keys_that_a_full_count_finds(spark, tmp_path, rows_per_task):
+    rng = random.Random(rows_per_task)
+    keys = [int(rng.paretovariate(0.7)) for _ in range(30_000)] + [None] * 500
+    spark.createDataFrame([(k,) for k in keys], "k long").repartition(5).write.parquet(str(tmp_path / "k"))
+    df = spark.read.parquet(str(tmp_path / "k"))
+    hot = {r["k"]: r["__salts"] for r in joins.hot_keys(df, "k", rows_per_task).collect()}
+    counts = Counter(k for k in keys if k is not None)
+    assert hot == {k: -(-n // rows_per_task) for k, n in counts.items() if n > rows_per_task}
+
+
+def test_hot_text_keys_and_no_hot_keys(spark):
+    df = spark.createDataFrame([(f"k{n % 7}",) for n in range(700)] + [("x",)], "k string")
+    assert {r["k"] for r in joins.hot_keys(df, "k", 99).collect()} == {f"k{n}" for n in range(7)}
+    assert joins.hot_keys(df, "k", 100) is None and joins.hot_keys(df, "k", 701) is None
+    assert joins.hot_keys(df.filter("false"), "k", 1) is None
+
+
 def test_nothing_is_measured_twice(sides, monkeypatch):
     left, right = sides
     seen = []

@@ -18,6 +18,7 @@ from medallion.operators.metrics import (
     mean_by_state,
     picklist,
 )
+from medallion.plans.summary import kpis_of, read_summary, summarise, totals, write_summary
 from medallion.sinks import write_gold
 from medallion.sources import read_gold
 
@@ -255,6 +256,42 @@ def test_dashboard_prunes_partitions_and_columns(spark, gold_path):
     assert "ReadSchema: struct<Hosp Ownership:string,R Rate Diff:double>" in scan
 
 
+CHOICES = [{}, {"states": ["AK", "TX"]}, {"readm_types": ["AMI"]}, {"states": ["TX"], "readm_types": ["AMI"]}, {"states": ["none"]}]
+
+
+@pytest.mark.parametrize("choices", CHOICES)
+@pytest.mark.parametrize("group", ["Hosp Rating", "Hosp Ownership"])
+def test_views_of_a_summary_equal_those_of_gold(spark, sample, tmp_path, choices, group):
+    write_summary(sample, str(tmp_path / "s"))
+    summary = read_summary(spark, str(tmp_path / "s"))
+    for metric in ("R Rate Diff", "Discharges"):
+        plain = dashboard(sample, group_by=group, metric=metric, **choices)
+        short = dashboard(sample, group_by=group, metric=metric, summary=summary, **choices)
+        for view in plain:
+            assert short[view].columns == plain[view].columns
+            assert short[view].dtypes == plain[view].dtypes
+            assert short[view].collect() == plain[view].collect()
+
+
+def test_facility_keys_of_any_sign_and_size_are_counted_exactly(spark):
+    keys = [0, 1, -1, 32768, 32769, -32768, -32769, 1 << 40, -(1 << 40), 7, None]
+    items = [{"provider_id": k, "state": s} for k in keys for s in ("a", "b", "b")]
+    df = gold_rows(spark, *items)
+    sums = totals(summarise(df), "Hosp Rating", "R Rate Diff")
+    assert kpis_of(sums).collect() == kpis(df, "R Rate Diff").collect() == [(None, 10, 2)]
+
+
+def test_kpis_and_means_come_from_one_scan(spark, gold_path, tmp_path):
+    df = read_gold(spark, gold_path)
+    assert physical_plan_of(totals(summarise(df), "Hosp Rating", "R Rate Diff")).count("FileScan") == 1
+    write_summary(df, str(tmp_path / "s"))
+    short = dashboard(df, states=["S1"], summary=read_summary(spark, str(tmp_path / "s")))
+    for view in ("kpis", "kpi_labels", "mean_by_group", "mean_by_state"):
+        plan = physical_plan_of(short[view])
+        assert plan.count("FileScan") == 1 and gold_path not in plan
+        assert "Readm Type" not in plan.split("ReadSchema:")[1]
+
+
 def test_bad_choices_raise(sample):
     with pytest.raises(UnknownOption):
         filter_rows(sample, "AK")
