@@ -1,18 +1,21 @@
 """The trie of conversation prefixes, found by truncation peeling.
 
-A conversation is a path of turns. Work starts at the greatest length and goes up: the conversations
-that end at a depth join the nodes that survived from below, equal paths become one node whose sums are
-final at once, and stripping its last turn makes it a contribution to its parent. So each step is one
-aggregation over the nodes of a depth, nodes are found and summed in one descent, and conversations that
-share a path are one row from the depth at which they meet. Every depth is written to the shared folder.
-
-Texts are read once, to be hashed and counted where they lie; only digests of 32 bytes travel.
+A conversation is a path of turns. Peeling goes from the ends of the deepest paths up: equal paths are
+one node whose sums are final once nothing deeper shares it; its last turn is stripped, which makes it a
+contribution to its parent, and contributions are regrouped together with the conversations that end
+there. Turns that no other open path shares are stripped at once, as a run of single children, so a step
+peels a whole run and every step halves the leaves at least: a few steps, however long conversations are.
+Nodes are found and summed in the same descent, and conversations that share a path are one row from
+the depth at which they meet. Every step is written to the shared folder.
+
+Texts are read once, to be hashed and counted where they lie; only digests travel.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,6 +30,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 FAMILY, MOST_BORROWED = 20, 4
 #: Ids of one node are first gathered in runs of this range of ids.
 RUN = 256
+#: Bytes of a prefix's key.
+KEY_BYTES = 16
 
 
 def paths(conversations: DataFrame) -> DataFrame:
@@ -59,53 +64,102 @@ def rebuilt(conversations: DataFrame) -> DataFrame:
     return both.select("conv_id", F.concat(taken, rest).alias("turns"))
 
 
-def _key(turns: Column) -> Column:
-    """What tells paths apart, in place of the path."""
-    return F.sha2(F.array_join(F.transform(turns, lambda t: F.hex(t["digest"])), ",").cast("binary"), 256)
+def chains(conversations: DataFrame) -> DataFrame:
+    """conv_id, the keys of all its prefixes from the empty one on, and the words up to each of them.
 
+    A prefix's key is a digest of its last turn and the key before, so equal keys are equal prefixes.
+    """
+    whole = rebuilt(conversations)
+    texts = whole.select("conv_id", F.col("turns.digest").alias("digests"), F.col("turns.words").alias("words"))
+    schema = T.StructType([
+        whole.schema["conv_id"],
+        T.StructField("keys", T.ArrayType(T.BinaryType())),
+        T.StructField("sums", T.ArrayType(T.LongType())),
+    ])
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sums = [], []
+            for digests, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                key = list(accumulate(digests, lambda k, d: hashlib.sha256(k + d).digest()[:KEY_BYTES], initial=bytes(KEY_BYTES)))
+                keys.append(key)
+                sums.append(list(accumulate(words, initial=0)))
+            arrays = [batch.column(0), pa.array(keys, pa.list_(pa.binary())), pa.array(sums, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
-def _ended(chains: DataFrame, depth: int) -> DataFrame:
-    """Conversations of just this length, as contributions to their node."""
-    zero = F.lit(0).cast("long")
-    here = chains.where(F.col("depth") == depth)
-    return here.select("key", "turns", "conv_id", F.lit(1).cast("long").alias("n_convs"), zero.alias("n_children"), zero.alias("n_leaves"), zero.alias("saved"))
+    return map_arrow(texts, chain, schema)
 
 
 def _merged(parts: DataFrame) -> DataFrame:
-    """The nodes that contributions add up to."""
-    sums = [F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved")]
-    node = parts.groupBy("key").agg(F.first("turns").alias("turns"), F.min("conv_id").alias("conv_id"), *sums)
-    words = F.coalesce(F.try_element_at("turns", F.lit(-1))["words"], F.lit(0))
-    return node.withColumns({"n_leaves": F.greatest("n_leaves", F.lit(1)), "saved": F.col("saved") + (F.col("n_convs") - 1) * words})
+    """The open nodes that contributions (keys, sums, conv_id, ...) add up to."""
+    totals = [F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved")]
+    first = [F.first(c).alias(c) for c in ("keys", "sums")]
+    return parts.groupBy(F.element_at("keys", -1).alias("key")).agg(*first, F.min("conv_id").alias("conv_id"), *totals)
+
+
+def _cut(nodes: DataFrame) -> DataFrame:
+    """Open nodes with ``first``: the least depth from which no other open node shares their path."""
+    places = nodes.select("key", F.posexplode("keys").alias("depth", "prefix"))
+    alone = places.groupBy("prefix").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("depth").alias("depth")).where("n = 1")
+    least = alone.groupBy("key").agg(F.min("depth").alias("first"))
+    return nodes.join(least, "key", "left").withColumn("first", F.coalesce("first", F.size("keys")))
+
+
+def _saved(depth: Column) -> Column:
+    """Saved tokens of a cut node's subtree from ``depth`` on."""
+    before = F.coalesce(F.get("sums", depth - 1), F.lit(0))
+    return F.col("saved") + (F.col("n_convs") - 1) * (F.element_at("sums", -1) - before)
 
 
 def _stripped(nodes: DataFrame) -> DataFrame:
-    """Nodes as contributions to their parents."""
+    """Cut nodes without the turns they do not share, as contributions; the finished root is none."""
+    done = F.col("first") < F.size("keys")
     one = F.lit(1).cast("long")
-    return nodes.select(F.col("parent_key").alias("key"), F.slice("turns", 1, F.size("turns") - 1).alias("turns"), "conv_id", "n_convs", one.alias("n_children"), "n_leaves", "saved")
+    values = {
+        "n_children": F.when(done, one).otherwise(F.col("n_children")),
+        "n_leaves": F.when(done, F.greatest("n_leaves", one)).otherwise(F.col("n_leaves")),
+        "saved": F.when(done, _saved(F.col("first"))).otherwise(F.col("saved")),
+        "keys": F.slice("keys", 1, F.col("first")),
+        "sums": F.slice("sums", 1, F.col("first")),
+    }
+    return nodes.where("first > 0").select("conv_id", "n_convs", *(c.alias(n) for n, c in values.items()))
+
 
+def peeled(paths_: DataFrame) -> DataFrame:
+    """Nodes of the trie over stored chains (conv_id, keys, sums), with key, above (the parent's key) and top.
 
-def peeled(chains: DataFrame) -> DataFrame:
-    """Nodes of the trie over stored chains (conv_id, turns, depth, key), with key and parent_key (root: null)."""
-    spark = chains.sparkSession
+    ``top`` marks nodes whose parent has other members; every other parent has the same conv_id.
+    """
+    spark = paths_.sparkSession
     folder = scratch_folder(spark, "trie")
-    lengths = [r["depth"] for r in chains.select("depth").distinct().collect()]
-    below, schema = None, None
-    for depth in range(max(lengths, default=-1), -1, -1):
-        parts = _ended(chains, depth) if below is None or depth in lengths else None
-        if below is not None:
-            parts = _stripped(below) if parts is None else parts.unionByName(_stripped(below))
-        parent = _key(F.slice("turns", 1, F.size("turns") - 1)) if depth else F.lit(None).cast("string")
-        nodes = _merged(parts).select("*", parent.alias("parent_key"), F.lit(depth).cast("long").alias("depth"))
-        schema = nodes.schema
-        nodes.write.mode("overwrite").parquet(f"{folder}/{depth:06d}")
-        below = spark.read.schema(schema).parquet(f"{folder}/{depth:06d}")
-    if below is None:
-        return _merged(_ended(chains, 0)).select("*", F.lit("").alias("parent_key"), F.lit(0).cast("long").alias("depth"))
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
-
-
-def ends(chains: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    counts = {"n_convs": F.lit(1).cast("long"), "n_children": zero, "n_leaves": zero, "saved": zero}
+    parts, step = paths_.select("*", *(c.alias(n) for n, c in counts.items())), 0
+    while True:
+        cut = _cut(stored(_merged(parts), "open"))
+        cut.write.mode("overwrite").parquet(f"{folder}/{step:06d}")
+        cut = spark.read.schema(cut.schema).parquet(f"{folder}/{step:06d}")
+        parts, step = _stripped(cut), step + 1
+        if cut.where("first > 0").isEmpty():
+            break
+    every = spark.read.schema(cut.schema).option("recursiveFileLookup", True).parquet(folder)
+    done = every.where(F.col("first") < F.size("keys"))
+    depths = F.explode(F.sequence("first", F.size("keys") - 1)).alias("depth")
+    rows = done.select("*", depths).withColumn("last", F.col("depth") == F.size("keys") - 1)
+    return rows.select(
+        F.element_at("keys", F.col("depth") + 1).alias("key"),
+        F.get("keys", F.col("depth") - 1).alias("above"),
+        (F.col("depth") == F.col("first")).alias("top"),
+        "conv_id",
+        F.col("depth").cast("long").alias("depth"),
+        "n_convs",
+        F.when(F.col("last"), F.col("n_children")).otherwise(1).alias("n_children"),
+        F.greatest("n_leaves", F.lit(1)).alias("n_leaves"),
+        _saved(F.col("depth")).alias("saved"),
+    )
+
+
+def ends(paths_: DataFrame) -> DataFrame:
     """key and ends_sha256: the digest of the ids that end at a node, ascending and joined by commas.
 
     Ids are gathered in runs of neighbouring ids, then a node's runs pass in order through one running
@@ -113,8 +167,8 @@ def ends(chains: DataFrame) -> DataFrame:
     """
     run = F.floor(F.col("conv_id") / RUN).alias("run")
     text = F.array_join(F.sort_array(F.collect_list("conv_id")).cast("array<string>"), ",")
-    runs = chains.groupBy("key", run).agg(text.alias("ids"))
-    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("ends_sha256", T.StringType())])
+    runs = paths_.groupBy(F.element_at("keys", -1).alias("key"), run).agg(text.alias("ids"))
+    schema = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("ends_sha256", T.StringType())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_key, running = None, None
@@ -132,7 +186,7 @@ def ends(chains: DataFrame) -> DataFrame:
         yield _rows([] if open_key is None else [(open_key, running.hexdigest())])
 
     def _rows(done: list[tuple[str, str]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string()) for k in (0, 1)], schema.names)
+        return pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.binary()), pa.array([d[1] for d in done], pa.string())], schema.names)
 
     dealt = runs.repartition("key").sortWithinPartitions("key", "run")
     return map_arrow(dealt.select("key", "ids"), digest, schema)
@@ -142,18 +196,20 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     """One row per node of the trie of rebuilt conversations (conv_id, turn, role, text), all counts long.
 
     conv_id (smallest member), depth, parent_conv_id (root: null), n_convs, n_children, n_leaves,
-    saved_tokens and ends_sha256. No rows give no node. Very long conversations are taken whole: a step
-    per turn of the longest one. Other columns are not read. See ``paths`` for nulls, ties and repeats.
+    saved_tokens and ends_sha256. No rows give no node. Very long conversations are taken whole. Other
+    columns are not read. See ``paths`` for nulls, ties and repeats.
     """
-    whole = rebuilt(conversations)
-    chains = stored(whole.select("conv_id", "turns", F.size("turns").alias("depth"), _key(F.col("turns")).alias("key")), "chains")
-    nodes = peeled(chains)
-    parents = nodes.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id"))
-    # The root would draw all nodes of depth 1 to one task; its conv_id is the least of all.
-    least = nodes.where("depth = 0").agg(F.min("conv_id")).scalar()
-    low = nodes.where("depth <= 1").withColumn("parent_conv_id", F.when(F.col("depth") == 1, least))
-    deep = nodes.where("depth > 1").join(parents, "parent_key", "left").select(low.columns)
-    named = low.unionByName(deep).join(ends(chains), "key", "left")
+    paths_ = stored(chains(conversations), "chains")
+    nodes = peeled(paths_)
+    # Only below a node of several members does the parent's conv_id have to be looked up. The root
+    # would draw all nodes of depth 1 to one task; its conv_id is the least of all.
+    least = paths_.agg(F.min("conv_id")).scalar()
+    near = nodes.where("depth <= 1 or not top")
+    parent = F.when(F.col("depth") == 1, least).when(F.col("depth") > 1, F.col("conv_id"))
+    near = near.withColumn("parent_conv_id", parent)
+    parents = nodes.select(F.col("key").alias("above"), F.col("conv_id").alias("parent_conv_id"))
+    far = nodes.where("depth > 1 and top").join(parents, "above", "left").select(near.columns)
+    named = near.unionByName(far).join(ends(paths_), "key", "left")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return named.select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
