@@ -46,6 +46,8 @@ class Similarity:
     centres: int = 2
     #: Classes of a tile, and partners confirmed for a class and tile in each round; the last takes all.
     tile: int = 128
+    #: Tiles of a large bucket that one task compares a tile with.
+    tiles_met: int = 8
     closest: tuple[int, ...] = (4, 1 << 30)
 
     @cached_property
@@ -183,30 +185,25 @@ def _likely(pairs: DataFrame, nodes: DataFrame, rule: Similarity) -> DataFrame:
 
 
 def _sets(nodes: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
-    """(node, shingles) of ``nodes``, from the texts of ``docs`` again."""
+    """(node, shingles) of ``nodes`` (node), from the texts of ``docs`` (uid, text) again: a node is its class's least uid."""
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in slices(batch.column(3)):
+            for first, end, data, offsets in slices(batch.column(1)):
                 sets = _shingles(data, offsets, rule.words)
-                _, key1, key2 = _set_keys(sets)
-                node, want1, want2 = (batch.column(n).slice(first, end - first).to_numpy(zero_copy_only=False) for n in range(3))
-                mine = np.flatnonzero((key1 == want1) & (key2 == want2)).tolist()
-                bounds = np.append(0, np.cumsum([len(sets[k]) for k in mine])).astype(np.int32)
-                flat = np.concatenate([sets[k] for k in mine]) if mine else np.empty(0, np.uint64)
-                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(node[mine], pa.int64()), lists], schema.names)
+                bounds = np.append(0, np.cumsum([len(x) for x in sets])).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), lists], schema.names)
 
-    wanted = nodes.select(F.col("doc_id").alias("key_"), "node", "key1", "key2")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("key_")))
-    return map_arrow(texts.select("node", "key1", "key2", "text"), build, schema).dropDuplicates(["node"])
+    texts = docs.select(F.col("uid").alias("node"), "text").join(nodes, "node", "left_semi")
+    return map_arrow(texts, build, schema)
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
     """Those of the stored pairs that are linked by their full sets."""
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stored(_sets(nodes.join(named, "node", "left_semi"), docs, rule), "sets")
+    sets = sets.join(named, "node", "left_semi")
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     both = both.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     common = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("i"))
@@ -232,8 +229,16 @@ class _Tile:
         main = rows.field("in_main").to_numpy(zero_copy_only=False)
         return cls(node, root, size, sketch.view(np.uint64), bands, main, rows.field("parities").to_pylist())
 
-    def close(self, other: _Tile, key: int, rule: Similarity, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Likely links between components: for each class here the ``most`` closest ones of the other tile.
+    @cached_property
+    def widths(self) -> np.ndarray:
+        return 8 * np.array([len(p) for p in self.parities], np.int64)
+
+    def bitmaps(self, width: int, rows: np.ndarray) -> np.ndarray:
+        """Bitmaps of the given rows, a row each, folded to ``width``."""
+        return _folded([self.parities[k] for k in rows.tolist()], width)
+
+    def close(self, other: _Tile, key: int, rule: Similarity, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Likely links between components: for each class here the ``most`` closest ones of the other tile; and whether there were more.
 
         Two classes are compared in the bucket ``key`` of their first common band only, and two outside
         the main component from the one side only.
@@ -241,53 +246,67 @@ class _Tile:
         low, high = np.minimum.outer(self.size, other.size), np.maximum.outer(self.size, other.size)
         may = (low * 100 >= high * rule.percent) & (self.root[:, None] != other.root)
         may &= other.main | (self.node[:, None] < other.node)
-        may &= _differing(self.sketch[:, None], other.sketch[None]) <= rule.most_flips
-        for row in np.flatnonzero(may.any(1)).tolist():
-            same = self.bands[row] == other.bands
-            may[row] &= self.bands[row][same.argmax(1)] == key
-        wide, others = (8 * np.array([len(p) for p in t.parities]) for t in (self, other))
-        share = np.full(may.shape, np.inf)
-        for width in np.unique(np.minimum.outer(wide, others)[may]).tolist():
-            at = may & (np.minimum.outer(wide, others) == width)
-            rows, columns = np.flatnonzero(at.any(1)), np.flatnonzero(at.any(0))
-            mine, theirs = (_folded([t.parities[k] for k in some], width) for t, some in ((self, rows), (other, columns)))
-            elements = np.add.outer(self.size[rows], other.size[columns])
-            for k, row in enumerate(rows.tolist()):
-                apart = _differing(mine[k], theirs)
-                fits = at[row, columns] & (apart <= rule.most_odd(elements[k], width))
-                share[row, columns[fits]] = apart[fits] / elements[k, fits]
-        if most < share.shape[1]:
-            order = np.argsort(share, axis=1, kind="stable")[:, most:]
-            np.put_along_axis(share, order, np.inf, axis=1)
-        return np.nonzero(share < np.inf)
-
-
-def _left_over(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, tested: DataFrame, rule: Similarity, most: int) -> DataFrame:
-    """Untested likely pairs between components of larger buckets."""
+        if may.any():
+            flips = np.zeros(may.shape, np.uint16)
+            for word, word_of in zip(self.sketch.T, other.sketch.T, strict=True):
+                flips += np.bitwise_count(word[:, None] ^ word_of)
+            may &= flips <= rule.most_flips
+        a, b = np.nonzero(may)
+        common = (self.bands[a] == other.bands[b]).argmax(1)
+        first = self.bands[a, common] == key
+        a, b = a[first], b[first]
+        width = np.minimum(self.widths[a], other.widths[b])
+        share = np.full(len(a), np.inf)
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            (mine, to_mine), (theirs, to_theirs) = (np.unique(x[at], return_inverse=True) for x in (a, b))
+            apart = _differing(self.bitmaps(w, mine)[to_mine], other.bitmaps(w, theirs)[to_theirs])
+            elements = self.size[a[at]] + other.size[b[at]]
+            share[at] = np.where(apart <= rule.most_odd(elements, w), apart / elements, np.inf)
+        order = np.lexsort((share, a))
+        order = order[share[order] < np.inf]
+        starts = np.searchsorted(a[order], a[order], side="left")
+        near = np.arange(len(order)) - starts < most
+        return a[order[near]], b[order[near]], not near.all()
+
+
+def _left_over(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, rule: Similarity, most: int) -> DataFrame | None:
+    """Likely pairs (a, b) between components of larger buckets; ``cut`` is the bucket where there were more. None without such buckets."""
     placed = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"), F.sum("n").alias("all"))
     kept = ("n_shingles", "sketch", "bands", "parities")
     placed = placed.join(main.where("roots > 1"), "key").join(nodes.select("node", *kept), "node")
-    chunk = F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / rule.tile)).alias("chunk")
-    placed = placed.select("key", chunk, "node", "root", (F.col("root") == F.col("main")).alias("in_main"), *kept)
+    chunks = F.ceil(F.col("all") / rule.tile)
+    chunk = F.pmod(F.xxhash64("node"), chunks).alias("chunk")
+    parts = F.ceil(chunks / rule.tiles_met).alias("parts")
+    placed = placed.select("key", chunk, parts, "node", "root", (F.col("root") == F.col("main")).alias("in_main"), *kept)
     placed = stored(placed, "active")
     if placed.isEmpty():
-        return tested.where("false")
+        return None
     listed = F.collect_list(F.struct("node", "root", "in_main", *kept))
-    members = placed.groupBy("key", "chunk").agg(listed.alias("members")).drop("chunk")
-    outside = placed.where("not in_main").groupBy("key", "chunk").agg(listed.alias("outside")).drop("chunk")
+    # A large bucket is split: each part of its tiles meets a copy of every tile outside its main component.
+    members = placed.groupBy("key", "chunk", "parts").agg(listed.alias("members"))
+    members = members.select("key", F.pmod("chunk", "parts").alias("part"), "members")
+    outside = placed.where("not in_main").groupBy("key", "chunk", "parts").agg(listed.alias("outside"))
+    outside = outside.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "outside")
+
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b", "cut")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 mine, theirs = (_Tile.of(batch.column(c)[k].values) for c in range(2))
-                a, b = mine.close(theirs, batch.column(2)[k].as_py(), rule, most)
+                key = batch.column(2)[k].as_py()
+                a, b, cut = mine.close(theirs, key, rule, most)
                 a, b = mine.node[a], theirs.node[b]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                columns = [np.minimum(a, b), np.maximum(a, b), np.full(len(a), key)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns[:2]), pa.array(columns[2], mask=np.full(len(a), not cut))], schema.names)
 
-    met = outside.join(members, "key").select("outside", "members", "key")
-    return map_arrow(met, compare, tested.schema).distinct().join(tested, ["a", "b"], "left_anti")
+    # Parts are even by now; dealt out by hand, they are not split once more into tasks of a tile each.
+    outside, members = (x.repartition("key", "part") for x in (outside, members))
+    met = outside.join(members, ["key", "part"]).select("outside", "members", "key")
+    return stored(map_arrow(met, compare, schema), "compared")
 
 
 def near_duplicates(docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -299,7 +318,7 @@ def near_duplicates(docs: DataFrame, rule: Similarity) -> DataFrame:
     A column uid, unique and stable, is used where given; other columns are not read.
     """
     if "uid" not in docs.columns:
-        docs = docs.withColumn("uid", F.monotonically_increasing_id())
+        docs = stored(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), "numbered")
     rows = stored(sketches(docs, rule), "sketches")
     keys = ["key1", "key2", "n_shingles"]
     first = F.first(F.struct("sketch", "bands", "parities"))
@@ -317,17 +336,27 @@ def near_duplicates(docs: DataFrame, rule: Similarity) -> DataFrame:
     many = met.where(F.col("n") > rule.pairwise).select("node", F.explode("centres").alias("centre")).where("node <> centre")
     pairs = few.union(many.select(F.least("node", "centre"), F.greatest("node", "centre"))).distinct()
     pairs = stored(_likely(pairs, nodes, rule), "pairs")
-    edges = stored(_confirmed(pairs, nodes, docs, rule), "links")
+    # The texts of all classes that share a bucket are read and shuffled once.
+    sets = stored(_sets(met.select("node").distinct(), docs, rule), "sets")
+    edges = stored(_confirmed(pairs, sets, rule), "links")
     roots = components(edges)
 
     large = met.where(F.col("n") > rule.pairwise).select("key", "node")
     tested = pairs
     for most in rule.closest:
-        pairs = stored(_left_over(large, roots, nodes, tested, rule, most), "pairs")
+        found = _left_over(large, roots, nodes, rule, most)
+        if found is None:
+            break
+        pairs = stored(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             tested = tested.union(pairs)
-            edges = stored(edges.union(_confirmed(pairs, nodes, docs, rule)), "links")
+            edges = stored(edges.union(_confirmed(pairs, sets, rule)), "links")
             roots = components(edges)
+        # Where no class had more likely partners than were taken, nothing is left to compare.
+        cut = found.where("cut is not null").select(F.col("cut").alias("key")).distinct()
+        if cut.isEmpty():
+            break
+        large = large.join(cut, "key", "left_semi")
 
     placed = nodes.select(*keys, "node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(F.min("least").alias("head"))
