@@ -107,13 +107,11 @@ def _covered(grams: str) -> Column:
     at = F.transform(grams, lambda g, k: F.struct(g.alias("g"), k.alias("k")))
     sorted_ = F.sort_array(at)
     # Sorted, equal windows stand side by side: one that equals its neighbour on either side is repeated.
-    with_next = F.zip_with(sorted_, F.slice(sorted_, 2, 1 << 30), lambda a, b: F.struct(a["g"].alias("g"), a["k"].alias("k"), a["g"].eqNullSafe(b["g"]).alias("same")))
-    runs = F.aggregate(
-        with_next,
-        F.struct(F.lit(False).alias("before"), F.array().cast("array<int>").alias("out")),
-        lambda s, x: F.struct(x["same"].alias("before"), F.when(s["before"] | x["same"], F.concat(s["out"], F.array(x["k"]))).otherwise(s["out"]).alias("out")),
-    )["out"]
-    spread = F.sort_array(runs)
+    values = F.transform(sorted_, lambda x: x["g"])
+    as_next = F.zip_with(values, F.slice(values, 2, 1 << 30), lambda a, b: a.eqNullSafe(b))
+    as_last = F.concat(F.array(F.lit(False)), F.slice(as_next, 1, F.greatest(F.size(as_next) - 1, F.lit(0))))
+    marked = F.zip_with(sorted_, F.zip_with(as_next, as_last, lambda a, b: a | b), lambda x, same: F.struct(x["k"].alias("k"), same.alias("same")))
+    spread = F.sort_array(F.transform(F.filter(marked, lambda x: x["same"]), lambda x: x["k"]))
     return F.aggregate(
         spread,
         F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
