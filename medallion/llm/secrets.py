@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.frames import stored
@@ -48,58 +48,71 @@ PATTERNS = (
     Pattern("endpoint", _PLACE, "endpoint"),
 )
 KINDS = [p.kind for p in PATTERNS]
-_PLACES = "array<struct<start:bigint,end:bigint>>"
+_STRONG = [k for k, p in enumerate(PATTERNS) if p.strong]
+_WEAK = [k for k, p in enumerate(PATTERNS) if not p.strong]
+#: The kind of a break between paragraphs.
+_BREAKS = len(PATTERNS)
+_STEPS = "array<struct<kind:int,k:int,gap:bigint,size:bigint,keep:boolean>>"
 _BREAK = r"\n[\x20\t\r]*\n"
 
 
-def places(text: str, pattern: str, test: Callable[[Column], Column]) -> Column:
-    """Start and end of the leftmost matches that do not overlap; those failing the test are dropped."""
+def _steps(number: int, pattern: str, test: Callable[[Column], Column]) -> Column:
+    """For each leftmost match that does not overlap: kind, order, code points since the last one, its length, and whether it passes."""
     steps = F.zip_with(
-        F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        F.split("text", pattern, -1), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)),
         lambda gap, m: F.struct(F.length(gap).cast("long").alias("gap"), F.length(m).cast("long").alias("size"), test(m).alias("keep")),
     )
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_PLACES).alias("out"))
+    # The text after the last match has no match.
+    steps = F.transform(steps, lambda x, k: F.struct(F.lit(number).alias("kind"), k.alias("k"), x["gap"].alias("gap"), x["size"].alias("size"), x["keep"].alias("keep")))
+    return F.when(F.col("text").rlike(pattern), F.filter(steps, lambda x: x["size"].isNotNull())).otherwise(F.array().cast(_STEPS))
 
-    def add(state: Column, step: Column) -> Column:
-        begin = state["at"] + step["gap"]
-        place = F.array(F.struct(begin.alias("start"), (begin + step["size"]).alias("end")))
-        out = F.when(step["size"].isNotNull() & step["keep"], F.concat(state["out"], place)).otherwise(state["out"])
-        return F.struct((begin + F.coalesce(step["size"], F.lit(0))).alias("at"), out.alias("out"))
-
-    found = F.aggregate(steps, start, add, lambda state: state["out"])
-    return F.when(F.col(text).rlike(pattern), found).otherwise(F.array().cast(_PLACES))
 
+def matches(docs: DataFrame) -> DataFrame:
+    """uid, doc_id and the steps from match to match of all patterns in each row of docs (doc_id, text)."""
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    steps = F.concat(*(_steps(n, p.pattern, p.test) for n, p in enumerate(PATTERNS)))
+    # Paragraphs matter only where something weak is found.
+    weak = F.exists(steps, lambda x: x["keep"] & x["kind"].isin(_WEAK))
+    breaks = F.when(weak, _steps(_BREAKS, _BREAK, lambda m: F.lit(True))).otherwise(F.array().cast(_STEPS))
+    return rows.select("uid", "doc_id", F.concat(steps, breaks).alias("steps"))
 
-def _tagged(p: Pattern) -> Column:
-    number = KINDS.index(p.kind)
-    return F.transform(p.kind, lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end")))
 
+def parts(found: DataFrame) -> DataFrame:
+    """uid, kind, start, end and scope (a number of its paragraph) of the matches of stored ``matches``, but for weak ones over strong ones.
 
-def parts(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, strong and weak places (start, kind number, end), none in both, and paragraph breaks of docs (doc_id, text)."""
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = rows.select("uid", "doc_id", "text", *(places("text", p.pattern, p.test).alias(p.kind) for p in PATTERNS))
-    strong = F.sort_array(F.concat(*(_tagged(p) for p in PATTERNS if p.strong)))
-    weak = F.concat(*(_tagged(p) for p in PATTERNS if not p.strong))
-    found = found.select("uid", "doc_id", "text", strong.alias("strong"), weak.alias("weak"))
-    clear = F.filter("weak", lambda w: ~F.exists("strong", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    found = found.withColumn("weak", clear)
-    breaks = F.transform(places("text", _BREAK, lambda m: F.lit(True)), lambda s: s["start"])
-    return found.select("uid", "doc_id", "strong", "weak", F.when(F.size("weak") > 0, breaks).otherwise(F.array().cast("array<bigint>")).alias("breaks"))
+    Places are running sums over the steps of a text, and what lies over what follows from running
+    bounds in the order of the places: work that grows with the matches, however many a text holds.
+    """
+    steps = found.select("uid", F.explode("steps").alias("s")).select("uid", "s.*")
+    so_far = Window.partitionBy("uid", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("gap") + F.col("size")).over(so_far)
+    placed = steps.select("uid", "kind", "keep", (end - F.col("size")).alias("start"), end.alias("end")).where("keep")
+    order = Window.partitionBy("uid").orderBy("start")
+    before = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # Backwards, as a frame without an end would be summed anew for every row.
+    after = Window.partitionBy("uid").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    strong = F.col("kind").isin(_STRONG)
+    placed = placed.select(
+        "uid", "kind", "start", "end",
+        F.count_if(F.col("kind") == _BREAKS).over(before).alias("scope"),
+        F.max(F.when(strong, F.col("end"))).over(before).alias("reached"),
+        F.min(F.when(strong, F.col("start"))).over(after).alias("next"),
+    )
+    covered = F.coalesce(F.col("reached") > F.col("start"), F.lit(False)) | F.coalesce(F.col("next") < F.col("end"), F.lit(False))
+    return placed.where(strong | (F.col("kind").isin(_WEAK) & ~covered)).drop("reached", "next")
 
 
 def linked(found: DataFrame) -> DataFrame:
-    """(uid, weak) of the rows of ``parts``: those weak places whose counterparts stand in their scope.
+    """(uid, start, kind, end) of those weak parts, of rows of ``parts``, whose counterparts stand in their scope.
 
     A weak secret needs an identifier or an endpoint; a weak identifier a secret; an endpoint both.
     """
-    every = found.where(F.size("weak") > 0).select("uid", "breaks", F.explode(F.concat("strong", "weak")).alias("p"))
-    role = F.array(*(F.lit(p.role) for p in PATTERNS))[F.col("p.kind")]
-    scope = F.size(F.filter("breaks", lambda b: b < F.col("p.start")))
-    first, last = (F.floor(F.col(c) / REACH) for c in ("p.start", "p.end"))
-    every = every.select("uid", "p", role.alias("role"), scope.alias("scope"), first.alias("first"), last.alias("last"))
-    weak = every.where(F.col("p.kind").isin([KINDS.index(p.kind) for p in PATTERNS if not p.strong]))
+    role = F.array(*(F.lit(p.role) for p in PATTERNS))[F.col("kind")]
+    place = F.struct("start", "kind", "end").alias("p")
+    every = found.select("uid", place, role.alias("role"), "scope", *(F.floor(F.col(c) / REACH).alias(n) for c, n in (("start", "first"), ("end", "last"))))
+    weak = every.where(F.col("p.kind").isin(_WEAK))
     # Parts stand in all cells they cover, weak ones also in those next to them; a pair may meet more than once.
+    # A cell is REACH code points wide, so it holds few parts.
     near = weak.select("uid", "p", "role", "scope", F.explode(F.sequence(F.col("first") - 1, F.col("last") + 1)).alias("cell"))
     others = every.select("uid", F.col("p").alias("q"), F.col("role").alias("q_role"), "scope", F.explode(F.sequence("first", "last")).alias("cell"))
     gap = F.greatest("p.start", "q.start") - F.least("p.end", "q.end")
@@ -111,7 +124,7 @@ def linked(found: DataFrame) -> DataFrame:
         .when(F.col("role") == "id", F.col("secret"))
         .otherwise(F.col("id") & F.col("secret"))
     )
-    return roles.where(whole).groupBy("uid").agg(F.collect_list("p").alias("linked"))
+    return roles.where(whole).select("uid", "p.*")
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -119,10 +132,12 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have none. Rows may repeat. Other columns are not read.
     """
-    found = stored(parts(docs), "parts")
-    both = found.select("uid", "doc_id", "strong").join(linked(found), "uid", "left")
-    none = F.array().cast(both.schema["strong"].dataType)
-    spans = F.sort_array(F.concat("strong", F.coalesce("linked", none)))
+    rows = stored(matches(docs), "matches")
+    found = stored(parts(rows), "parts")
+    shown = found.where(F.col("kind").isin(_STRONG)).select("uid", "start", "kind", "end").unionByName(linked(found))
+    listed = shown.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
+    both = rows.select("uid", "doc_id").join(listed, "uid", "left")
+    spans = F.coalesce("spans", F.array().cast(listed.schema["spans"].dataType))
     kinds = F.array(*map(F.lit, KINDS))
     strong = F.array(*(F.lit(p.strong) for p in PATTERNS))
     named = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), kinds[s["kind"]].alias("kind"), s["end"].alias("end"), strong[s["kind"]].alias("strong")))
