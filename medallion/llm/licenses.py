@@ -1,11 +1,12 @@
 """Licence notices in whole texts, by conditional compression and exact wording.
 
 Words that only licences use mark candidate blocks of bounded length: the words around them, as far
-as the templates reach. Every template with enough words in common is aligned with the block word by
-word, at every place; one is confirmed when few words differ and no telling word (a licence's name,
-version or condition) does. The confirmed words are compressed plainly and with the template as a raw
-zstandard dictionary. What it saves, as a share of its own compressed size, must not be little, and
-ranks the templates confirmed over the same words.
+as the templates reach. In a block, the stretches that hold enough of a template's words are compressed
+plainly and with the template as a raw zstandard dictionary. What that saves ranks the templates; those
+that save little of their own compressed size are dropped. The others are confirmed in the order of
+their rank, word by word: few words may differ, and no telling word (a licence's name, version or
+condition). Confirmed places are ranked by what is saved of their own words, and words that one of
+higher rank has taken are not given to another.
 """
 
 from __future__ import annotations
@@ -95,6 +96,34 @@ def _blocks(words: int, marks: list[int], reach: int) -> list[tuple[int, int]]:
     return blocks
 
 
+def _bounds(want: list[str]) -> tuple[int, int]:
+    """Words of a stretch that must be the template's, and the greatest number of its words."""
+    most = (1 - LEAST_ALIKE) * len(want) + 1e-9
+    return math.ceil(len(want) - most), len(want) + int(most)
+
+
+def _starts(codes: np.ndarray, need: int, width: int) -> np.ndarray:
+    """Where stretches of ``width`` words begin that hold ``need`` of the template's; ``codes`` end with ``width`` others."""
+    known = np.append(0, np.cumsum(codes >= 0))
+    start = np.arange(len(codes) - width)
+    return start[(codes[start] >= 0) & (known[start + width] - known[start] >= need)]
+
+
+def _coded(have: list[str], want: list[str], width: int) -> tuple[np.ndarray, dict[str, int]]:
+    codes = {w: k for k, w in enumerate(dict.fromkeys(want))}
+    return np.array([codes.get(w, -1) for w in have] + [-1] * width), codes
+
+
+def _stretches(have: list[str], want: list[str]) -> list[tuple[int, int]]:
+    """Runs of words of a block in which the template could stand; overlapping ones are one."""
+    need, width = _bounds(want)
+    start = _starts(_coded(have, want, width)[0], need, width)
+    if not len(start):
+        return []
+    breaks = np.flatnonzero(np.diff(start) > width) + 1
+    return [(int(s[0]), min(int(s[-1]) + width, len(have))) for s in np.split(start, breaks)]
+
+
 def _aligned(have: list[str], want: list[str], telling: list[int]) -> list[tuple[int, int, int]]:
     """(first word, end word, differing words) of each place where the wording stands in the block.
 
@@ -102,12 +131,9 @@ def _aligned(have: list[str], want: list[str], telling: list[int]) -> list[tuple
     the one with fewest differing words stays.
     """
     most = (1 - LEAST_ALIKE) * len(want) + 1e-9
-    need, width = math.ceil(len(want) - most), len(want) + int(most)
-    codes = {w: k for k, w in enumerate(dict.fromkeys(want))}
-    have_codes = np.array([codes.get(w, -1) for w in have] + [-1] * width)
-    known = np.append(0, np.cumsum(have_codes >= 0))
-    start = np.arange(len(have))
-    start = start[(have_codes[start] >= 0) & (known[start + width] - known[start] >= need)]
+    need, width = _bounds(want)
+    have_codes, codes = _coded(have, want, width)
+    start = _starts(have_codes, need, width)
     near = have_codes[start[:, None] + np.arange(width)]
     # Greatest score of the template's words so far with each number of the stretch's words.
     score = np.zeros((len(start), width + 1), np.int64)
@@ -137,10 +163,16 @@ def _add_free(taken: list[tuple[int, int]], low: int, high: int) -> bool:
     return True
 
 
+def _saved(words: list[str], given, plain) -> int:
+    """Bytes that a template's dictionary saves of the words' own compressed size."""
+    raw = " ".join(words).encode()
+    return len(plain.compress(raw)) - len(given.compress(raw))
+
+
 def notices(text: str) -> list[tuple[str, int, int, float, int]]:
     """(licence, start, end, share of the template saved, differing words) of the notices of a text.
 
-    Where several wordings are confirmed over the same words, the longest with fewest differences stays.
+    Of wordings confirmed over the same words, the one whose dictionary saves most stays.
     """
     starts = [m.start() for m in _MARK.finditer(text)]
     if not starts:
@@ -156,20 +188,25 @@ def notices(text: str) -> list[tuple[str, int, int, float, int]]:
         for low, high in _blocks(len(words), marks, reach + reach // 10 + MARGIN) if mine else ():
             have = lower[low:high]
             bag = Counter(have)
-            for name, want, telling, given, whole in mine:
+            ranked = []
+            for k, (_, want, _, given, whole) in enumerate(mine):
                 # A place has at least so many of the template's words.
                 if sum((Counter(want) & bag).values()) < LEAST_ALIKE * len(want) - 1e-9:
                     continue
-                for a, b, differ in _aligned(have, want, telling):
-                    raw = " ".join(have[a:b]).encode()
-                    saved = (len(plain.compress(raw)) - len(given.compress(raw))) / whole
-                    if saved >= LEAST_SAVED:
-                        found.add((b - a, -differ, saved, name, low + a, low + b))
+                for a, b in _stretches(have, want):
+                    saved = _saved(have[a:b], given, plain)
+                    if saved >= LEAST_SAVED * whole:
+                        ranked.append((saved, k, a, b))
+            for _, k, a, b in sorted(ranked, reverse=True):
+                name, want, telling, given, whole = mine[k]
+                for first, end, differ in _aligned(have[a:b], want, telling):
+                    saved = _saved(have[a + first : a + end], given, plain)
+                    found.add((saved, -differ, end - first, name, low + a + first, low + a + end, saved / whole))
     out: list[tuple[str, int, int, float, int]] = []
     taken: list[tuple[int, int]] = []
-    for _, differ, saved, name, a, b in sorted(found, reverse=True):
+    for _, differ, _, name, a, b, share in sorted(found, reverse=True):
         if _add_free(taken, a, b):
-            out.append((name, words[a].start(), words[b - 1].end(), saved, -differ))
+            out.append((name, words[a].start(), words[b - 1].end(), share, -differ))
     return sorted(out, key=lambda f: f[1])
 
 
