@@ -4,7 +4,8 @@ Each language has a probability for every piece of a fixed public vocabulary (an
 text can be cut into pieces). A word's probability is the sum over all its segmentations, by a forward
 pass over its bytes; expectation maximisation with the matching backward pass learns the pieces. Words
 are ASCII-lower-cased runs without ASCII marks and digits, led by a space; a word of more than
-``LONGEST`` bytes is scored in runs of that many. Every distinct word is summed once per worker.
+``LONGEST`` bytes is scored in runs of at most that many, cut between characters. Every distinct word is
+summed once per worker.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from medallion.llm.frames import is_held_out, map_arrow, sampled
 from medallion.llm.text import byte_table, hash_spans, mix, slices, word_spans
 
 LONGEST = 24
-#: Pieces of more bytes are left out of the vocabulary.
-PIECE_BYTES = 8
-#: Bounds of the training sample: texts of each language, characters of a text, languages.
-MOST_TEXTS, MOST_CHARS, MOST_LANGUAGES = 250, 20_000, 256
+#: A piece of more bytes than a run and its space fits into none.
+PIECE_BYTES = LONGEST + 1
+#: Bounds of the training sample: texts of each language and of all, characters of a text.
+MOST_TEXTS, MOST_IN_ALL, MOST_CHARS = 250, 64_000, 20_000
 ROUNDS = 3
 UNDETERMINED = "und"
 #: Words whose sums a worker remembers.
@@ -53,13 +54,15 @@ def words_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
     """(bytes, start, end, each text's first word, whether it has a letter) of each slice."""
     for first, end, data, offsets in slices(column):
         start, stop, begin = word_spans(data, offsets, _TABLE)
-        pieces = -(-(stop - start) // LONGEST)
+        # A run may end up to three bytes early, at the border of a character.
+        pieces = np.where(stop - start > LONGEST, -(-(stop - start) // (LONGEST - 3)), 1)
         if len(pieces) and pieces.max() > 1:
             low = np.repeat(start, pieces)
             nth = np.arange(len(low)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            stop = np.minimum(low + (nth + 1) * LONGEST, np.repeat(stop, pieces))
+            last = np.repeat(np.cumsum(pieces), pieces) - 1 == np.arange(len(low))
+            stop = np.where(last, np.repeat(stop, pieces), _between(data, low + (nth + 1) * (LONGEST - 3)))
             begin = np.append(0, np.cumsum(pieces))[begin]
-            start = low + nth * LONGEST
+            start = np.where(nth > 0, np.append(0, stop[:-1]), low)
         letters = np.append(0, np.cumsum((data < 128) & (_TABLE != 0)[data]))[offsets]
         has = np.diff(letters) > 0
         for k in np.flatnonzero(~has & (np.diff(begin) > 0)).tolist():
@@ -67,6 +70,14 @@ def words_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         yield data, start, stop, begin, has
 
 
+def _between(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The places, or the first byte of the character that each of them cuts."""
+    for _ in range(3):
+        inside = (data[np.minimum(places, len(data) - 1)] & 0xC0) == 0x80
+        places = np.where(inside, places - 1, places)
+    return places
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -207,13 +218,20 @@ def _expect(model: Model, data, start, end, times, expected) -> None:
 def fit(docs: DataFrame, vocabulary_path: str) -> Model:
     """A model of docs (doc_id, text, lang), from a bounded sample of the rows to learn from.
 
-    A hash of doc_id picks MOST_TEXTS rows of each language in the mean (all where fewer are there),
-    among texts of at most MOST_CHARS characters. Null languages, ids and texts are left out; without
-    labelled rows no language is known and every text is undetermined.
+    A hash of doc_id picks MOST_TEXTS rows of each language in the mean (all where fewer are there; fewer
+    where so many languages would pass MOST_IN_ALL texts), and a window of MOST_CHARS characters of
+    each longer text. Null languages, ids and texts are left out; without labelled rows no language
+    is known and every text is undetermined.
     """
-    labelled = docs.select("doc_id", "text", "lang").where(~is_held_out() & F.col("lang").isNotNull() & (F.length("text") <= MOST_CHARS))
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    found = labelled.where(sampled("lang", {r["lang"]: MOST_TEXTS / r["n"] for r in counts})).toArrow().combine_chunks().sort_by("doc_id")
+    beyond = F.length("text") - MOST_CHARS
+    window = F.substring("text", F.pmod(F.xxhash64("doc_id"), beyond + 1).cast("int") + 1, F.lit(MOST_CHARS))
+    text = F.when(beyond > 0, window).otherwise(F.col("text")).alias("text")
+    known = ~is_held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    labelled = docs.select("doc_id", "text", "lang").where(known)
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    most = min(MOST_TEXTS, MOST_IN_ALL / max(len(counts), 1))
+    picked = labelled.where(sampled("lang", {r["lang"]: most / r["n"] for r in counts}))
+    found = picked.select("doc_id", text, "lang").toArrow().combine_chunks().sort_by("doc_id")
     texts = found.column("text").combine_chunks() if found.num_rows else pa.array([], pa.string())
     return train(texts, np.array(found.column("lang").to_pylist(), str), vocabulary(vocabulary_path))
 
