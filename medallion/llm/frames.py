@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import medallion
+from medallion.llm.workers import tidy
 from medallion.locations import scratch_folder
 
 _shipped: set[str] = set()
@@ -29,7 +30,7 @@ def map_arrow(df: DataFrame, function: Callable, schema: T.StructType) -> DataFr
                 target.write(source, source.relative_to(root.parent))
         context.addPyFile(os.path.realpath(archive))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(tidy(function), schema)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

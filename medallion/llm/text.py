@@ -13,10 +13,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from medallion.llm.workers import forgets
+
 SLICE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _POWERS: dict[str, np.ndarray] = {}
+forgets(_POWERS.clear)
 
 
 def byte_table(*, lower: bool = True, separators: bytes = SPACES) -> np.ndarray:

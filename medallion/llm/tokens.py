@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 from medallion.llm.text import RAW_TABLE, WORD_TABLE, hash_spans, slices, word_spans
+from medallion.llm.workers import forgets
 
 #: Distinct pieces remembered by one worker; later ones are encoded each time they are met.
 CACHE_PIECES = 500_000
@@ -122,6 +123,9 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+forgets(encoder.cache_clear)
+
+
 def encode(column: pa.Array, path: str):
     """(first row, ids of each text) of one slice after the other."""
     tool = encoder(path)

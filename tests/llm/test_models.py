@@ -33,7 +33,7 @@ def counted(text):
 
 def test_statistics_equal_the_definition(frame):
     rng = random.Random(6)
-    texts = [t for t in ODD if t is None or len(t) < 10_000] + ["a b c d e " * 7, "x\ny\nx\n \n \nx", "#*$%&|<> ok"]
+    texts = [*ODD, "a " * 80_000, "a b c d e f g " * 9_000] + ["a b c d e " * 7, "x\ny\nx\n \n \nx", "#*$%&|<> ok"]
     texts += [" ".join(rng.choice("abc") for _ in range(rng.randrange(60))) for _ in range(150)]
     docs = frame([(n, t, 1) for n, t in enumerate(texts)], "doc_id long, text string, n_words int")
     rows = quality.statistics(docs).collect()
@@ -166,3 +166,33 @@ def test_scores_of_a_table(spark, frame, documents):
     empty = toxicity.fit(documents, labels.where("false"))
     assert {r["score"] for r in toxicity.score(docs, empty).collect()} == {0.5}
     assert toxicity.score(frame([]), model).collect() == []
+
+
+def test_every_piece_of_the_vocabulary_can_be_used():
+    pieces = langid.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    assert max(map(len, pieces)) > 8
+    model = langid.train(pa.array([], pa.string()), np.array([], str), pieces)
+    for piece in [p for p in pieces if p[:1] == b" " and p[1:].isalpha()][:3000]:
+        data = np.frombuffer(piece[1:], np.uint8)
+        size, found = model.spans(data, np.array([0]), np.array([len(data)]))
+        assert pieces[found[size[0], size[0], 0]] == piece
+
+
+def test_long_words_are_cut_between_characters():
+    texts = ["漢字かな交じり文" * 40, "x" * 500, "é" * 13, "a" * 24, "ß" * 12, "z🙂" * 30]
+    for text in texts:
+        for data, start, end, *_ in langid.words_of(pa.array([text])):
+            parts = [bytes(data[a:b]) for a, b in zip(start, end, strict=True)]
+            assert b"".join(parts) == text.encode()
+            assert all(0 < len(p) <= langid.LONGEST and p.decode() for p in parts)
+
+
+def test_a_language_of_long_texts_only_is_learned(frame):
+    rng = random.Random(2)
+    long = lambda words: " ".join(rng.choice(words) for _ in range(9000))
+    one, two = ["alba", "corda", "vento", "mare"], ["hyvä", "talo", "järvi", "kukka"]
+    rows = [(k, long(one if k % 2 else two), "aa" if k % 2 else "bb") for k in range(24)]
+    docs = frame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    assert model.languages == ["aa", "bb"]
+    assert langid.predict(docs, model).where("lang <> lang_pred").isEmpty()

@@ -72,6 +72,26 @@ def test_no_documents_and_no_words(frame):
     assert {(r["doc_id"], r["component_id"], r["n_shingles"]) for r in rows} == {(1, 1, 0), (2, 2, 0), (3, 3, 0)}
 
 
+def test_rows_of_one_id_or_of_none(frame):
+    rng = random.Random(11)
+    base = [prose(rng, 60) for _ in range(40)]
+    texts = base + [edited(rng, b, 1) for b in base] + base[:20]
+    for ids in (lambda k: None, lambda k: 5, lambda k: k):
+        rows = [(ids(k), t) for k, t in enumerate(texts)]
+        result = near_dups.near_duplicates(frame(rows), near_dups.Similarity(words=3, percent=85))
+        assert found(result) == Counter(groups(rows, 3, 85))
+        assert result.where("first_row").count() == 40
+
+
+def test_few_edges_are_finished_in_one_task_with_the_same_result(frame, monkeypatch):
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1050)]
+    table = frame(edges, "a long, b long")
+    once = sorted(map(tuple, components(table).collect()))
+    monkeypatch.setattr("medallion.llm.components.LOCAL_EDGES", 10)
+    assert sorted(map(tuple, components(table).collect())) == once
+
+
 def test_bands_miss_one_link_in_a_million():
     for rule in (near_dups.Similarity(), near_dups.Similarity(words=3, percent=85)):
         assert (1 - (rule.percent / 100) ** rule.rows) ** rule.bands <= 1e-6

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import pytest
 from corpora import ODD, prose
@@ -257,6 +258,29 @@ def test_a_notice_before_a_longer_run_of_its_words():
         assert [(n, d) for n, _, _, _, d in found] == [("ISC", int(part is variant)) for part in parts]
 
 
+def test_compression_ranks_the_templates(monkeypatch):
+    short, whole = (words.lower().split() for _, words in licenses.TEMPLATES[:2])
+    text = " ".join([*whole[:40], "indeed", *whole[40:]])
+    assert [(n, b - a, d) for n, a, b, _, d in licenses.notices(text)] == [("Apache-2.0", len(text), 1)]
+    # Told by the differing words alone, the short notice that the long one begins with would win.
+    monkeypatch.setattr(licenses, "_saved", lambda *_: 10_000)
+    assert [(n, b - a, d) for n, a, b, _, d in licenses.notices(text)] == [("Apache-2.0", len(" ".join(short)), 0)]
+    monkeypatch.setattr(licenses, "_saved", lambda *_: 0)
+    assert licenses.notices(text) == []
+
+
+def test_many_secrets_in_one_text_take_linear_time(frame):
+    seconds = []
+    for n in (1000, 16_000):
+        text = "".join(f"token = abcdef{k} https://h.test/{k} login: u{k}\n\n" for k in range(n))
+        docs = frame([(1, text)])
+        begin = time.perf_counter()
+        (row,) = secrets.digest(secrets.find_secrets(docs)).collect()
+        seconds.append(time.perf_counter() - begin)
+        assert row["n_assign"] == n and len(row["spans"].split(",")) == 3 * n
+    assert seconds[1] < 16 * seconds[0] + 10
+
+
 def test_licences_of_a_table(frame):
     notice = "Released under the MIT License."
     rows = [(n, t, "x") for n, t in enumerate(ODD)] + [(90, f"é🙂 {notice}\nmore", "x")] * 2 + [(None, notice, "x")]
