@@ -21,6 +21,10 @@ class MissingColumns(MedallionError):
         super().__init__(f"missing columns: {', '.join(self.columns)}")
 
 
+class HeaderMismatch(MedallionError):
+    """CSV files of one folder have headers that differ even under canonical names."""
+
+
 class LocationMismatch(MedallionError):
     """A table of that name lies at another location."""
 

@@ -9,30 +9,43 @@ from medallion.errors import LostKeys
 from medallion.operators.conform import cast_to, require_rows
 from medallion.schemas import GEN_INFO, READMISSIONS
 from medallion.sinks import write_silver
-from medallion.sources.raw import read_gen_info_json, read_measures_csv
+from medallion.sources.raw import (
+    read_gen_info_json,
+    read_malformed_json,
+    read_measures_csv,
+)
 
 
 def build_gen_info(
-    spark: SparkSession, source: str, target: str, *, strict: bool = True
+    spark: SparkSession,
+    source: str,
+    target: str,
+    *,
+    strict: bool = True,
+    quarantine: str | None = None,
 ) -> int:
     """Facility JSON to Silver; raises on an empty source. Returns the number of rows.
 
-    Numbers too large for the declared key are counted during the write; ``strict`` raises on them.
+    ``quarantine`` is a place for the lines that the schema could not take whole, with their files; they
+    count as rows of Silver all the same. Numbers too large for the declared key are counted during the write; ``strict`` raises on them.
     """
     raw = require_rows(read_gen_info_json(spark, source, long_key=True), source)
+    if quarantine is not None:
+        write_silver(read_malformed_json(spark, source), quarantine)
     _write(raw, GEN_INFO, F.col("`provider id`").isNotNull(), target, strict)
     return _rows(spark, target)
 
 
 def build_readmissions(
-    spark: SparkSession, source: str, target: str, *, strict: bool = True
+    spark: SparkSession, source: str, target: str, *, strict: bool = True, mixed: bool = True
 ) -> int:
     """Measure CSV to Silver under canonical names. Returns the number of rows.
 
+    ``mixed`` takes files with canonical and alternate names in one folder, for a pass over the bytes.
     Keys of digits that do not fit the declared type are counted during the write; ``strict``
     raises on them.
     """
-    raw = read_measures_csv(spark, source, strict=strict, cast=False)
+    raw = read_measures_csv(spark, source, strict=strict, cast=False, mixed=mixed)
     if "Provider ID" in raw.columns:
         has_key = F.col("`Provider ID`").rlike(r"^\s*[+-]?[0-9]+\s*$")
     else:

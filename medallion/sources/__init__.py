@@ -1,4 +1,9 @@
-from medallion.sources.raw import read_gen_info_json, read_gold, read_measures_csv
+from medallion.sources.raw import (
+    read_gen_info_json,
+    read_gold,
+    read_malformed_json,
+    read_measures_csv,
+)
 from medallion.sources.snapshot import (
     Snapshot,
     latest_csv,
@@ -14,6 +19,7 @@ __all__ = [
     "read_gen_info_json",
     "read_gold",
     "read_latest_snapshot",
+    "read_malformed_json",
     "read_measures_csv",
     "snapshot_provenance",
 ]

@@ -140,6 +140,12 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan_measures": measures_declared,
         "csv_scan_inferred": measures_declared,
         "conform_rename": measures_declared,
+        "conform_mixed": measures_declared,
+        "json_quarantine": (
+            "select '{\"provider id\": ' || c_custkey || ', \"hospital name\": \"' || c_name as line, "
+            "true as has_file, (select count(*) + count(*) filter (where c_custkey % 13 = 0) "
+            "from customer) as rows from customer where c_custkey % 13 = 0"
+        ),
         "conform_missing_columns": (
             f"{_INPUTS} select {_typed(_PARTIAL, 'rd', as_declared=True)} from rd"
         ),

@@ -25,13 +25,14 @@ from medallion.plans.gold import (
     project_measures,
 )
 from medallion.plans.pipeline import publish_gold, read_published, run
-from medallion.plans.silver import build_gen_info
+from medallion.plans.silver import build_gen_info, build_readmissions
 from medallion.plans.summary import read_summary, write_summary
 from medallion.schemas import (
     ALTERNATE_HEADERS,
     OWNERSHIPS,
     RATINGS,
     READM_TYPES,
+    READMISSIONS,
     REQUIRED_COLUMNS,
 )
 from medallion.sinks import first_rows, write_gold, write_silver, write_snapshot
@@ -97,6 +98,29 @@ def alternate_csv(spark, sf_dir, folder):
     write_raw_csv(df.toDF(*(alternates.get(c, c) for c in df.columns)), folder)
 
 
+@once_per_application
+def mixed_csv(spark, sf_dir, folder):
+    """Files with canonical and files with alternate names side by side."""
+    alternates = {new: old for old, new in ALTERNATE_HEADERS.items()}
+    df = inputs.measures(spark, sf_dir)
+    odd = F.crc32(F.coalesce("Number of Readmissions", F.lit("")).cast("binary")) % 2 == 1
+    write_raw_csv(df.filter(odd), folder)
+    other = df.filter(~odd).toDF(*(alternates.get(c, c) for c in df.columns))
+    other.write.mode("append").option("header", True).csv(folder)
+
+
+@once_per_application
+def damaged_json(spark, sf_dir, folder):
+    """The facilities, and for every thirteenth customer a line that breaks off."""
+    whole = inputs.facilities(spark, sf_dir)
+    whole.select(F.to_json(F.struct(*(f"`{c}`" for c in whole.columns))).alias("value")).write.mode(
+        "overwrite"
+    ).text(folder)
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").filter("c_custkey % 13 = 0")
+    broken = F.concat(F.lit('{"provider id": '), "c_custkey", F.lit(', "hospital name": "'), "c_name")
+    customers.select(broken.alias("value")).write.mode("append").text(folder)
+
+
 @once_per_application
 def partial_csv(spark, sf_dir, folder):
     write_raw_csv(inputs.measures(spark, sf_dir).drop("State", "Footnote"), folder)
@@ -172,6 +196,23 @@ def conform_rename(spark, sf_dir):
     return snake_names(read_measures_csv(spark, alternate_csv(spark, sf_dir)))
 
 
+def conform_mixed(spark, sf_dir):
+    """Silver of a folder whose files have canonical or alternate headers."""
+    folder = fresh_folder(spark, "mixed")
+    build_readmissions(spark, mixed_csv(spark, sf_dir), folder)
+    return snake_names(spark.read.schema(READMISSIONS).parquet(folder))
+
+
+def json_quarantine(spark, sf_dir):
+    """The broken lines in their own table, next to Silver's rows, which still count them."""
+    folder = fresh_folder(spark, "quarantine")
+    source = damaged_json(spark, sf_dir)
+    rows = build_gen_info(spark, source, f"{folder}/silver", quarantine=f"{folder}/lines")
+    lines = spark.read.parquet(f"{folder}/lines")
+    named = F.col("file").contains("/part-").alias("has_file")
+    return lines.select("line", named, F.lit(rows).cast("long").alias("rows"))
+
+
 def conform_missing_columns(spark, sf_dir):
     return snake_names(read_measures_csv(spark, partial_csv(spark, sf_dir), strict=False))
 
@@ -574,6 +615,8 @@ def queries():
         "csv_scan_measures": csv_scan_measures,
         "csv_scan_inferred": csv_scan_inferred,
         "conform_rename": conform_rename,
+        "conform_mixed": conform_mixed,
+        "json_quarantine": json_quarantine,
         "conform_missing_columns": conform_missing_columns,
         "parquet_silver_roundtrip": parquet_silver_roundtrip,
         "project_facility": lambda spark, sf_dir: snake_names(

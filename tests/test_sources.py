@@ -5,9 +5,10 @@ import os
 import pytest
 
 from frames import gold_rows, rows
-from medallion.errors import EmptyInput, MissingColumns
+from medallion.errors import EmptyInput, HeaderMismatch, MissingColumns
 from medallion.operators.conform import check_columns, rename_alternates, require_rows
 from medallion.locations import write_text
+from medallion.plans.silver import build_gen_info
 from medallion.schemas import ALTERNATE_HEADERS, GEN_INFO, GOLD, READMISSIONS
 from medallion.sinks import write_snapshot
 from medallion.sources import (
@@ -128,6 +129,43 @@ def test_csv_reordered_header_in_a_second_file_fails(spark, tmp_path):
         read_measures_csv(spark, str(tmp_path / "in")).collect()
 
 
+def mixed_folder(tmp_path, *headers):
+    for n, header in enumerate(headers):
+        canonical = [ALTERNATE_HEADERS.get(c, c) for c in header]
+        line = csv_line(canonical, Provider_ID=str(n), State="AL", Hospital_Name='"A, B"')
+        write(tmp_path / "in" / f"{n}.csv", ",".join(header) + "\n" + line + "\n" + line + "\n")
+    return str(tmp_path / "in")
+
+
+def test_csv_with_canonical_and_alternate_headers(spark, tmp_path):
+    old = {new: alternate for alternate, new in ALTERNATE_HEADERS.items()}
+    names = READMISSIONS.names
+    half = [old.get(c, c) if k % 2 else c for k, c in enumerate(names)]
+    folder = mixed_folder(tmp_path, names, [old.get(c, c) for c in names], half, names)
+    df = read_measures_csv(spark, folder, mixed=True)
+    assert df.schema == READMISSIONS
+    got = sorted((r["Provider ID"], r["State"], r["Hospital Name"]) for r in df.collect())
+    assert got == [(n, "AL", "A, B") for n in range(4) for _ in range(2)]
+
+
+@pytest.mark.parametrize("change", [lambda h: h[::-1], lambda h: h[1:], lambda h: [*h, "more"]])
+def test_csv_headers_that_differ_otherwise_fail(spark, tmp_path, change):
+    folder = mixed_folder(tmp_path, READMISSIONS.names, change(READMISSIONS.names))
+    with pytest.raises(HeaderMismatch, match="header"):
+        read_measures_csv(spark, folder, mixed=True)
+
+
+def test_malformed_lines_have_their_own_table(spark, tmp_path):
+    lines = ['{"provider id": 5}', "{broken", "", '{"provider id": "x", "city": "B"}', "[{\"provider id\": 7}]", "plain"]
+    write(tmp_path / "in" / "a.json", "\n".join(lines) + "\n")
+    folder = str(tmp_path / "in")
+    rows_of = build_gen_info(spark, folder, str(tmp_path / "silver"), quarantine=str(tmp_path / "bad"))
+    assert rows_of == read_gen_info_json(spark, folder).count() == 5
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted((r["line"], r["city"]) for r in bad) == sorted([(lines[1], None), (lines[3], "B"), (lines[5], None)])
+    assert all(r["file"].endswith("/in/a.json") for r in bad)
+
+
 def test_csv_missing_columns(spark, tmp_path):
     header = [c for c in READMISSIONS.names if c not in ("State", "Footnote")]
     write(tmp_path / "in" / "a.csv", ",".join(header) + "\n" + csv_line(header) + "\n")
