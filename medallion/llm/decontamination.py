@@ -170,6 +170,8 @@ def windows(docs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             for first, _, data, offsets in slices(batch.column(1)):
                 shingles, weights, begin, count = _shingled(data, offsets, rule.words)
+                for out, texts in of_short_items(data, offsets, lengths, held_with):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + texts)), *out], schema.names)
                 hits = np.flatnonzero(held[_slots(shingles)])
                 text = np.searchsorted(begin, hits, side="right") - 1
                 for k in np.unique(text).tolist():
@@ -180,10 +182,36 @@ def windows(docs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
                         key = batch.column(0).take(pa.array(np.full(size, first + k)))
                         yield pa.RecordBatch.from_arrays([key, *out], schema.names)
 
+    def of_short_items(data, offsets, lengths, held_with):
+        """Windows of items too short for a shingle: their whole sequence, wherever it stands."""
+        for length in lengths:
+            if length >= rule.words:
+                break
+            shingles, weights, begin, count = _shingled(data, offsets, length)
+            at = np.flatnonzero(held_with[_slots(_with_length(shingles, length))])
+            text = np.searchsorted(begin, at, side="right") - 1
+            at, text = at[count[text] >= length], text[count[text] >= length]
+            for low in range(0, len(at), RUN):
+                mine, texts = at[low : low + RUN], text[low : low + RUN]
+                sets = [(shingles[k : k + 1], weights[k : k + 1].astype(np.int64)) for k in mine.tolist()]
+                yield described(mine - begin[texts], length, sets, shingles[mine]), texts
+
+    def described(start, length, sets, every):
+        every = np.unique(every)
+        votes = _votes(every)
+        prints = np.array([_print(w, votes[np.searchsorted(every, h)]) for h, w in sets], np.uint64)
+        window = np.array([mix(mix(h) + w.astype(np.uint64)).sum() for h, w in sets], np.uint64)
+        return [
+            pa.array(start), pa.array(np.full(len(start), length)),
+            pa.array(window.view(np.int64)), pa.array(prints.view(np.int64)),
+            pa.array([h.view(np.int64) for h, _ in sets], pa.list_(pa.int64())),
+            pa.array([w for _, w in sets], pa.list_(pa.int64())),
+        ]
+
     def of_text(shingles, weights, seeds, count, lengths, held_with):
         before = np.append(0, np.cumsum(weights))
         for length in lengths:
-            if (length < rule.words or count < rule.words) and length != count:
+            if length < rule.words or count < rule.words:
                 continue
             size = min(max(1, length - rule.words + 1), len(shingles))
             mine = seeds[held_with[_slots(_with_length(shingles[seeds], length))]]
@@ -198,16 +226,7 @@ def windows(docs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
                 start = start[len(run) :]
                 low, high = run[0], run[-1] + size
                 sets = [_weighted(shingles[s : s + size], weights[s : s + size]) for s in run.tolist()]
-                every = np.unique(shingles[low:high])
-                votes = _votes(every)
-                prints = np.array([_print(w, votes[np.searchsorted(every, h)]) for h, w in sets], np.uint64)
-                window = np.array([mix(mix(h) + w.astype(np.uint64)).sum() for h, w in sets], np.uint64)
-                yield [
-                    pa.array(run), pa.array(np.full(len(run), length)),
-                    pa.array(window.view(np.int64)), pa.array(prints.view(np.int64)),
-                    pa.array([h.view(np.int64) for h, _ in sets], pa.list_(pa.int64())),
-                    pa.array([w for _, w in sets], pa.list_(pa.int64())),
-                ]
+                yield described(run, length, sets, shingles[low:high])
 
     return map_arrow(docs.select("doc_id", "text"), build, schema)
 
@@ -240,8 +259,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) ->
 
     Returns doc_id, item_id (the least of equal wordings), the most similar window (start, as a word
     count; length in words), its Hamming distance and similarity, and the number of windows found. Null and empty
-    texts hold nothing. Items and documents of fewer words than a shingle match by their whole
-    sequence only. Rows that repeat a doc_id count as one document. Other columns are not read.
+    texts hold nothing. Items of fewer words than a shingle match by their whole sequence, wherever
+    it stands. Rows that repeat a doc_id count as one document. Other columns are not read.
     """
     found = stored(items(benchmark, rule), "items")
     seen = stored(windows(docs, found, rule), "windows")

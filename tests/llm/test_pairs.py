@@ -128,7 +128,7 @@ def brute(docs, items, percent=80):
         words = plain(text)
         for i, wording in items:
             want = plain(wording)
-            if not want or (min(len(want), len(words)) < 5 and len(want) != len(words)):
+            if not want:
                 continue
             goal = weighted(want)
             starts = range(max(1, len(words) - len(want) + 1))
@@ -142,9 +142,10 @@ def brute(docs, items, percent=80):
 
 def test_contaminated_equals_brute_force(frame):
     rng = random.Random(4)
-    items = [(k, prose(rng, rng.randrange(12, 60))) for k in range(12)] + [(50, "tiny item"), (51, None), (52, "")]
+    items = [(k, prose(rng, rng.randrange(12, 60))) for k in range(12)] + [(50, "tiny item"), (51, None), (52, ""), (53, "Of"), (54, "quantum zebra harvest protocol")]
     items += [(60, items[0][1]), (61, items[0][1].upper() + " !")]
-    docs = [(900 + k, t) for k, t in enumerate(ODD)] + [(1000, "Tiny, item"), (1001, "a tiny item here")]
+    docs = [(900 + k, t) for k, t in enumerate(ODD)] + [(1000, "Tiny, item"), (1001, "a tiny item here, this tiny-item"), (1002, "of")]
+    docs += [(1003, "so a Quantum Zebra harvest protocol indeed and more words here"), (1004, "quantum zebra harvest")]
     for k in range(60):
         text = prose(rng, rng.randrange(0, 80))
         if k % 2:
