@@ -7,6 +7,26 @@ _CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transf
     string_split(conv_id::varchar, ''), lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
     lambda a, b: case when b >= 0 then xor(a, b) else xor(a >> 1, 3988292384 * (a & 1)) end), 4294967295)"""
 
+OP6 = r"""with recursive docs as (
+  select row_number() over () as uid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as (
+  select uid, doc_id, list_distinct(case
+    when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+  from docs),
+elements as (select uid, len(s) as n, unnest(s) as shingle from sets),
+links as (
+  select a.uid as a, b.uid as b from elements a join elements b using (shingle) where a.uid <> b.uid
+  group by a.uid, b.uid, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached as (
+  select uid, uid as other from docs union
+  select reached.uid, links.b from reached join links on links.a = reached.other),
+least as (select reached.uid, min(docs.doc_id) as component_id from reached join docs on docs.uid = other group by 1)
+select doc_id, len(s)::bigint as n_shingles, component_id, doc_id is not distinct from component_id as kept
+from sets join least using (uid)"""
+
 OP12 = rf"""with turns as (
   select conv_id, coalesce(role, '') as role, coalesce(text, '') as txt,
     row_number() over (partition by conv_id order by turn nulls first) as pos
@@ -75,4 +95,4 @@ OP13 = _op13()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_prefix_trie": OP12, "op13_centroids": OP13}
+    return {"op6_near_dups": OP6, "op12_prefix_trie": OP12, "op13_centroids": OP13}

@@ -26,7 +26,7 @@ def text_rows(df):
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for table in ("conversations", "embeddings"):
+    for table in ("conversations", "documents", "embeddings"):
         con.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     df = queries.queries()[name](spark, SF_DIR)
     wanted = con.execute(oracle.oracle_sql()[name])
