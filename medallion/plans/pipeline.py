@@ -13,6 +13,7 @@ from medallion.locations import Paths, discard, qualified, subfolders
 from medallion.operators.joins import BROADCAST_LIMIT, fits_broadcast
 from medallion.plans.gold import gold, usable_facilities
 from medallion.plans.silver import build_gen_info, build_readmissions
+from medallion.plans.summary import write_summary
 from medallion.schemas import GOLD
 from medallion.sinks import preview, write_gold, write_snapshot
 
@@ -41,6 +42,7 @@ def publish_gold(
     dynamic: bool = False,
     show: bool = True,
     single_file: bool = True,
+    summary: str | None = None,
 ) -> int:
     """Write a new version of Gold, show it in the table, write the snapshot. Returns Gold's rows.
 
@@ -49,8 +51,8 @@ def publish_gold(
     of the table there: a reader sees the old version or the new one, never a part. An empty result
     raises and leaves table and snapshot as they were. ``dynamic`` replaces the written states and
     keeps the places of the others. A publication that broke off is completed first. Versions that
-    neither this publication nor the last one reads are deleted. Count, preview and snapshot come
-    from the table.
+    neither this publication nor the last one reads are deleted. Count, preview, snapshot
+    and, if it has a place, the summary for dashboards come from the table.
     """
     spark = df.sparkSession
     folder = f"{paths.gold}/{VERSION}{uuid.uuid4().hex}"
@@ -76,6 +78,8 @@ def publish_gold(
     if show:
         preview(written)
     write_snapshot(written, paths.snapshot, single_file=single_file)
+    if summary is not None:
+        write_summary(written, summary)
     return rows
 
 
@@ -112,6 +116,7 @@ def run(
     broadcast_limit: int = BROADCAST_LIMIT,
     single_file: bool = True,
     move_tables: bool = False,
+    summary: str | None = None,
 ) -> RunReport:
     """Run a stage, or all of them in order; the first error stops the run.
 
@@ -147,5 +152,6 @@ def run(
                 dynamic=dynamic,
                 show=show,
                 single_file=single_file,
+                summary=summary,
             )
     return report

@@ -277,6 +277,7 @@ from rd""",
 
 #: Queries over the stored summary, and those over Gold that they must equal.
 _SUMMARISED = {
+    "full_run_summary": "kpi_summary",
     "summary_kpis": "kpi_summary",
     "summary_kpis_filtered": "kpi_summary_filtered",
     "summary_kpis_empty": "kpi_labels_empty",

@@ -314,6 +314,15 @@ def full_run(spark, sf_dir, **options):
     return snake_names(read_published(spark, f"`{database}`.`{catalog.GOLD_TABLE}`"))
 
 
+def full_run_summary(spark, sf_dir):
+    """KPIs from the summary that a full run leaves."""
+    database, folder = new_database(spark, "summary")
+    paths, place = pipeline_paths(spark, sf_dir, folder), f"{folder}/summary"
+    run(spark, paths, database=database, show=False, summary=place)
+    gold = read_published(spark, f"`{database}`.`{catalog.GOLD_TABLE}`")
+    return rounded(dashboard(gold, summary=read_summary(spark, place))["kpis"])
+
+
 def full_run_shuffled(spark, sf_dir):
     return full_run(spark, sf_dir, broadcast_limit=0)
 
@@ -657,6 +666,7 @@ def queries():
         "table_checks": table_checks,
         "full_run": full_run,
         "full_run_shuffled": full_run_shuffled,
+        "full_run_summary": full_run_summary,
         "two_locations": two_locations,
         "empty_gold_keeps_old": empty_gold_keeps_old,
         "publish_atomic": publish_atomic,
