@@ -38,6 +38,8 @@ class UrlRule:
         return ((host == self.host) | host.endswith(f".{self.host}")) & F.col("path").startswith(self.path)
 
 
+#: Parts that the pages of a host, or of a template, are dealt out to where they meet what is known of it.
+SPREAD = 16
 RULES = (
     UrlRule("net", "/", False),
     UrlRule("example.net", "/en/", True),
@@ -100,15 +102,23 @@ def _segments(tree: Tree) -> Column:
     return F.concat(F.slice(every, 1, tree.depth), more)
 
 
+def _met(pages: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of pages (page_id, path, ...) with one row per key, copied to every part: a third of all pages may share a key."""
+    part = F.pmod(F.xxhash64("page_id", "path"), F.lit(SPREAD)).alias("part")
+    parts = F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))
+    copies = known.select("*", F.explode(parts).alias("part"))
+    return pages.select("*", part).join(copies, [*keys, "part"], "left").drop("part")
+
+
 def generalised(pages: DataFrame, tree: Tree) -> DataFrame:
-    """Adds ``tokens``: the segments of each path (host, path), variable ones as wildcards."""
+    """Adds ``tokens``: the segments of each path (page_id, host, path), variable ones as wildcards."""
     cut = pages.withColumn("segments", _segments(tree))
     counted = cut.select("host", F.posexplode("segments").alias("k", "segment")).groupBy("host", "k", "segment").agg(F.count("*").alias("n"))
     total = counted.groupBy("host", "k").agg(F.sum("n").alias("total"))
     # Few rows of a host and depth are left before its total joins them.
     common = counted.where(F.col("n") >= tree.least).join(total, ["host", "k"]).where(F.col("n") >= F.col("total") * tree.share)
     literals = common.groupBy("host").agg(F.collect_set(F.struct("k", "segment")).alias("literals"))
-    known = cut.join(literals, "host", "left")
+    known = _met(cut, literals, ["host"])
 
     def token(segment: Column, k: Column) -> Column:
         literal = F.array_contains("literals", F.struct(k.alias("k"), segment.alias("segment")))
@@ -180,5 +190,5 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, tree: Tree = Tree(
     known = templates(branches, tree).select("host", "tokens", "template", "purity")
     rule, verdict = by_rule(rules)
     learned = F.when(F.col("purity") >= tree.cut, "block").otherwise("allow")
-    both = placed.select("page_id", "host", "path", "tokens").join(known, ["host", "tokens"], "left")
+    both = _met(placed.select("page_id", "host", "path", "tokens"), known, ["host", "tokens"])
     return both.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, learned).alias("verdict"), "template", "purity")
