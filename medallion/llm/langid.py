@@ -90,8 +90,22 @@ class Model:
         hashes = np.array([_hash(p) for p in self.pieces], np.uint64)
         self.index = np.full(1 << _INDEX_BITS, len(self.pieces), np.int32)
         self.index[_slot(hashes[::-1])] = np.arange(len(self.pieces), dtype=np.int32)[::-1]
+        # Pieces whose slot another piece holds have a small table of their own, wide enough for all of them.
+        lost = np.flatnonzero(self.index[_slot(hashes)] != np.arange(len(self.pieces)))
+        bits = 12
+        while len(np.unique(hashes[lost] & np.uint64((1 << bits) - 1))) < len(lost):
+            bits += 1
+        self.rest = np.full(1 << bits, len(self.pieces), np.int32)
+        self.rest[(hashes[lost] & np.uint64((1 << bits) - 1)).astype(np.int64)] = lost
         self.hashes = np.append(hashes, np.uint64(0))
 
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The piece of each hash; the number of pieces where there is none."""
+        piece = self.index[_slot(hashes)]
+        other = self.rest[(hashes & np.uint64(len(self.rest) - 1)).astype(np.int64)]
+        piece = np.where(self.hashes[piece] == hashes, piece, other)
+        return np.where(self.hashes[piece] == hashes, piece, len(self.pieces))
+
     def spans(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For words led by a space: their lengths, and the piece that ends at each byte by its size."""
         size = end - start + 1
@@ -105,8 +119,7 @@ class Model:
         for stop in range(1, wide + 1):
             for length in range(1, min(stop, PIECE_BYTES) + 1):
                 hashes = mix((sums[:, stop] - sums[:, stop - length]) * _INVERSE[stop - length] + np.uint64(length))
-                piece = self.index[_slot(hashes)]
-                found[stop, length] = np.where((self.hashes[piece] == hashes) & (stop <= size), piece, len(self.pieces))
+                found[stop, length] = np.where(stop <= size, self.numbers(hashes), len(self.pieces))
         return size, found
 
     def forward(self, size: np.ndarray, found: np.ndarray) -> np.ndarray:
