@@ -71,10 +71,16 @@ def matches(docs: DataFrame) -> DataFrame:
     """uid, doc_id and the steps from match to match of all patterns in each row of docs (doc_id, text)."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     steps = F.concat(*(_steps(n, p.pattern, p.test) for n, p in enumerate(PATTERNS)))
-    # Paragraphs matter only where something weak is found.
-    weak = F.exists(steps, lambda x: x["keep"] & x["kind"].isin(_WEAK))
-    breaks = F.when(weak, _steps(_BREAKS, _BREAK, lambda m: F.lit(True))).otherwise(F.array().cast(_STEPS))
-    return rows.select("uid", "doc_id", F.concat(steps, breaks).alias("steps"))
+    breaks = _steps(_BREAKS, _BREAK, lambda m: F.lit(True))
+    none = F.array().cast(_STEPS)
+
+    def with_breaks(found: Column) -> Column:
+        # Paragraphs matter only where something weak is found.
+        weak = F.exists(found, lambda x: x["keep"] & x["kind"].isin(_WEAK))
+        return F.concat(found, F.when(weak, breaks).otherwise(none))
+
+    # Bound to a lambda's name, the steps are computed once.
+    return rows.select("uid", "doc_id", F.transform(F.array(steps), with_breaks)[0].alias("steps"))
 
 
 def parts(found: DataFrame) -> DataFrame:
