@@ -86,7 +86,8 @@ def _write_joined(df: DataFrame, path: str) -> None:
     try:
         names = spark.createDataFrame([df.columns], ", ".join(f"c{k} string" for k in range(len(df.columns))))
         _csv_writer(names.coalesce(1), header=False).csv(f"{work}/header")
-        _csv_writer(df, header=False).csv(f"{work}/parts")
+        # Joined in the end, a task's rows go to one part, whatever the session's limit of records a file.
+        _csv_writer(df, header=False).option("maxRecordsPerFile", 0).csv(f"{work}/parts")
         parts = [
             f"{work}/{part}/{file}"
             for part in ("header", "parts")

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.locations import file_states, qualified, read_text, write_text
+from medallion.locations import file_states, qualified, read_text, subfolders, write_text
 from medallion.schemas import GOLD
 
 #: The record of a snapshot, in its folder and in that of a log; the name hides it from scans.
@@ -66,10 +66,13 @@ def latest_csv(spark: SparkSession, folder: str) -> DataFrame:
     snapshot. Only file listings are read, never contents; among equally new files the path decides.
     """
     record = read_record(spark, folder)
-    place, deep = (folder, True) if record is None else (_files_of(record["folder"], record["newest"]), False)
+    place, names, deep = folder, "*.csv", True
+    if record is not None:
+        place, names = _files_of(spark, record["folder"], record["newest"])
+        names, deep = names if names.endswith(".csv") else "*.csv", False
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", names)
         .option("recursiveFileLookup", deep)
         .load(place)
         .filter("length > 0")
@@ -107,12 +110,14 @@ def load_latest_snapshot(spark: SparkSession, folder: str) -> Snapshot:
     parent, name = newest["path"].rsplit("/", 1)
     record = read_record(spark, parent)
     whole = record is None or record["line_breaks"] or _write_id(record["newest"]) != _write_id(name)
+    place, names = _files_of(spark, parent, name)
     rows = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("multiLine", whole)
+        .option("pathGlobFilter", names)
         .schema(GOLD)
-        .csv(_files_of(parent, name))
+        .csv(place)
     )
     return Snapshot(rows, newest["path"], newest["last_updated"])
 
@@ -122,11 +127,17 @@ def _write_id(name: str) -> str | None:
     return part[1] if part else None
 
 
-def _files_of(parent: str, name: str) -> str:
-    """A path pattern of all files of the write that ``name`` belongs to."""
+def _files_of(spark: SparkSession, parent: str, name: str) -> tuple[str, str]:
+    """A path and a pattern of names that give all files of the write that ``name`` belongs to.
+
+    The path is the folder, which is listed in one call; a pattern of its files would have Spark look up
+    every single file in a task of its own. Only a folder with others in it takes the pattern as path.
+    """
     part = _PART_FILE.fullmatch(name)
     pattern = f"part-*-{part[1]}*{_literal(part[2])}" if part else _literal(name)
-    return f"{_literal(parent)}/{pattern}"
+    if part and not subfolders(spark, parent):
+        return _literal(parent), pattern
+    return f"{_literal(parent)}/{pattern}", "*" if part is None else pattern
 
 
 def _literal(path: str) -> str:

@@ -7,7 +7,8 @@ import pytest
 from frames import gold_rows, rows
 from medallion.errors import EmptyInput, HeaderMismatch, MissingColumns
 from medallion.operators.conform import check_columns, rename_alternates, require_rows
-from medallion.locations import write_text
+from medallion import sinks
+from medallion.locations import join_files, write_text
 from medallion.plans.silver import build_gen_info
 from medallion.schemas import ALTERNATE_HEADERS, GEN_INFO, GOLD, READMISSIONS
 from medallion.sinks import write_snapshot
@@ -327,3 +328,34 @@ def test_utc_label_in_another_session_zone(spark, conf):
     conf("spark.sql.session.timeZone", "America/New_York")
     df = spark.sql("select timestamp_seconds(1756303500) as t")
     assert df.select(utc_label(df.t)).first()[0] == "2025-08-27 14:05 UTC"
+
+
+def test_files_of_a_snapshot_are_listed_by_their_folder(spark, tmp_path, conf):
+    conf("spark.sql.files.maxRecordsPerFile", "2")
+    df = gold_rows(spark, *({"provider_id": n} for n in range(90))).repartition(2)
+    write_snapshot(df, str(tmp_path / "s{1}" / "new"), single_file=False)
+    conf("spark.sql.sources.parallelPartitionDiscovery.threshold", "32")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        got = read_latest_snapshot(spark, str(tmp_path / "s{1}" / "new"))
+        # One job finds the newest file; none looks the 45 and more files up one by one.
+        assert len(tracker.getJobIdsForGroup("listing")) <= 2
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(got) == rows(df)
+    # A copy of the files in a folder of its own below the snapshot's is no part of it.
+    write(tmp_path / "s{1}" / "new" / "kept" / "other.csv", "x\n")
+    for file in list((tmp_path / "s{1}" / "new").glob("part-*.csv"))[:3]:
+        (tmp_path / "s{1}" / "new" / "kept" / file.name).write_bytes(file.read_bytes())
+    assert rows(read_latest_snapshot(spark, str(tmp_path / "s{1}" / "new"))) == rows(df)
+
+
+def test_joined_parts_ignore_the_limit_of_records(spark, tmp_path, conf, monkeypatch):
+    conf("spark.sql.files.maxRecordsPerFile", "2")
+    joined = []
+    monkeypatch.setattr(sinks, "join_files", lambda spark, sources, target: joined.append(sources) or join_files(spark, sources, target))
+    df = gold_rows(spark, *({"provider_id": n} for n in range(60))).repartition(3)
+    write_snapshot(df, str(tmp_path / "s"))
+    assert len(joined[0]) == 4
+    assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
