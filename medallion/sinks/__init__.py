@@ -67,7 +67,7 @@ def write_snapshot(
         _csv_writer(df.coalesce(1), header=True).option("maxRecordsPerFile", 0).csv(path)
     else:
         _csv_writer(df, header=True).csv(path)
-    write_record(spark, path, breaks.get["line_breaks"], log)
+    write_record(spark, path, breaks.get["line_breaks"], df.columns, log)
 
 
 def _csv_writer(df: DataFrame, *, header: bool) -> DataFrameWriter:

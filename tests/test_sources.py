@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from frames import gold_rows, rows
+from frames import gold_rows, physical_plan_of, rows
 from medallion.errors import EmptyInput, HeaderMismatch, MissingColumns
 from medallion.operators.conform import check_columns, rename_alternates, require_rows
 from medallion import sinks
@@ -359,3 +359,25 @@ def test_joined_parts_ignore_the_limit_of_records(spark, tmp_path, conf, monkeyp
     write_snapshot(df, str(tmp_path / "s"))
     assert len(joined[0]) == 4
     assert rows(read_latest_snapshot(spark, str(tmp_path / "s"))) == rows(df)
+
+
+@pytest.mark.parametrize("single_file", [True, False])
+@pytest.mark.parametrize("size", ["300", "3k"])
+def test_a_large_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, conf, single_file, size):
+    texts = [
+        "two\nlines", "a\r\nb\rc", 'one "\n" quote', 'end"', "\\", 'x\\"\n\\', "\n\n\n", ", \n, ", '"', "plain", " a ", None,
+        "back\\slash", "é\n漢字 x", "a\\\nb", "x" * 500 + "\n" + 'y"' * 300,
+    ]
+    items = [
+        {"provider_id": n, "state": texts[(n * 7 + 3) % 16], "Hosp Rating": texts[n % 16], "R Rate Diff": n / 8}
+        for n in range(80)
+    ]
+    df = gold_rows(spark, *items).repartition(3)
+    write_snapshot(df, str(tmp_path / "s"), single_file=single_file)
+    whole = rows(read_latest_snapshot(spark, str(tmp_path / "s")))
+    conf("spark.sql.files.maxPartitionBytes", size)
+    conf("spark.sql.files.openCostInBytes", "1")
+    got = read_latest_snapshot(spark, str(tmp_path / "s"))
+    assert got.schema == GOLD and rows(got) == whole
+    assert len(whole) == 80
+    assert "FileScan text" in physical_plan_of(got)
