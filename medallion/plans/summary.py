@@ -2,8 +2,10 @@
 
 One aggregation gives a row per state, measure type, ownership, rating and bucket of facility keys:
 sum and count of every metric, and the facilities as a bitmap. Bitmaps merge without counting a facility
-twice, so distinct counts stay exact under every filter. A bitmap takes 4 KiB for up to 32,768
-neighbouring keys; the summary grows with the combinations that occur, not with the rows.
+twice, so distinct counts stay exact under every filter. A bitmap covers up to 32,768 neighbouring keys
+and holds those of its 512 words that are not zero, 6 KiB at most; the summary grows with the
+combinations that occur, not with the rows. Words are merged as numbers under their place, so no task
+sorts or shuffles bitmaps that are mostly empty.
 """
 
 from __future__ import annotations
@@ -27,9 +29,16 @@ def summarise(df: DataFrame) -> DataFrame:
     for metric in METRIC_OPTIONS:
         value = metric_value(metric)
         sums += [F.sum(value).alias(f"total {metric}"), F.count(value).alias(f"n {metric}")]
+    place = F.bitmap_bit_position("provider_id")
     bucket = F.bitmap_bucket_number("provider_id").alias("bucket")
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position("provider_id")).alias("facilities")
-    return df.groupBy(*(f"`{c}`" for c in DIMENSIONS), bucket).agg(bits, *sums)
+    word = F.shiftright(place, 6).cast("int").alias("word")
+    bits = F.bit_or(F.expr("shiftleft(1L, cast(bitmap_bit_position(provider_id) % 64 as int))")).alias("bits")
+    dimensions = [F.col(f"`{c}`") for c in DIMENSIONS]
+    words = df.groupBy(*dimensions, bucket, word).agg(bits, *sums)
+    listed = F.collect_list(F.when(F.col("bits").isNotNull(), F.struct("word", "bits"))).alias("facilities")
+    names = [f"{part} {metric}" for metric in METRIC_OPTIONS for part in ("total", "n")]
+    merged = [F.sum(f"`{n}`").alias(n) for n in names]
+    return words.groupBy(*dimensions, "bucket").agg(listed, *merged)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
@@ -45,6 +54,7 @@ def totals(summary: DataFrame, group: str, metric: str, states=(), readm_types=(
     """All sums that KPIs and means of a selection need, by one aggregation over its summary rows.
 
     ``kind`` tells the rows apart: one per bucket of facility keys, per state and per ``group`` value.
+    Facilities are counted by bucket, as the same bit of two buckets stands for two of them.
     """
     if group not in GROUP_OPTIONS:
         raise UnknownOption(f"group column {group!r}, allowed: {GROUP_OPTIONS}")
@@ -58,11 +68,23 @@ def totals(summary: DataFrame, group: str, metric: str, states=(), readm_types=(
         F.col(f"`total {metric}`").alias("total"),
         F.col(f"`n {metric}`").alias("n"),
     )
-    keys = [F.col(c) for c in ("bucket", "state", "group")]
-    kind = F.when(F.grouping("bucket") == 0, "bucket").when(F.grouping("state") == 0, "state")
-    return chosen.groupingSets([[k] for k in keys], *keys).agg(
-        kind.otherwise("group").alias("kind"),
-        F.bitmap_count(F.bitmap_or_agg("facilities")).alias("facilities"),
+    # Each kind of rows that a summary row counts in; its words count in its bucket.
+    nothing = {"bucket": "long", "state": "string", "group": "string", "word": "int", "bits": "long", "total": "double", "n": "long"}
+
+    def entry(kind: str, **given: Column) -> Column:
+        fields = [given.get(c, F.lit(None)).cast(t).alias(c) for c, t in nothing.items()]
+        return F.struct(F.lit(kind).alias("kind"), *fields)
+
+    sums = {"total": F.col("total"), "n": F.col("n")}
+    kinds = F.array(*(entry(c, **{c: F.col(c)}, **sums) for c in ("bucket", "state", "group")))
+    words = F.transform("facilities", lambda w: entry("bucket", bucket=F.col("bucket"), word=w["word"], bits=w["bits"]))
+    entries = chosen.select(F.explode(F.concat(kinds, words)).alias("e")).select("e.*")
+    keys = ["kind", "bucket", "state", "group"]
+    merged = entries.groupBy(*keys, "word").agg(
+        F.bit_or("bits").alias("bits"), F.sum("total").alias("total"), F.sum("n").alias("n")
+    )
+    return merged.groupBy(*keys).agg(
+        F.sum(F.bit_count("bits")).alias("facilities"),
         F.sum("total").alias("total"),
         F.sum("n").alias("n"),
     )
