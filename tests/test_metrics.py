@@ -292,6 +292,11 @@ def test_kpis_and_means_come_from_one_scan(spark, gold_path, tmp_path):
         assert "Readm Type" not in plan.split("ReadSchema:")[1]
 
 
+def test_summaries_are_made_and_read_without_a_sort(spark, gold_path):
+    plan = physical_plan_of(totals(summarise(read_gold(spark, gold_path)), "Hosp Rating", "R Rate Diff"))
+    assert "SortAggregate" not in plan and "Sort [" not in plan and "HashAggregate" in plan
+
+
 def test_bad_choices_raise(sample):
     with pytest.raises(UnknownOption):
         filter_rows(sample, "AK")
